@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terminus.llm.common import table
+from terminus.llm.packing import pack
+from terminus.llm.repeats import deduplicate
 from terminus.llm.simhash import near_duplicates
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_simhash": op7_simhash}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_packing": op2_packing, "op7_simhash": op7_simhash, "op10_repeats": op10_repeats}
 ORACLE_SQL: dict[str, str] = {}
