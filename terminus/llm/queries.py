@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terminus.llm.common import table
+from terminus.llm.language import identify
 from terminus.llm.packing import pack
+from terminus.llm.quality import verdicts
 from terminus.llm.repeats import deduplicate
 from terminus.llm.simhash import near_duplicates
 
@@ -15,6 +17,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -23,5 +33,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op7_simhash": op7_simhash, "op10_repeats": op10_repeats}
+QUERIES = {"op2_packing": op2_packing, "op4_quality": op4_quality, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
 ORACLE_SQL: dict[str, str] = {}

@@ -202,7 +202,7 @@ def union(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 
 def _cut(batches):
-    schema = pa.schema([("sig", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha", pa.string()), ("kept", pa.binary())])
+    schema = pa.schema([("sig", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha", pa.string()), ("kept", pa.string())])
     for x in batches:
         rows = []
         for sig, text, own in zip(*(x.column(i).to_pylist() for i in range(3))):
@@ -212,7 +212,7 @@ def _cut(batches):
                 out.append(raw[end:a])
                 end = b
             left = b"".join([*out, raw[end:]])
-            rows.append((sig, len(raw) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left))
+            rows.append((sig, len(raw) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")))
         yield batch(dict(zip(schema.names, zip(*rows) if rows else [()] * 5)), schema)
 
 
@@ -234,7 +234,7 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     spans = found.where("key is null").select("sig", "a", "b").union(keys.where("sig is not null").join(twice, "key", "left_semi").select("sig", "a", "b"))
     spans = spans.groupBy("sig").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    left = some.select("sig", "text").join(spans, "sig").select("sig", "text", "spans").mapInArrow(_cut, "sig binary, n_removed long, n_spans long, kept_sha string, kept binary")
+    left = some.select("sig", "text").join(spans, "sig").select("sig", "text", "spans").mapInArrow(_cut, "sig binary, n_removed long, n_spans long, kept_sha string, kept string")
     return index.drop("anchors").join(same.select("sig", "copies"), "sig"), left
 
 
@@ -256,3 +256,20 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.lit(EMPTY)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
     )
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The documents as they were given, without those bytes; n_chars, if there, follows the text.
+
+    Null texts stay null, documents that lose all have an empty text. Where a span ends within a character, the rest of
+    that character goes too. Repeated rows are copies of each other, so they lose all.
+    """
+    every, left = _repeats(docs)
+    copies = every.groupBy("sig").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").select(F.col("sig").alias("_sig"), "_copies")
+    left = left.select(F.col("sig").alias("_left"), F.col("kept").alias("_kept"))
+    own = docs.withColumn("_own", F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    own = own.join(left, F.col("_own") == F.col("_left"), "left").join(copies, F.col("_own") == F.col("_sig"), "left")
+    whole = F.col("_copies").isNotNull() & (F.octet_length("text") >= LENGTH)
+    text = F.when(F.col("text").isNull(), F.lit(None)).when(whole, F.lit("")).otherwise(F.coalesce("_kept", "text"))
+    own = own.withColumn("text", text).select(*docs.columns)
+    return own.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else own
