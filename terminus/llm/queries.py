@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from terminus.llm.bpe import round_trip
 from terminus.llm.common import table
 from terminus.llm.language import identify
 from terminus.llm.packing import pack
@@ -17,6 +18,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,5 +38,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op4_quality": op4_quality, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
+QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
 ORACLE_SQL: dict[str, str] = {}
