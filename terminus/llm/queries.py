@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terminus.llm.bpe import round_trip
 from terminus.llm.common import table
 from terminus.llm.language import identify
+from terminus.llm.licenses import oracle, scan
 from terminus.llm.packing import pack
 from terminus.llm.quality import verdicts
 from terminus.llm.repeats import deduplicate
@@ -26,6 +27,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -38,5 +43,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
+ORACLE_SQL: dict[str, str] = {"op5_licenses": oracle()}
