@@ -13,6 +13,7 @@ from terminus.llm.packing import pack
 from terminus.llm.quality import verdicts
 from terminus.llm.repeats import deduplicate
 from terminus.llm.simhash import near_duplicates
+from terminus.llm.topk import search
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,5 +48,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
+QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
 ORACLE_SQL: dict[str, str] = {"op5_licenses": oracle()}
