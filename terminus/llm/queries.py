@@ -14,6 +14,7 @@ from terminus.llm.quality import verdicts
 from terminus.llm.repeats import deduplicate
 from terminus.llm.simhash import near_duplicates
 from terminus.llm.topk import search
+from terminus.llm.warc import archive
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -48,5 +53,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op9_language": op9_language, "op10_repeats": op10_repeats}
+QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op8_warc": op8_warc, "op9_language": op9_language, "op10_repeats": op10_repeats}
 ORACLE_SQL: dict[str, str] = {"op5_licenses": oracle()}
