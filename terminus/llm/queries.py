@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terminus.llm.bpe import round_trip
 from terminus.llm.common import table
+from terminus.llm.html import extract
 from terminus.llm.language import identify
 from terminus.llm.licenses import oracle, scan
 from terminus.llm.packing import pack
@@ -17,6 +18,10 @@ from terminus.llm.topk import search
 from terminus.llm.warc import archive
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -53,5 +58,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op8_warc": op8_warc, "op9_language": op9_language, "op10_repeats": op10_repeats}
+QUERIES = {"op1_html": op1_html, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op8_warc": op8_warc, "op9_language": op9_language, "op10_repeats": op10_repeats}
 ORACLE_SQL: dict[str, str] = {"op5_licenses": oracle()}
