@@ -26,12 +26,12 @@ def keep(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the learned decision list (operator 4)."""
-    return keep(docs, quality.verdicts(docs, table(spark, sf_dir, "labels")).where("kept"))
+    return quality.passed(docs, table(spark, sf_dir, "labels"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language (operator 9)."""
-    return keep(docs, language.identify(docs).where((F.col("lang_pred") != language.NONE) & (F.col("score") >= LEAST_SCORE)))
+    return language.passed(docs, LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

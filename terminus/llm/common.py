@@ -8,6 +8,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch: bounds a Python worker's memory where single texts are long.
 BATCH_ROWS = 256
@@ -50,8 +51,25 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def computed(docs: DataFrame, inputs: list, compute, fields: list[tuple[str, str, pa.DataType]]) -> DataFrame:
+    """All rows and columns of a table with more columns: (name, SQL type, Arrow type), from compute(list per input) -> list per field.
+
+    One pass without a shuffle; names must not be among the table's own."""
+    columns, n = docs.columns, len(inputs)
+    asked = docs.select("*", *[c.alias(f"__in_{i}") for i, c in enumerate(inputs)])
+
+    def run(batches):
+        for x in batches:
+            own = [x.column(len(columns) + i).to_pylist() for i in range(n)]
+            out = compute(*own)
+            yield pa.RecordBatch.from_arrays([*x.columns[: len(columns)], *[pa.array(v, t) for v, (_, _, t) in zip(out, fields)]], names=[*columns, *[n for n, _, _ in fields]])
+
+    schema = StructType(docs.schema.fields + StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t, _ in fields)).fields)
+    return asked.mapInArrow(run, schema)
+
+
 def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+    return pa.RecordBatch.from_arrays([c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type) for f in schema], schema=schema)
 
 
 def same_set(df: DataFrame, *columns: str) -> tuple:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, small_batches, texts
+from terminus.llm.common import batch, computed, small_batches, texts
 
 BUCKETS, ORDERS = 1 << 14, 3
 #: Learning documents of each language that are fitted on, as expected; and of all languages at most.
@@ -115,34 +115,36 @@ def fold() -> Column:
 def _predict(langs: list[str], w: np.ndarray, t: float, idf: np.ndarray):
     w = w.astype(np.float32)
 
-    def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
-        for x in batches:
-            out = []
-            for text in x.column(2).to_pylist():
-                if not langs or text is None or not LETTER.search(text):
-                    out.append((NONE, 0.0))
-                    continue
-                at, v = vector(counts(text), idf)
-                p = softmax((w[:, at] @ v + w[:, BUCKETS]).astype(float) / t)
-                k = int(np.argmax(p))
-                out.append((langs[k], float(p[k])))
-            lang, score = zip(*out) if out else ((), ())
-            yield batch({"doc_id": x.column(0), "held_out": x.column(1), "lang_pred": lang, "score": score}, schema)
+    def compute(texts_: list) -> list:
+        out = []
+        for text in texts_:
+            if not langs or text is None or not LETTER.search(text):
+                out.append((NONE, 0.0))
+                continue
+            at, v = vector(counts(text), idf)
+            p = softmax((w[:, at] @ v + w[:, BUCKETS]).astype(float) / t)
+            k = int(np.argmax(p))
+            out.append((langs[k], float(p[k])))
+        return list(zip(*out)) if out else [[], []]
 
-    return run
+    return compute
 
 
-def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document.
+#: Names of the columns that a prediction adds.
+LANG, SCORE = "__lang_pred", "__score"
+
+
+def predicted(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> DataFrame:
+    """Every document, as given, with LANG and SCORE beside its own columns.
 
     Documents whose crc32 remainder is 0 are held out; weights come from at most `sample` others with a language and a
     letter (about `per_language` of each, by hash of doc_id), document frequencies from all of these. Null texts
     and texts without a letter get `und` with score 0, as does everything if there is nothing to learn from. Of languages as
     probable as each other the first by name is taken. Repeated rows count each time; an empty table gives an empty result;
-    columns besides doc_id, text and lang are not read.
+    columns besides doc_id, text and lang are not used.
     """
     spark = docs.sparkSession
+    add = lambda *model: computed(docs, [F.col("text").cast("string")], _predict(*model), [(LANG, "string", pa.string()), (SCORE, "double", pa.float64())])
     small_batches(spark)
     known = texts(docs, F.col("lang").cast("string").alias("lang"), fold().cast("int").alias("fold")).where("fold != 0 and lang is not null and text is not null")
     known = known.where(F.col("text").rlike(r"\p{L}"))
@@ -150,7 +152,7 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SA
     sizes = {r["lang"]: r["n"] for r in narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
     langs = sorted(sizes)
     if not langs:
-        return texts(docs).select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "text").mapInArrow(_predict([], np.zeros((1, BUCKETS + 1)), 1.0, np.ones(BUCKETS)), "doc_id long, held_out boolean, lang_pred string, score double")
+        return add([], np.zeros((1, BUCKETS + 1)), 1.0, np.ones(BUCKETS))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     bound = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, per_language / n)])
     chosen = narrow.where(share < bound[F.col("lang")]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id").distinct()
@@ -171,4 +173,15 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SA
     w = fit([x[i] for i in np.flatnonzero(~back)], y[~back], len(langs))
     z = np.array([w[:, x[i][0]] @ x[i][1] + w[:, BUCKETS] for i in np.flatnonzero(back)]).reshape(-1, len(langs))
     t = temperature(z, y[back])
-    return texts(docs).select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "text").mapInArrow(_predict(langs, w, t, idf), "doc_id long, held_out boolean, lang_pred string, score double")
+    return add(langs, w, t, idf)
+
+
+def identify(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document."""
+    own = predicted(texts(docs, F.col("lang").cast("string").alias("lang")))
+    return own.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.col(LANG).alias("lang_pred"), F.col(SCORE).alias("score"))
+
+
+def passed(docs: DataFrame, least: float) -> DataFrame:
+    """The documents in a learned language with that probability or more, with the columns they came with."""
+    return predicted(docs).where((F.col(LANG) != NONE) & (F.col(SCORE) >= least)).select(*docs.columns)

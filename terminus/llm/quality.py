@@ -1,20 +1,22 @@
 """Quality rules: decision lists learned by sequential covering, as ordered Spark conditional expressions.
 
-Statistics of every whole text are computed once. From labelled ones a list of rules for the rejected class is
+From the statistics of labelled texts a list of rules for the rejected class is
 learned: a rule is a conjunction of thresholds grown on two thirds of the rows by information gain and pruned
-on the other third, rules are added while they pay on rows not covered yet. The list becomes one CASE expression.
+on the other third, rules are added while they pay on rows not covered yet. The list becomes one CASE
+expression over the statistics of every whole text.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, materialize, small_batches, texts
+from terminus.llm.common import computed, small_batches, texts
 
 #: Labelled rows that the rules are learned from at most: those with the smallest hash of doc_id.
 SAMPLE = 20_000
@@ -64,16 +66,19 @@ def statistics(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _statistics(batches):
-    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
-    for x in batches:
-        rows = [(d, *statistics(t)) for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
-        yield batch(dict(zip(schema.names, zip(*rows) if rows else [()] * len(schema.names))), schema)
+#: Columns that are computed for a decision have this in front of their names.
+OWN = "__q_"
+
+
+def _compute(texts_: list) -> list:
+    return list(zip(*map(statistics, texts_))) if texts_ else [[] for _ in COUNTS]
 
 
 def measured(docs: DataFrame) -> DataFrame:
+    """The table with its statistics and ratios beside its own columns."""
     small_batches(docs.sparkSession)
-    return texts(docs).mapInArrow(_statistics, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    own = computed(docs, [F.col("text").cast("string")], _compute, [(OWN + c, "bigint", pa.int64()) for c in COUNTS])
+    return own.select("*", *ratios())
 
 
 #: Ratios that rules may ask about: (name, numerator, denominator).
@@ -81,11 +86,12 @@ RATIOS = (("symbols_per_word", "n_symbols", "n_words"), ("chars_per_word", "word
 
 
 def base_failed() -> Column:
-    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    words = F.col(OWN + "n_words")
+    return (words < 20) | (100 * F.col(OWN + "n_repeat_words") > 30 * words)
 
 
 def ratios() -> list[Column]:
-    return [(F.col(a) / F.greatest(F.col(b), F.lit(1))).alias(n) for n, a, b in RATIOS]
+    return [(F.col(OWN + a) / F.greatest(F.col(OWN + b), F.lit(1))).alias(OWN + n) for n, a, b in RATIOS]
 
 
 def _precision(bad: int, good: int) -> float:
@@ -160,29 +166,44 @@ def verdict(rules: list[list[tuple[int, str, float]]]) -> Column:
     for rule in rules:
         test = None
         for k, side, t in rule:
-            c = F.col(RATIOS[k][0])
+            c = F.col(OWN + RATIOS[k][0])
             one = c > F.lit(t) if side == ">" else c <= F.lit(t)
             test = one if test is None else test & one
         out = F.when(test, F.lit(False)) if out is None else out.when(test, F.lit(False))
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
-def assess(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Every document with its counts, base_failed and kept.
+def rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
+    """The decision list of the labelled documents (quality: 1 stays, 0 goes; a null is no label).
 
-    Rules are learned from at most `sample` labelled rows that pass the base (column quality: 1 stays, 0 goes; a null is no
-    label). Null and empty texts have zero counts and fail the base. A repeated doc_id is measured row by row, and
-    counts once for each of its labels in learning. Without labels of both classes only the base speaks. An empty table
-    gives an empty result; columns besides doc_id, text and quality are not read.
-    """
-    own = materialize(measured(docs).select("*", base_failed().alias("base_failed"), *ratios()), "statistics")
+    At most `sample` labels, those with the smallest hash of doc_id, send their numbers to the driver; of a doc_id that
+    many rows repeat, `sample` rows in all."""
     known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    rows = own.where("not base_failed").join(known, "doc_id").select("doc_id", "quality", *[n for n, *_ in RATIOS])
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *rows.columns[1:]).limit(sample).collect()  # at most `sample` rows of numbers
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
+    own = measured(texts(docs).join(F.broadcast(chosen), "doc_id")).where(~base_failed())
+    rows = sorted(own.select("doc_id", "quality", *[OWN + n for n, *_ in RATIOS]).limit(sample).collect())
+    rows.sort(key=lambda r: zlib.crc32(str(r[0]).encode()))
     x = np.array([r[2:] for r in rows], dtype=float).reshape(len(rows), len(RATIOS))
     y = np.array([r["quality"] == 0 for r in rows], dtype=np.int64)
-    return own.withColumn("kept", ~F.col("base_failed") & verdict(learn(x, y)))
+    return learn(x, y)
+
+
+def assess(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Every document, as given, with its statistics (names with OWN in front), base_failed and kept.
+
+    Null and empty texts have zero counts and fail the base. A repeated doc_id is measured row by row. Without labels of both
+    classes only the base speaks. An empty table gives an empty result. One pass over the texts, no shuffle.
+    """
+    found = rules(docs, labels, sample)
+    own = measured(docs).withColumn(OWN + "base_failed", base_failed())
+    return own.withColumn(OWN + "kept", ~F.col(OWN + "base_failed") & verdict(found))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return assess(docs, labels).select("doc_id", *COUNTS[:5], "base_failed", "kept")
+    own = assess(texts(docs), labels)
+    return own.select("doc_id", *[F.col(OWN + c).alias(c) for c in (*COUNTS[:5], "base_failed", "kept")])
+
+
+def passed(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are kept, with the columns they came with."""
+    return assess(docs, labels).where(OWN + "kept").select(*docs.columns)
