@@ -8,8 +8,10 @@ of 400 bytes with a neighbour; adjoining ones are the repeated intervals. Suffix
 length, and a suffix that differs early costs one round. Rounds take 16, 48 and 336 bytes, as hashed symbols of 64 bits, in
 place of one byte each: 400 rounds over every byte of a corpus can't be paid.
 
-Frequent anchors are split into shards of about SHARD windows. A shard settles what it holds twice; of the rest each
-string goes on as a 64-bit key, of what it settled one key, and keys from several shards are counted with partial sums.
+Frequent anchors are split into shards of about SHARD windows. A shard settles what it holds twice. The rest, and one of each
+kind it settled, meet the other shards' in two steps: strings whose anchor is as far in, in steps of STEP bytes, share
+a core; only where several shards' rows have a core are the 64-bit keys of the whole strings counted. Both counts have
+partial sums before the shuffle.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ LENGTH, GRAM = 400, 48
 ROUNDS = (16, 48, 336)
 #: Windows of an anchor that one task handles together.
 SHARD = 128
+#: Strings that start within so many bytes share a core.
+STEP = 8
 #: Texts are scanned in segments of so many bytes.
 SEGMENT = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 5
@@ -145,7 +149,17 @@ def refine(windows: list[bytes], group: np.ndarray, length: int = LENGTH, rounds
     return total, place, window, alive, first
 
 
-OUT = pa.schema([("sig", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
+OUT = pa.schema([("sig", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("core", pa.int64()), ("keys", pa.list_(pa.int64()))])
+OUT_TYPE = "sig binary, a long, b long, core long, keys array<long>"
+
+
+def cores(total: np.ndarray, h: np.ndarray, window: np.ndarray, p: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For strings at the places p with their anchor's place: where rows of adjoining strings that share a core begin, the cores, the strings' keys."""
+    own = h[window].view(np.uint64)
+    step = (anchor - p) // STEP
+    core = mixed(grams(total, anchor - STEP * step, LENGTH - STEP + 1) + own + step.astype(np.uint64))
+    start = np.flatnonzero(np.concatenate([[True], (core[1:] != core[:-1]) | (p[1:] != p[:-1] + 1) | (window[1:] != window[:-1])]))
+    return start, core[start].view(np.int64), mixed(grams(total, p, LENGTH) + own).view(np.int64)
 
 
 def _settle(h, salts, sig, at, windows, new):
@@ -153,23 +167,30 @@ def _settle(h, salts, sig, at, windows, new):
     total, place, window, alive, first = refine(windows, group)
     offset = np.concatenate([[0], np.cumsum([len(w) for w in windows])[:-1]])
     own = np.searchsorted(offset, alive, side="right") - 1
-    out: dict = {"sig": [], "a": [], "b": [], "key": []}
+    out: dict = {"sig": [], "a": [], "b": [], "core": [], "keys": []}
     if len(alive):
         start = np.flatnonzero(np.concatenate([[True], (alive[1:] != alive[:-1] + 1) | (own[1:] != own[:-1])]))
         end = np.append(start[1:], len(alive)) - 1
         w = own[start]
-        out = {"sig": [sig[i] for i in w], "a": at[w] + alive[start] - offset[w], "b": at[w] + alive[end] - offset[w] + LENGTH, "key": [None] * len(w)}
+        out = {"sig": [sig[i] for i in w], "a": at[w] + alive[start] - offset[w], "b": at[w] + alive[end] - offset[w] + LENGTH, "core": [None] * len(w), "keys": [None] * len(w)}
     yield batch(out, OUT)
     if (many := salts > 1).any():
+        all_grams = grams(total, slice(0, len(total) - GRAM), GRAM)
+        anchor = np.flatnonzero(all_grams.view(np.int64) == h[np.searchsorted(offset, np.arange(len(all_grams)), side="right") - 1])
         open_ = many[window] & ~np.isin(place, alive, assume_unique=True)
-        p, w = place[open_], window[open_]
-        whole = lambda q, own: mixed(grams(total, q, LENGTH) + h[own].view(np.uint64)).view(np.int64)
-        for s in range(0, len(p), 50_000):
-            q, o = p[s : s + 50_000], w[s : s + 50_000]
-            yield batch({"sig": [sig[i] for i in o], "a": at[o] + q - offset[o], "b": at[o] + q - offset[o] + LENGTH, "key": whole(q, o)}, OUT)
+        first = np.sort(first)
         o = np.searchsorted(offset, first, side="right") - 1
-        first, o = first[many[o]], o[many[o]]
-        yield batch({"sig": [None] * len(o), "a": [None] * len(o), "b": [None] * len(o), "key": whole(first, o)}, OUT)
+        for p, w, named in ((place[open_], window[open_], True), (first[many[o]], o[many[o]], False)):
+            if not len(p):
+                continue
+            start, core, keys = cores(total, h, w, p, anchor[np.searchsorted(anchor, p)])
+            ends = np.append(start[1:], len(p))
+            for s in range(0, len(start), 4096):
+                k = slice(s, s + 4096)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(start[k], ends[k][-1]) - start[s], pa.int32()), pa.array(keys[start[s] : ends[k][-1]]))
+                x = w[start[k]]
+                a = at[x] + p[start[k]] - offset[x]
+                yield batch({"sig": [sig[i] if named else None for i in x], "a": a, "b": a, "core": core[k], "keys": lists}, OUT)
 
 
 def _merge(batches):
@@ -221,7 +242,7 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     small_batches(spark)
     index = materialize(texts(docs).mapInArrow(_index, "doc_id long, sig binary, n_bytes long, sha string, anchors array<struct<h:long,a:int,b:int,m:int>>"), "index")
-    same = index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"))
+    same = materialize(index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id")), "same")
     one = index.join(same, ["sig", "doc_id"], "left_semi")
     each = one.select("sig", "doc_id", F.inline("anchors"))
     often = each.groupBy("h").agg(F.sum("m").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SHARD).cast("int").alias("salts"))
@@ -229,10 +250,13 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     source = texts(docs).where("text is not null").withColumn("sig", F.unhex(F.md5("text")))
     some = materialize(source.join(wanted, ["sig", "doc_id"]).select("sig", "text", "own"), "candidates")
     shards = some.mapInArrow(_windows, "h long, salts int, salt int, sig binary, at long, window binary").repartition("h", "salt").sortWithinPartitions("h", "salt")
-    found = materialize(shards.mapInArrow(_merge, "sig binary, a long, b long, key long"), "repeats")
-    keys = found.where("key is not null")
+    found = materialize(shards.mapInArrow(_merge, OUT_TYPE), "repeats")
+    open_ = found.where("core is not null")
+    shared = open_.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = materialize(open_.join(shared, "core", "left_semi").select("sig", "a", F.posexplode("keys").alias("i", "key")), "keys")
     twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    spans = found.where("key is null").select("sig", "a", "b").union(keys.where("sig is not null").join(twice, "key", "left_semi").select("sig", "a", "b"))
+    met = keys.where("sig is not null").join(twice, "key", "left_semi").select("sig", (F.col("a") + F.col("i")).alias("a"))
+    spans = found.where("core is null").select("sig", "a", "b").union(met.select("sig", "a", F.col("a") + LENGTH))
     spans = spans.groupBy("sig").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     left = some.select("sig", "text").join(spans, "sig").select("sig", "text", "spans").mapInArrow(_cut, "sig binary, n_removed long, n_spans long, kept_sha string, kept string")
     return index.drop("anchors").join(same.select("sig", "copies"), "sig"), left
