@@ -238,11 +238,12 @@ def _cut(batches):
 
 
 def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, sig, n_bytes, sha, copies) of all documents; (sig, n_removed, n_spans, kept_sha, kept) of the texts that lose bytes but have no copy."""
+    """(doc_id, sig, n_bytes, sha) of all documents; (sig, copies, n_removed, n_spans, kept_sha, kept) of each text, the last four where
+    bytes of it go. A sig is in the second table once, so a text that very many documents have is met by one join that can be split."""
     spark = docs.sparkSession
     small_batches(spark)
     index = materialize(texts(docs).mapInArrow(_index, "doc_id long, sig binary, n_bytes long, sha string, anchors array<struct<h:long,a:int,b:int,m:int>>"), "index")
-    same = materialize(index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id")), "same")
+    same = index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"))
     one = index.join(same, ["sig", "doc_id"], "left_semi")
     each = one.select("sig", "doc_id", F.inline("anchors"))
     often = each.groupBy("h").agg(F.sum("m").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SHARD).cast("int").alias("salts"))
@@ -259,7 +260,7 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spans = found.where("core is null").select("sig", "a", "b").union(met.select("sig", "a", F.col("a") + LENGTH))
     spans = spans.groupBy("sig").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     left = some.select("sig", "text").join(spans, "sig").select("sig", "text", "spans").mapInArrow(_cut, "sig binary, n_removed long, n_spans long, kept_sha string, kept string")
-    return index.drop("anchors").join(same.select("sig", "copies"), "sig"), left
+    return index.drop("anchors"), materialize(same.select("sig", "copies").join(left, "sig", "left"), "texts")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -270,8 +271,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     string may repeat in its own document. An empty table gives an empty result; other columns are not read. Equal
     texts are merged once, so their number doesn't matter; hashes have 64 bits within an anchor of 64 bits.
     """
-    every, left = _repeats(docs)
-    out = every.join(left.drop("kept"), "sig", "left")
+    every, each = _repeats(docs)
+    out = every.join(each.drop("kept"), "sig")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     return out.select(
         "doc_id",
@@ -288,12 +289,10 @@ def cleaned(docs: DataFrame) -> DataFrame:
     Null texts stay null, documents that lose all have an empty text. Where a span ends within a character, the rest of
     that character goes too. Repeated rows are copies of each other, so they lose all.
     """
-    every, left = _repeats(docs)
-    copies = every.groupBy("sig").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").select(F.col("sig").alias("_sig"), "_copies")
-    left = left.select(F.col("sig").alias("_left"), F.col("kept").alias("_kept"))
+    each = _repeats(docs)[1].where("copies > 1 or kept is not null").select(F.col("sig").alias("_sig"), F.col("copies").alias("_copies"), F.col("kept").alias("_kept"))
     own = docs.withColumn("_own", F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
-    own = own.join(left, F.col("_own") == F.col("_left"), "left").join(copies, F.col("_own") == F.col("_sig"), "left")
-    whole = F.col("_copies").isNotNull() & (F.octet_length("text") >= LENGTH)
+    own = own.join(each, F.col("_own") == F.col("_sig"), "left")
+    whole = (F.col("_copies") > 1) & (F.octet_length("text") >= LENGTH)
     text = F.when(F.col("text").isNull(), F.lit(None)).when(whole, F.lit("")).otherwise(F.coalesce("_kept", "text"))
     own = own.withColumn("text", text).select(*docs.columns)
     return own.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else own
