@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from terminus.functions.sequence import fraction
 
 DEFAULTS = {"min_cluster_size": 10, "max_k": 5, "min_distance": 50, "min_relative_dominance": 0.3, "min_sharpness": 0.5, "max_subsample": 50_000, "seed": 42}
+#: Transcripts fitted together.
+TOGETHER = 64
 SITES = "transcript_id string, site_position int, site_count long, site_abundance double, site_rank int"
 
 
@@ -51,6 +53,7 @@ def _seeds(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.RandomState) ->
 
 
 def _start(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
+    """Labels of a hard clustering that begins at the seeds."""
     c = _seeds(x, w, k, rng)
     label = np.full(len(x), -1)
     for _ in range(300):
@@ -58,46 +61,53 @@ def _start(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.RandomState) ->
         if np.array_equal(new, label):
             break
         label = new
-        for j in range(k):
-            if (on := label == j).any():
-                c[j] = np.average(x[on], weights=w[on])
-    return np.eye(k)[label]
-
-
-def _density(x, mean, var, weight):
-    return -0.5 * (np.log(2 * np.pi * var) + (x[:, None] - mean) ** 2 / var) + np.log(weight)
-
-
-def fit_mixture(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.RandomState, restarts: int = 3, rounds: int = 200, tol: float = 1e-3, floor: float = 1e-6):
-    """Expectation-maximisation of a Gaussian mixture in one dimension; (labels function, converged) of the likeliest restart."""
-    best, model, settled = -np.inf, None, False
-    for _ in range(restarts):
-        r = _start(x, w, k, rng)
-        bound, done = -np.inf, False
-        for step in range(rounds + 1):
-            n = (r * w[:, None]).sum(axis=0) + 10 * np.finfo(float).eps
-            mean = (r * w[:, None] * x[:, None]).sum(axis=0) / n
-            var = (r * w[:, None] * (x[:, None] - mean) ** 2).sum(axis=0) / n + floor
-            weight = n / n.sum()
-            if step == rounds:
-                break
-            d = _density(x, mean, var, weight)
-            top = d.max(axis=1, keepdims=True)
-            norm = top[:, 0] + np.log(np.exp(d - top).sum(axis=1))
-            new = float((norm * w).sum() / w.sum())
-            r = np.exp(d - norm[:, None])
-            if abs(new - bound) < tol:
-                done = True
-                bound = new
-                n = (r * w[:, None]).sum(axis=0) + 10 * np.finfo(float).eps
-                mean = (r * w[:, None] * x[:, None]).sum(axis=0) / n
-                var = (r * w[:, None] * (x[:, None] - mean) ** 2).sum(axis=0) / n + floor
-                weight = n / n.sum()
-                break
-            bound = new
-        if bound > best:
-            best, model, settled = bound, (mean, var, weight), done
-    return (lambda y: np.argmax(_density(y, *model), axis=1)), settled
+        n = np.bincount(label, w, k)
+        c = np.where(n > 0, np.bincount(label, w * x, k) / np.maximum(n, 1e-300), c)
+    return label
+
+
+def fit_mixtures(data: list[tuple[np.ndarray, np.ndarray]], k: int, rngs: list[np.random.RandomState], restarts: int = 3, rounds: int = 200, tol: float = 1e-3, floor: float = 1e-6) -> list[tuple | None]:
+    """Expectation-maximisation of one-dimensional Gaussian mixtures, all transcripts and restarts side by side, each until its own
+    bound settles. Per transcript (mean, variance, weight) of the likeliest restart, or None if that did not settle."""
+    rows, width = len(data) * restarts, max(len(x) for x, _ in data)
+    x, w, r = np.zeros((rows, width)), np.zeros((rows, width)), np.zeros((rows, width, k))
+    for i, ((px, pw), rng) in enumerate(zip(data, rngs)):
+        for j in range(i * restarts, (i + 1) * restarts):
+            x[j, : len(px)], w[j, : len(px)] = px, pw
+            r[j, np.arange(len(px)), _start(px, pw, k, rng)] = 1
+    mean, var, weight = np.zeros((3, rows, k))
+    bound, done = np.full(rows, -np.inf), np.zeros(rows, bool)
+    on = np.arange(rows)
+
+    def estimate(r_, x_, w_):
+        own = r_ * w_[:, :, None]
+        n = own.sum(axis=1) + 10 * np.finfo(float).eps
+        m = (own * x_[:, :, None]).sum(axis=1) / n
+        v = (own * (x_[:, :, None] - m[:, None]) ** 2).sum(axis=1) / n + floor
+        return m, v, n / n.sum(axis=1, keepdims=True)
+
+    mean[:], var[:], weight[:] = estimate(r, x, w)
+    for _ in range(rounds):
+        xs, ws, m, v = x[on], w[on], mean[on], var[on]
+        d = (np.log(weight[on]) - 0.5 * np.log(2 * np.pi * v))[:, None] - 0.5 * (xs[:, :, None] - m[:, None]) ** 2 / v[:, None]
+        top = d.max(axis=2, keepdims=True)
+        e = np.exp(d - top)
+        total = e.sum(axis=2, keepdims=True)
+        new = ((top + np.log(total))[:, :, 0] * ws).sum(axis=1) / ws.sum(axis=1)
+        mean[on], var[on], weight[on] = estimate(e / total, xs, ws)
+        settled = np.abs(new - bound[on]) < tol
+        bound[on] = new
+        done[on[settled]] = True
+        on = on[~settled]
+        if not len(on):
+            break
+    best = np.argmax(bound.reshape(-1, restarts), axis=1) + restarts * np.arange(len(data))
+    return [(mean[b], var[b], weight[b]) if done[b] else None for b in best]
+
+
+def components(model: tuple, x: np.ndarray) -> np.ndarray:
+    mean, var, weight = model
+    return np.argmax(np.log(weight) - 0.5 * np.log(var) - 0.5 * (x[:, None] - mean) ** 2 / var, axis=1)
 
 
 def silhouette(x: np.ndarray, w: np.ndarray, label: np.ndarray) -> float:
@@ -122,59 +132,82 @@ def silhouette(x: np.ndarray, w: np.ndarray, label: np.ndarray) -> float:
     return total / w.sum()
 
 
-def call_peaks(x: np.ndarray, w: np.ndarray, min_cluster_size: int, max_k: int, min_distance: int, min_relative_dominance: float, min_sharpness: float, max_subsample: int, seed: int) -> list[tuple[int, int]]:
-    """(position, reads) of one transcript's sites, from sorted positions with counts."""
+def choose_models(data: list[tuple[np.ndarray, np.ndarray]], max_k: int, seed: int) -> list[tuple | None]:
+    """Per transcript the mixture with the best silhouette, fewest components among equals; None if one group is all there is."""
+    best: list[tuple | None] = [None] * len(data)
+    top = [-np.inf] * len(data)
+    n = [int(w.sum()) for _, w in data]
+    for k in range(2, max_k + 1):
+        can = [i for i, (x, _) in enumerate(data) if len(x) > 1 and k < n[i]]
+        if not can:
+            continue
+        for i, model in zip(can, fit_mixtures([data[i] for i in can], k, [np.random.RandomState(seed) for _ in can])):
+            if model is None:
+                continue
+            x, w = data[i]
+            lab = components(model, x)
+            if 2 <= len(np.unique(lab)) < n[i] and (score := silhouette(x, w, lab)) > top[i]:
+                top[i], best[i] = score, model
+    return best
+
+
+def peaks(x: np.ndarray, w: np.ndarray, model: tuple | None, min_cluster_size: int, min_distance: int, min_relative_dominance: float, min_sharpness: float) -> list[tuple[int, int]]:
+    """(position, reads) of the components that are large, sharp, dominant enough and apart, larger ones first; else the mode."""
     n = int(w.sum())
     mode = lambda on: int(x[on][np.argmax(w[on])])
     everything = np.ones(len(x), bool)
-    peaks: list[tuple[int, int]] = []
-    if n >= min_cluster_size:
-        fx, fw = x, w
-        if n > max_subsample:
-            pick = np.sort(np.random.default_rng(seed).choice(n, size=max_subsample, replace=False))
-            fx, fw = np.unique(np.repeat(x, w)[pick], return_counts=True)
-        m, top, predict = int(fw.sum()), -np.inf, None
-        if len(fx) > 1:
-            for k in range(2, min(max_k + 1, m)):
-                labels_of, settled = fit_mixture(fx.astype(float), fw.astype(float), k, np.random.RandomState(seed))
-                lab = labels_of(fx.astype(float))
-                if settled and 2 <= len(np.unique(lab)) < m and (score := silhouette(fx.astype(float), fw.astype(float), lab)) > top:
-                    top, predict = score, labels_of
-        if predict is None:
-            peaks = [(mode(everything), n)]
-        else:
-            lab = predict(x.astype(float))
-            sizes = sorted(((int(w[lab == c].sum()), int(c)) for c in np.unique(lab)), reverse=True)
-            sizes = [s for s in sizes if s[0] >= min_cluster_size]
-            for size, c in sizes:
-                at = mode(lab == c)
-                near = np.repeat(x, np.where(np.abs(x - at) <= min_distance / 2, w, 0))
-                if len(near) < min_cluster_size:
-                    continue
-                q75, q25 = np.percentile(near, [75, 25])
-                if 1.0 - (q75 - q25) / min_distance < min_sharpness or size < min_relative_dominance * sizes[0][0]:
-                    continue
-                if all(abs(at - p) >= min_distance for p, _ in peaks):
-                    peaks.append((at, size))
-    return sorted(peaks, key=lambda p: (-p[1], p[0])) or [(mode(everything), n)]
+    found: list[tuple[int, int]] = []
+    if model is not None:
+        lab = components(model, x.astype(float))
+        sizes = sorted(((int(w[lab == c].sum()), int(c)) for c in np.unique(lab)), reverse=True)
+        sizes = [s for s in sizes if s[0] >= min_cluster_size]
+        for size, c in sizes:
+            at = mode(lab == c)
+            near = np.repeat(x, np.where(np.abs(x - at) <= min_distance / 2, w, 0))
+            if len(near) < min_cluster_size:
+                continue
+            q75, q25 = np.percentile(near, [75, 25])
+            if 1.0 - (q75 - q25) / min_distance < min_sharpness or size < min_relative_dominance * sizes[0][0]:
+                continue
+            if all(abs(at - p) >= min_distance for p, _ in found):
+                found.append((at, size))
+    return sorted(found, key=lambda p: (-p[1], p[0])) or [(mode(everything), n)]
 
 
 def call_sites(ends: DataFrame, min_reads: int = 10, **options) -> DataFrame:
-    """Sites of every transcript with `min_reads` read ends or more. Reads are counted per position before they are grouped, so a
-    transcript with most of all reads is as small a group as its positions; repeated fits are seeded per transcript."""
-    own = DEFAULTS | options
-    n = ends.groupBy("transcript_id", "read_end").agg(F.count(F.lit(1)).alias("n"))
-
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("read_end")
-        x, w = pdf["read_end"].to_numpy(), pdf["n"].to_numpy()
-        if w.sum() < min_reads:
-            return pd.DataFrame({"transcript_id": [], "site_position": [], "site_count": [], "site_abundance": [], "site_rank": []})
-        peaks = call_peaks(x, w, **own)
-        total = sum(c for _, c in peaks)
-        return pd.DataFrame({"transcript_id": key[0], "site_position": [p for p, _ in peaks], "site_count": [c for _, c in peaks], "site_abundance": [c / total for _, c in peaks], "site_rank": range(1, len(peaks) + 1)})
+    """Sites of every transcript with `min_reads` read ends or more.
 
-    return n.groupBy("transcript_id").applyInPandas(one, SITES)
+    Reads are counted per position before they are grouped, so a transcript with most of all reads is an array as long as its
+    positions. Transcripts of about the same number of positions are fitted together, each from its own seeded generator, so
+    a result does not depend on what it shares a batch with."""
+    o = DEFAULTS | options
+    n = ends.groupBy("transcript_id", "read_end").agg(F.count(F.lit(1)).alias("n"))
+    own = n.groupBy("transcript_id").agg(F.array_sort(F.collect_list(F.struct("read_end", "n"))).alias("e"), F.sum("n").alias("total")).where(F.col("total") >= min_reads)
+    own = own.select("transcript_id", F.transform("e", lambda x: x["read_end"]).alias("x"), F.transform("e", lambda x: x["n"]).alias("w"))
+
+    def run(batches):
+        for pdf in batches:
+            pdf = pdf.iloc[np.argsort(pdf["x"].map(len).to_numpy(), kind="stable")]
+            for s in range(0, len(pdf), TOGETHER):
+                part = pdf.iloc[s : s + TOGETHER]
+                data = [(np.asarray(x), np.asarray(w)) for x, w in zip(part["x"], part["w"])]
+                fit = []
+                for x, w in data:
+                    total = int(w.sum())
+                    if total > o["max_subsample"]:
+                        pick = np.sort(np.random.default_rng(o["seed"]).choice(total, size=o["max_subsample"], replace=False))
+                        x, w = np.unique(np.repeat(x, w)[pick], return_counts=True)
+                    fit.append((x.astype(float), w.astype(float)))
+                small = [int(w.sum()) < o["min_cluster_size"] for _, w in data]
+                chosen = choose_models([f if not z else (f[0][:1], f[1][:1]) for f, z in zip(fit, small)], o["max_k"], o["seed"])
+                rows = []
+                for t, (x, w), model in zip(part["transcript_id"], data, chosen):
+                    got = peaks(x, w, model, o["min_cluster_size"], o["min_distance"], o["min_relative_dominance"], o["min_sharpness"])
+                    total = sum(c for _, c in got)
+                    rows += [(t, p, c, c / total, i) for i, (p, c) in enumerate(got, 1)]
+                yield pd.DataFrame(rows, columns=["transcript_id", "site_position", "site_count", "site_abundance", "site_rank"])
+
+    return own.mapInPandas(run, SITES)
 
 
 def with_abundance(sites: DataFrame, key: str = "transcript_id") -> DataFrame:
