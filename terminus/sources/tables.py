@@ -81,16 +81,6 @@ def sam(raw: DataFrame) -> DataFrame:
     )
 
 
-def fasta(raw: DataFrame) -> DataFrame:
-    """(chromosome, sequence) of FASTA lines (line_no, value) that all belong to one file."""
-    from pyspark.sql import Window
-
-    head = F.col("value").startswith(">")
-    name = F.last(F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)), ignorenulls=True).over(Window.orderBy("line_no"))
-    own = raw.withColumn("chromosome", name).where(~head)
-    return own.groupBy("chromosome").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.trim("value").alias("s")))), lambda x: x["s"]), "").alias("sequence"))
-
-
 def fasta_files(spark: SparkSession, path: str) -> DataFrame:
     """Chromosomes of FASTA files: records are cut at their marks by the reader, so a file splits over tasks."""
     raw = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
@@ -104,6 +94,15 @@ def fasta_faults(raw: DataFrame) -> DataFrame:
     return n.select("chromosome", fault.alias("fault")).where("fault IS NOT NULL")
 
 
+def wrapping_faults(spark: SparkSession, path: str) -> DataFrame:
+    """Records of FASTA files whose lines are not all as long as their first, the last one excepted, or that have a blank line."""
+    raw = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
+    own = raw.withColumn("rows", F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).withColumn("sizes", F.transform(F.slice("rows", 2, 1_000_000_000), lambda x: F.length(x)))
+    first, n = F.try_element_at("sizes", F.lit(1)), F.size("sizes")
+    odd = F.exists(F.slice("sizes", 1, F.greatest(n - 1, F.lit(0))), lambda x: x != first) | (F.try_element_at("sizes", F.lit(-1)) > first) | F.exists("sizes", lambda x: x == 0)
+    return own.where(odd).select(F.regexp_extract("value", r"^\s*(\S*)", 1).alias("chromosome"), F.lit("uneven lines").alias("fault"))
+
+
 def genome_size(raw: DataFrame) -> DataFrame:
     return raw.where(~F.col("value").startswith(">")).agg(F.sum(F.length(F.trim("value"))).alias("genome_size"))
 
@@ -167,6 +166,40 @@ def pas_files(spark: SparkSession, base: str, pattern: str = "*apa_sites.txt") -
     return own.select("*", *sample_identity(F.col("_path"))).drop("_path")
 
 
+def read_unified(spark: SparkSession, path: str) -> DataFrame:
+    """A detailed table of a unification; a row with other than the header's fields ends the job."""
+    head = spark.read.option("sep", "\t").option("header", True).csv(path)
+    need = {"cluster_key", "chromosome", "strand", "original_site_position", "mode_site_position"} - set(head.columns)
+    if need or not {"sample_id", "sample"} & set(head.columns):
+        raise ValueError(f"missing columns: {sorted(need) or 'sample_id'}")
+    own = spark.read.option("sep", "\t").option("header", True).option("mode", "FAILFAST").schema(head.schema).csv(path)
+    return own.withColumns({c: F.col(c).cast("int") for c in ("original_site_position", "mode_site_position")})
+
+
+def motif_families(table: DataFrame) -> dict[str, list[str]]:
+    """Auxiliary families in the table's order (motif_dna, motif_family and a row number, at most some hundred rows)."""
+    names = {"UAG-containing": "UAG", "GUA-containing": "GUA", "GUA-UAG-containing": "GUA_UAG"}
+    out: dict[str, list[str]] = {n: [] for n in names.values()}
+    for r in table.orderBy("row").collect():
+        family = (r["motif_family"] or "").strip()
+        if family not in names:
+            raise ValueError(f"unknown motif family: {family}")
+        if (r["motif_dna"] or "").strip():
+            out[names[family]].append(r["motif_dna"].strip().upper())
+    if empty := [k for k, v in out.items() if not v]:
+        raise ValueError(f"empty motif families: {empty}")
+    return out
+
+
+def species_key(path: str) -> str:
+    """The species that a unified table's name or folder says."""
+    p = PurePosixPath(path)
+    for end in ("_dp_segment_unified_apa_sites", "_unified_apa_sites"):
+        if p.suffix in (".txt", ".tsv") and p.stem.endswith(end):
+            return "_".join(p.stem.removesuffix(end).split())
+    return "_".join(p.parent.name.split())
+
+
 def species_models(table: DataFrame) -> DataFrame:
     """species_key to motif model; only supported groups are assessed. Repeated or empty keys are an error."""
     supported = (F.trim("model_status") == "reference_supported") & F.trim("motif_model_group").isin("MAMMALIAN", "LAND_PLANT", "BUDDING_YEAST", "FISSION_YEAST")
