@@ -481,6 +481,9 @@ agg AS (SELECT cluster_key, array_to_string(list_sort(list(DISTINCT transcript_i
 one AS (SELECT DISTINCT cluster_key, unified_ID, {_K}, cluster_start, cluster_end, cluster_width, mode_site_position, mode_score, mode_local_n_samples, mode_local_total_site_count, mode_exact_n_samples, mode_exact_total_site_count, n_unique_positions FROM kept)"""
 
 
+_KEPT = f"{_NEW}, {_SUM}"
+
+
 @query("AGG18_cluster_summary", f"""{_ALL}, {_OBS}, {_NEW}, {_SUM}
 SELECT one.cluster_key, unified_ID, gene_id, gene_name, effective_gene_id, chromosome, strand, cluster_start, cluster_end, cluster_width, mode_site_position, mode_score, mode_local_n_samples, concat(CAST(mode_local_total_site_count AS BIGINT), '') AS mode_local_total_site_count, mode_exact_n_samples, concat(CAST(mode_exact_total_site_count AS BIGINT), '') AS mode_exact_total_site_count, n_unique_positions,
  round_even(mean * 1e2::DOUBLE, 0) / 1e2::DOUBLE AS weighted_mean_position, round_even(sd * 1e2::DOUBLE, 0) / 1e2::DOUBLE AS weighted_position_sd, concat(CAST(iqr AS BIGINT), '') AS position_iqr, n_transcripts, transcript_ids, transcript_cluster_counts, concat(CAST(total AS BIGINT), '') AS total_site_count, n_samples, n_tissues, n_cell_cultures, sample_list, transcript_biotype, median_cluster_relative_abundance, filter_pass_rule, filter_reason
