@@ -1,6 +1,7 @@
 """BPE encoding and decoding by tree concatenation.
 
-A text is cut where white space ends a word, which the tokenizer drops. Short words are encoded by the library and remembered.
+A text is cut where white space ends a word, which the tokenizer drops. Short words are split by the tokenizer's own pattern, encoded
+by its model and remembered; texts beyond Latin Extended-A go to the library whole.
 Long unsplit text is cut into leaves that are encoded together in one parallel call; neighbours are then joined pairwise,
 level by level: the text around each join is encoded again in a window that grows until it agrees with both
 sides, token for token and place for place, or is both sides.
@@ -10,10 +11,12 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from terminus.llm.common import batch, small_batches, texts
@@ -23,7 +26,7 @@ LEAF = 4096
 #: Tokens on either side that a window must share with what it meets, and its characters on either side at first.
 AGREE, WINDOW = 8, 128
 #: Words remembered by a worker; it starts over beyond.
-REMEMBER = 150_000
+REMEMBER = 300_000
 #: Up to Latin Extended-A the library's and Python's ideas of white space and normal form are the same; the four information separators are not white space to the library.
 PLAIN = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u017f]")
 
@@ -83,22 +86,53 @@ def encode_tree(text: str, path: str, leaf: int = LEAF, window: int = WINDOW, ag
     return [t[0] for t in parts[0]]
 
 
+@functools.cache
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for themselves, others follow from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
+def word_rule(path: str) -> str | None:
+    """How the tokenizer splits a word, if it only lower-cases plain words, splits by one pattern and maps bytes to letters; else None."""
+    own = json.loads(tokenizer(path).to_str())
+    normal = [x["type"] for x in (own["normalizer"] or {}).get("normalizers", [])]
+    splits = (own["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if normal != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in splits] != ["Split", "ByteLevel"] or own["post_processor"] or own["decoder"]:
+        return None
+    first, second = splits
+    if own["normalizer"]["normalizers"][1]["pattern"] != {"Regex": r"\s+"} or not first["invert"] or first["behavior"] != "Removed" or second["add_prefix_space"] or second["use_regex"]:
+        return None
+    return first["pattern"].get("Regex")
+
+
 class Codec:
     """Encodes and decodes whole texts; remembers words between calls."""
 
     def __init__(self, path: str, leaf: int = LEAF):
         self.path, self.leaf, self.own, self.known = path, leaf, tokenizer(path), {}
+        rule = word_rule(path)
+        self.split = regex.compile(rule).findall if rule else None
+        self.letters = dict(enumerate(byte_letters()))
 
     def _learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > REMEMBER:
             self.known.clear()
+        tokenize = self.own.model.tokenize
         for w in words:
-            ids = encode_tree(w, self.path, self.leaf)
-            self.known[w] = (len(ids), " ".join(map(str, ids)), self.own.decode(ids, skip_special_tokens=False))
+            if len(w) > self.leaf or "<|" in w:
+                ids = encode_tree(w, self.path, self.leaf)
+                self.known[w] = (len(ids), " ".join(map(str, ids)), self.own.decode(ids, skip_special_tokens=False))
+                continue
+            low = w.lower()
+            parts = [low] if low.isalpha() else self.split(low)
+            tokens = [t for p in parts for t in tokenize(p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(self.letters))]
+            self.known[w] = (len(tokens), " ".join([str(t.id) for t in tokens]), " ".join([t.value for t in tokens]))
 
     def __call__(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by a space, the decoded text."""
-        if PLAIN.search(text) or self.own.decoder is not None:
+        if not self.split or PLAIN.search(text):
             ids = encode_tree(text, self.path, self.leaf)
             return len(ids), " ".join(map(str, ids)), self.own.decode(ids, skip_special_tokens=False)
         words = text.split()
