@@ -32,8 +32,8 @@ ROUNDS = (16, 48, 336)
 SHARD = 128
 #: Strings that start within so many bytes share a core.
 STEP = 8
-#: Texts are scanned in segments of so many bytes.
-SEGMENT = 1 << 20
+#: Texts are scanned in segments of so many bytes; a window has at most PIECE strings, and shards are merged together up to ROOM bytes.
+SEGMENT, PIECE, ROOM = 1 << 20, 4096, 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 5
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -123,10 +123,11 @@ def _windows(batches):
         for sig, text, own in zip(*(x.column(i).to_pylist() for i in range(3))):
             raw = text.encode("utf-8")
             for o in own:
-                rows.append((o["h"], o["salts"], int.from_bytes(sig[:6]) % o["salts"], sig, o["a"], raw[o["a"] : o["b"] + LENGTH]))
-                if len(rows) >= 2048:
-                    yield batch(dict(zip(schema.names, zip(*rows))), schema)
-                    rows = []
+                for a in range(o["a"], o["b"] + 1, PIECE):
+                    rows.append((o["h"], o["salts"], int.from_bytes(sig[:6]) % o["salts"], sig, a, raw[a : min(o["b"], a + PIECE - 1) + LENGTH]))
+                    if len(rows) >= 512:
+                        yield batch(dict(zip(schema.names, zip(*rows))), schema)
+                        rows = []
         if rows:
             yield batch(dict(zip(schema.names, zip(*rows))), schema)
 
@@ -203,10 +204,15 @@ def _merge(batches):
                 kept = cols if kept is None else [np.concatenate(c) if i < 4 else c[0] + c[1] for i, c in enumerate(zip(kept, cols))]
                 h, salt = kept[0], kept[2]
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])])
-                last = int(np.flatnonzero(new)[-1])
-                if last:
-                    yield from _settle(h[:last], kept[1][:last], kept[4][:last], kept[3][:last], kept[5][:last], new[:last])
-                    kept = [c[last:] for c in kept]
+                starts = np.flatnonzero(new)
+                size = np.concatenate([[0], np.cumsum([len(w) for w in kept[5]])])
+                done = 0
+                while done < len(starts) - 1:  # the last shard may go on
+                    i = starts[done]
+                    done = max(done + 1, int(np.searchsorted(size[starts[:-1]], size[i] + ROOM)))
+                    j = starts[done]
+                    yield from _settle(h[i:j], kept[1][i:j], kept[4][i:j], kept[3][i:j], kept[5][i:j], new[i:j])
+                kept = [c[starts[-1] :] for c in kept]
     if kept is not None:
         yield from _settle(kept[0], kept[1], kept[4], kept[3], kept[5], np.arange(len(kept[0])) == 0)
 
