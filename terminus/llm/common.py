@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch: bounds a Python worker's memory where single texts are long.
 BATCH_ROWS = 256
+#: Rows that a scan decodes at a time where texts are long, else the default; bytes of a row group that a task holds while it writes.
+SCAN_ROWS, SCAN_NUMBERS, ROW_GROUP = 512, 4096, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,16 +35,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write the rows once to the shared folder and read them back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    spark.sparkContext.__dict__.setdefault("_terminus_written", []).append(path)
+    df.write.option("parquet.block.size", str(ROW_GROUP)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Delete what this session has materialized; frames that were made from it can't be read afterwards."""
+    for path in spark.sparkContext.__dict__.pop("_terminus_written", []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def small_batches(spark: SparkSession) -> None:
+    """For rows with texts: few at a time through Arrow and out of a scan."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def large_batches(spark: SparkSession) -> None:
     """For narrow rows of numbers."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_NUMBERS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
 
 
