@@ -249,13 +249,14 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     small_batches(spark)
     index = materialize(texts(docs).mapInArrow(_index, "doc_id long, sig binary, n_bytes long, sha string, anchors array<struct<h:long,a:int,b:int,m:int>>"), "index")
-    same = index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"))
-    one = index.join(same, ["sig", "doc_id"], "left_semi")
-    each = one.select("sig", "doc_id", F.inline("anchors"))
+    named = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))  # documents without doc_id are told apart by their text alone
+    same = index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min(named).alias("name"))
+    one = index.withColumn("name", named).join(same, ["sig", "name"], "left_semi")
+    each = one.select("sig", "name", F.inline("anchors"))
     often = each.groupBy("h").agg(F.sum("m").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SHARD).cast("int").alias("salts"))
-    wanted = each.join(often, "h").groupBy("sig", "doc_id").agg(F.collect_list(F.struct("h", "salts", "a", "b")).alias("own"))
-    source = texts(docs).where("text is not null").withColumn("sig", F.unhex(F.md5("text")))
-    some = materialize(source.join(wanted, ["sig", "doc_id"]).select("sig", "text", "own"), "candidates")
+    wanted = each.join(often, "h").groupBy("sig", "name").agg(F.collect_list(F.struct("h", "salts", "a", "b")).alias("own"))
+    source = texts(docs).where("text is not null").select("text", named.alias("name"), F.unhex(F.md5("text")).alias("sig"))
+    some = materialize(source.join(wanted, ["sig", "name"]).dropDuplicates(["sig", "name"]).select("sig", "text", "own"), "candidates")
     shards = some.mapInArrow(_windows, "h long, salts int, salt int, sig binary, at long, window binary").repartition("h", "salt").sortWithinPartitions("h", "salt")
     found = materialize(shards.mapInArrow(_merge, OUT_TYPE), "repeats")
     open_ = found.where("core is not null")

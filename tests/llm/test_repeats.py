@@ -44,6 +44,8 @@ def test_against_brute_force(spark, docs):
 
 def test_frequent_anchors_in_shards(spark, docs, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD", 3)
+    monkeypatch.setattr(repeats, "PIECE", 100)
+    monkeypatch.setattr(repeats, "ROOM", 5000)
     texts = cases(2)
     assert sorted(map(tuple, deduplicate(docs(texts)).collect())) == brute(texts)
 
@@ -53,3 +55,14 @@ def test_segments_leave_no_string_out(monkeypatch):
     raw = random.Random(3).randbytes(7777)
     _, a, b, _ = anchors(raw)
     assert a[0] == 0 and b[-1] == len(raw) - LENGTH and (a[1:] == b[:-1] + 1).all()
+
+
+def test_repeated_rows_and_missing_names(spark):
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    rows = [(1, text), (1, text), (None, text[:450] + "x" * 10), (None, "y" + text[100:600]), (2, text[:300])]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, sig int")
+    got = sorted((tuple(r) for r in deduplicate(frame).collect()), key=lambda r: (r[1], str(r[0])))
+    assert [(r[0], r[1], r[2], r[3]) for r in got] == [(2, 300, 0, 0), (None, 460, 450, 1), (None, 501, 500, 1), (1, 900, 900, 1), (1, 900, 900, 1)]
+    own = repeats.cleaned(frame)
+    assert own.columns == frame.columns and own.where("doc_id = 1").select("text").distinct().collect()[0][0] == "" and own.count() == 5
