@@ -31,12 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write the rows once to the shared folder and read them back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     spark.sparkContext.__dict__.setdefault("_terminus_written", []).append(path)
-    df.write.option("parquet.block.size", str(ROW_GROUP)).parquet(path)
+    df.write.option("parquet.block.size", str(ROW_GROUP)).option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -153,7 +153,7 @@ def write(pages: DataFrame, folder: str | None = None, bundles: int | None = Non
     folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     own = own.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("size", F.coalesce(F.octet_length("html"), F.lit(0)))
-    own = materialize(own.withColumn("number", F.monotonically_increasing_id()), "pages")
+    own = materialize(own.withColumn("number", F.monotonically_increasing_id()), "pages", "zstd")
     narrow = own.where(F.col("size") >= least).select("number", "page_id", "digest")
     order = F.struct(F.col("page_id").isNull(), "page_id", "number")
     first = materialize(narrow.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.col("first.page_id").alias("refers_to"), F.col("first.number").alias("kept")), "first")
