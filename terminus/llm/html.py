@@ -311,10 +311,10 @@ def _merged(pairs):
         return batch({"host": list(held), "part": [part] * len(held), "wrapper": [json.dumps(w, separators=(",", ":")) for w in held.values()]}, schema)
 
     for host, w in pairs:
-        held[host] = merge(held[host], w) if host in held else w
-        if len(held) >= HOSTS:
+        if host not in held and len(held) >= HOSTS:  # where rows come by host, all of a host's are together
             yield out()
             held.clear()
+        held[host] = merge(held[host], w) if host in held else w
     if held:
         yield out()
 
