@@ -227,10 +227,14 @@ def with_clusters(rows: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def relative_abundance(detailed: DataFrame, name: str = "cluster_relative_abundance") -> DataFrame:
-    """A cluster's share of its transcript's reads in a sample, to four decimals."""
-    per = F.sum("site_count").over(Window.partitionBy("transcript_id", "sample_id", "cluster_key"))
-    whole = F.sum("site_count").over(Window.partitionBy("transcript_id", "sample_id"))
-    return detailed.withColumn(name, round_even(per / whole, 4))
+    """A cluster's share of its transcript's reads in a sample, to four decimals.
+
+    Sums are made in part before the shuffle and joined back, so a transcript with most of a sample's rows doesn't meet in one task."""
+    keys = ["transcript_id", "sample_id"]
+    part = detailed.groupBy(*keys, "cluster_key").agg(F.sum("site_count").alias("_part"))
+    whole = part.groupBy(*keys).agg(F.sum("_part").alias("_whole"))
+    share = part.join(whole, keys).select(*keys, "cluster_key", round_even(F.col("_part") / F.col("_whole"), 4).alias(name))
+    return detailed.join(share, [*keys, "cluster_key"])
 
 
 def short(x: float) -> str:
@@ -353,6 +357,7 @@ def resolve_cutoff(value: int | str, samples: int) -> int:
 def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | str = 50, capitalize: bool = True, numbered: DataFrame | None = None, segmentation: dict | None = None, **options) -> dict[str, DataFrame]:
     """Tables of a unification of normalized, filtered rows (with ingest_seq): detailed, summary, filtered_out, unfiltered.
 
+    Rows with their cluster are kept on the executors, in memory or on disk, since every table reads them several times.
     numbered: positions with cluster_number, if they come from elsewhere. A name of a cluster that is kept is a new one; the
     table of those filtered out has the names from before."""
     if strong_count == "auto":
@@ -360,15 +365,15 @@ def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | s
     options = options | {"strong_count": int(strong_count)}
     if numbered is None:
         numbered = evidence(rows).join(segment(rows, **(segmentation or {}), strong_count=int(strong_count)), JOIN_KEY)
-    detailed = relative_abundance(with_clusters(rows, cluster_map(numbered)), "prefilter_cluster_relative_abundance")
+    detailed = relative_abundance(with_clusters(rows, cluster_map(numbered)), "prefilter_cluster_relative_abundance").persist()
     found = {"observations": observation_verdicts, "transcript-totals": transcript_verdicts}
-    verdicts = no_filter(detailed) if strategy == "none" else found[strategy](detailed, **options)
+    verdicts = (no_filter(detailed) if strategy == "none" else found[strategy](detailed, **options)).persist()
     passed = detailed.join(verdicts.where("filter_passed").select("cluster_key"), "cluster_key", "left_semi")
     failed = detailed.join(verdicts.where("filter_passed").select("cluster_key"), "cluster_key", "left_anti").drop("prefilter_cluster_relative_abundance")
-    names = renumbered(passed)
+    names = renumbered(passed).persist()
     rename = lambda df: df.join(names, "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
     kept = relative_abundance(rename(passed).drop("prefilter_cluster_relative_abundance"))
-    kept = tissue_names(kept) if capitalize else kept
+    kept = (tissue_names(kept) if capitalize else kept).persist()
     every = detailed.drop("prefilter_cluster_relative_abundance")
     return {"detailed": kept, "summary": summary(kept, rename(verdicts)), "filtered_out": summary(failed, verdicts), "unfiltered": relative_abundance(tissue_names(every) if capitalize else every), "verdicts": verdicts}
 

@@ -539,7 +539,7 @@ def ord04(spark, sf):
     whole = before.groupBy("chromosome").agg(F.sum("n").alias("c"))
     whole = whole.withColumn("_c", F.sum("c").over(Window.orderBy("chromosome")) - F.col("c")).select("chromosome", "_c")
     ranked = own.withColumn("_r", F.row_number().over(Window.partitionBy("chromosome", "cluster_start").orderBy(*keys)))
-    got = ranked.join(first.select("chromosome", "cluster_start", "_n"), ["chromosome", "cluster_start"]).join(F.broadcast(whole), "chromosome")
+    got = ranked.join(first.select("chromosome", "cluster_start", "_n"), ["chromosome", "cluster_start"]).join(whole, "chromosome")
     return got.select("ingest_seq", "chromosome", "cluster_start", "original_site_position", (F.col("_c") + F.col("_n") + F.col("_r")).cast("long").alias("place"))
 
 
@@ -664,7 +664,7 @@ def agg19(spark, sf):
 def fix02(spark, sf):
     own = annotation.derived(B.models(spark, sf))
     region = own.groupBy("chromosome").agg(F.greatest(F.lit(0), F.min("tx_start") - 51).alias("first"), (F.max("tx_end") + 50).alias("last"))
-    return own.join(F.broadcast(region), "chromosome").select("transcript_id", (F.col("tx_start") - F.col("first")).alias("shifted"))
+    return own.join(region, "chromosome").select("transcript_id", (F.col("tx_start") - F.col("first")).alias("shifted"))
 
 
 @query("FIX04_hash_ranked_top", f"WITH {B.ENDS} SELECT transcript_id, name FROM (SELECT transcript_id, concat(read_end, '') AS name, row_number() OVER (PARTITION BY transcript_id ORDER BY sha256(concat_ws('|', 42, transcript_id, read_end)), concat(read_end, '')) AS r FROM (SELECT DISTINCT * FROM ends)) WHERE r <= 3")
