@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terminus.llm import language, packing, quality, repeats, simhash
-from terminus.llm.common import materialize, table
+from terminus.llm.common import gathered, materialize, table
 
 #: A document stays if it is in one of the learned languages with this probability.
 LEAST_SCORE = 0.5
@@ -26,18 +26,19 @@ def keep(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the learned decision list (operator 4)."""
-    return quality.passed(docs, table(spark, sf_dir, "labels"))
+    return gathered(quality.passed(docs, table(spark, sf_dir, "labels")), docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language (operator 9)."""
-    return language.passed(docs, LEAST_SCORE)
+    return gathered(language.passed(docs, LEAST_SCORE), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id (operator 7); repeated rows of it count as one."""
+    """Of each group of near duplicates the document with the smallest doc_id (operator 7); repeated rows of it count as one,
+    documents without doc_id go."""
     own = keep(docs, simhash.near_duplicates(docs).where("doc_id = component_id"))
-    return own.dropDuplicates(["doc_id"])
+    return gathered(own.dropDuplicates(["doc_id"]), docs)
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,8 +47,17 @@ def clean(spark: SparkSession) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def gathered(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Four scan splits of the source to a task, but two tasks a core at least: fewer files and task commits where a task streams its rows."""
+    spark = df.sparkSession
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.coalesce(min(1_000_000, max(2 * spark.sparkContext.defaultParallelism, -(-size // (4 * split)))))
+
+
 def small_batches(spark: SparkSession) -> None:
-    """For rows with texts: few at a time through Arrow and out of a scan."""
+    """For rows with texts: few at a time through Arrow and out of a scan, small row groups in what is written."""
+    spark.conf.set("parquet.block.size", str(ROW_GROUP))
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 

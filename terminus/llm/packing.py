@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, materialize, small_batches, texts
+from terminus.llm.common import batch, gathered, materialize, small_batches, texts
 
 LIMIT, END = 1024, 2
 #: Sub-ranks of each length; bounds the rows of a rank's window to a length's count over this.
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, limit: int = LIMI
     spark = docs.sparkSession
     small_batches(spark)
     cut = texts(docs).mapInArrow(_pieces(path, ranks, limit, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
-    own = materialize(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))), "pieces")
+    own = materialize(gathered(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))), docs), "pieces")
     tally = materialize(own.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "tally")
     counts = [0] * (limit + 1)
     for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `limit` rows

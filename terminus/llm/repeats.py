@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, materialize, small_batches, texts
+from terminus.llm.common import batch, gathered, materialize, small_batches, texts
 
 LENGTH, GRAM = 400, 48
 #: Symbols of the rounds, in bytes.
@@ -248,7 +248,7 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bytes of it go. A sig is in the second table once, so a text that very many documents have is met by one join that can be split."""
     spark = docs.sparkSession
     small_batches(spark)
-    index = materialize(texts(docs).mapInArrow(_index, "doc_id long, sig binary, n_bytes long, sha string, anchors array<struct<h:long,a:int,b:int,m:int>>"), "index")
+    index = materialize(gathered(texts(docs).mapInArrow(_index, "doc_id long, sig binary, n_bytes long, sha string, anchors array<struct<h:long,a:int,b:int,m:int>>"), docs), "index")
     named = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))  # documents without doc_id are told apart by their text alone
     same = index.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min(named).alias("name"))
     one = index.withColumn("name", named).join(same, ["sig", "name"], "left_semi")
@@ -256,9 +256,9 @@ def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     often = each.groupBy("h").agg(F.sum("m").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SHARD).cast("int").alias("salts"))
     wanted = each.join(often, "h").groupBy("sig", "name").agg(F.collect_list(F.struct("h", "salts", "a", "b")).alias("own"))
     source = texts(docs).where("text is not null").select("text", named.alias("name"), F.unhex(F.md5("text")).alias("sig"))
-    some = materialize(source.join(wanted, ["sig", "name"]).dropDuplicates(["sig", "name"]).select("sig", "text", "own"), "candidates")
+    some = materialize(gathered(source.join(wanted, ["sig", "name"]).dropDuplicates(["sig", "name"]).select("sig", "text", "own"), docs), "candidates")
     shards = some.mapInArrow(_windows, "h long, salts int, salt int, sig binary, at long, window binary").repartition("h", "salt").sortWithinPartitions("h", "salt")
-    found = materialize(shards.mapInArrow(_merge, OUT_TYPE), "repeats")
+    found = materialize(gathered(shards.mapInArrow(_merge, OUT_TYPE), docs), "repeats")
     open_ = found.where("core is not null")
     shared = open_.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     keys = materialize(open_.join(shared, "core", "left_semi").select("sig", "a", F.posexplode("keys").alias("i", "key")), "keys")
@@ -302,4 +302,5 @@ def cleaned(docs: DataFrame) -> DataFrame:
     whole = (F.col("_copies") > 1) & (F.octet_length("text") >= LENGTH)
     text = F.when(F.col("text").isNull(), F.lit(None)).when(whole, F.lit("")).otherwise(F.coalesce("_kept", "text"))
     own = own.withColumn("text", text).select(*docs.columns)
-    return own.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else own
+    own = own.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else own
+    return gathered(own, docs)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, large_batches, materialize, small_batches, texts
+from terminus.llm.common import batch, gathered, large_batches, materialize, small_batches, texts
 from terminus.llm.components import components, local_labels
 
 WORDS, SEED, BITS = 3, 42, 2
@@ -125,7 +125,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    own = materialize(texts(docs).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
+    own = materialize(gathered(texts(docs).mapInArrow(_fingerprints, "doc_id long, fp long"), docs), "fingerprints")
     distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     large_batches(spark)
     signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
