@@ -12,18 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terminus.llm import language, packing, quality, repeats, simhash
+from terminus.llm import language, nearcopies, packing, quality, repeats
 from terminus.llm.common import gathered, materialize, table
 
 #: A document stays if it is in one of the learned languages with this probability.
 LEAST_SCORE = 0.5
 
 
-def keep(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is in the table of a stage's decisions."""
-    return docs.join(doc_ids.select(F.col("doc_id").alias("kept_id")), F.col("doc_id") == F.col("kept_id"), "left_semi")
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the learned decision list (operator 4)."""
     return gathered(quality.passed(docs, table(spark, sf_dir, "labels")), docs)
@@ -35,9 +30,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id (operator 7); repeated rows of it count as one,
-    documents without doc_id go."""
-    own = keep(docs, simhash.near_duplicates(docs).where("doc_id = component_id"))
+    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the document with the smallest doc_id; repeated rows
+    of it count as one, documents without doc_id go."""
+    first = nearcopies.near_copies(docs).select(F.col("doc_id").alias("first_id"), F.col("hash").alias("first_hash"))
+    own = docs.join(first, (F.col("doc_id") == F.col("first_id")) & (F.xxhash64("text") == F.col("first_hash")), "left_semi")
     return gathered(own.dropDuplicates(["doc_id"]), docs)
 
 
