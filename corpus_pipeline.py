@@ -30,11 +30,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the document with the smallest doc_id; repeated rows
-    of it count as one, documents without doc_id go."""
+    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the row with the smallest doc_id; rows are told apart
+    by doc_id and text, repeated ones count as one, a group without doc_id keeps a row too."""
     first = nearcopies.near_copies(docs).select(F.col("doc_id").alias("first_id"), F.col("hash").alias("first_hash"))
-    own = docs.join(first, (F.col("doc_id") == F.col("first_id")) & (F.xxhash64("text") == F.col("first_hash")), "left_semi")
-    return gathered(own.dropDuplicates(["doc_id"]), docs)
+    keyed = docs.withColumn("__hash", F.xxhash64("text"))
+    own = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("__hash") == F.col("first_hash")), "left_semi")
+    return gathered(own.dropDuplicates(["doc_id", "__hash"]).drop("__hash"), docs)
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

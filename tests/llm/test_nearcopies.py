@@ -67,3 +67,9 @@ def lists(texts):
         for band, key in enumerate(nearcopies.bands(nearcopies.shingles(t))):
             out.setdefault((band, key), set()).add(t)
     return out
+
+
+def test_rows_without_or_with_repeated_doc_id(spark):
+    rows = [(None, "a b c d e f g"), (None, "a  B c d e f g"), (None, "quite another text of some words"), (1, "x y z x y z q"), (1, "other words with the same id"), (1, "x y z x y z q"), (2, "X y z x y z q")]
+    got = kept(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(got) == 4 and {(r.doc_id, r.text) for r in got} >= {(None, rows[2][1]), (1, rows[3][1]), (1, rows[4][1])}
