@@ -39,10 +39,18 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|[^<]++|<""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+#: Words that don't change what a mark beside them in a name says: comment-list is marked, has-sidebar and related-work are not.
+PLAIN = frozenset("area bar block bottom box button buttons container inner item items left links list outer page panel post posts right section site top wrap wrapper".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def marks(name: str) -> bool:
+    """Whether a class, id or role is a mark, alone or only beside plain words."""
+    words = [w.lower() for w in WORD.findall(name)]
+    return any(w in MARKS for w in words) and all(w in MARKS or w in PLAIN or len(w) == 1 for w in words)
+
+
 class Element:
     __slots__ = ("tag", "label", "parent", "kids", "drop", "marked", "inline", "rooted")
 
@@ -142,8 +150,8 @@ def parse(html: str) -> list[tuple[Element, str]]:
                 key, value = a[1].lower(), a[2] or a[3] or a[4] or ""
                 if key == "hidden" or key == "aria-hidden" and value == "true":
                     marked = True
-                elif key != "aria-hidden":
-                    marked |= any(w.lower() in MARKS for w in WORD.findall(value))
+                elif key in ("class", "id", "role"):
+                    marked |= any(marks(n) for n in value.split())
                     if key == "class" and value:
                         label = f"{name}.{value.split()[0]}" if value.split() else name
         if name in BLOCKS:

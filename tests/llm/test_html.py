@@ -64,3 +64,11 @@ def test_optional_and_repeated():
     assert [(k[0], k[1], k[2]) for k in div[3]] == [("h1", 0, 0), ("h2", 1, 0), ("p", 0, 1)]
     c = content_shape("<div><dt>a</dt><dd>b</dd><dt>c</dt><dd>d</dd></div>")
     assert c[3][0][3][0][0] == "()" and c[3][0][3][0][2] == 1
+
+
+def test_only_real_attributes_and_whole_names_mark():
+    for inner in ('<div style="overflow:hidden">t</div>', '<p title="the hidden cost">t</p>', '<a href="/posts/hidden-gems">t</a>', '<a href="/x?id=search">t</a>', "<p data-x='a class=ads'>t", '<section id="related-work">t</section>', '<section id="search-methods">t</section>', '<p data-hidden>t'):
+        assert main_text(f"<article>{inner}</article>") == "t", inner
+    assert main_text('<div class="content has-sidebar"><p>t</div>') == "t"
+    for inner in ("<p hidden>t", "<p HIDDEN=''>t", "<p aria-hidden=true>t", "<div class='x related-posts'>t</div>", "<div id=siteHeader>t</div>", "<div role = 'search'>t</div>"):
+        assert main_text(f"<article>{inner}</article>") == "", inner
