@@ -39,6 +39,9 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|[^<]++|<""", re.S)
+#: The end tag of an element with raw content, or what is there of it; of those in `CUT` only the tag goes if there is none.
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I) for name in RAW}
+CUT = frozenset("svg noscript iframe template".split())
 ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 #: Words that don't change what a mark beside them in a name says: comment-list is marked, has-sidebar and related-work are not.
 PLAIN = frozenset("area bar block bottom box button buttons container inner item items left links list outer page panel post posts right section site top wrap wrapper".split())
@@ -104,13 +107,10 @@ def parse(html: str) -> list[tuple[Element, str]]:
             e = e.parent
         return e
 
-    raw = ""
-    for m in TOKEN.finditer(html):
-        token = m[0]
-        if raw:
-            if token[:2] == "</" and (m[2] or m[5] or "").lower() == raw:
-                raw = ""
-            continue
+    at, size, absent = 0, len(html), set()
+    while at < size:
+        m = TOKEN.match(html, at)
+        token, at = m[0], m.end()
         if token[0] != "<" or token == "<":
             if (e := block(now)) is not owner:
                 flush()
@@ -137,7 +137,13 @@ def parse(html: str) -> list[tuple[Element, str]]:
         if name in RAW and name in DROPPED or name == "xmp":
             if name in BLOCKS:
                 flush()
-            raw = name
+            if name not in absent and not (name == "svg" and token.endswith("/>")):
+                if end := RAW_END[name].search(html, at):
+                    at = end.end()
+                else:
+                    absent.add(name)
+                    if name not in CUT:
+                        at = size
             continue
         if name in VOID:
             if name in BLOCKS:

@@ -72,3 +72,9 @@ def test_only_real_attributes_and_whole_names_mark():
     assert main_text('<div class="content has-sidebar"><p>t</div>') == "t"
     for inner in ("<p hidden>t", "<p HIDDEN=''>t", "<p aria-hidden=true>t", "<div class='x related-posts'>t</div>", "<div id=siteHeader>t</div>", "<div role = 'search'>t</div>"):
         assert main_text(f"<article>{inner}</article>") == "", inner
+
+
+def test_raw_content_ends_at_its_end_tag():
+    for inner in ("<script>for(i=0;i<n;i++){}</script>", "<script>a='<!--'</SCRIPT >", "<style>a<b{}</style>", "<svg><path d='x'/></svg>", "<svg/>", "<svg>", "<noscript>", "<iframe>", "<template>", "<script>'</scripts>'</script>"):
+        assert main_text(f"<article>a{inner}<p>b</article>") in ("a b", "ab"), inner
+    assert main_text("<article>a" + "<svg>" * 20000 + "b").startswith("a")
