@@ -4,7 +4,7 @@ A page is a tree of block elements with text slots. Trees of one host are aligne
 unions: children that both have are merged, children that one lacks become optional, neighbours of one kind become a
 repeated group, and text that differs becomes a slot while text that never does stays a constant. Pages are merged in the
 task that reads them, then wrappers are merged in two levels, so a host's number of pages never meets in one task.
-The article is the wrapper's article element or, where a host marks none, the container with most slot text.
+The article is the wrapper's article element or, where a host marks none, the innermost container of all slot text.
 """
 
 from __future__ import annotations
@@ -187,7 +187,8 @@ def parse(html: str) -> list[tuple[Element, str]]:
     return blocks
 
 
-# A wrapper is [label, optional, repeated, children]; a text slot is ["#", optional, repeated, lowest, highest, characters].
+# A wrapper is [label, optional, repeated, children]; a text slot is ["#", optional, repeated, lowest, highest, characters, lowest and highest page],
+# texts and pages by their hashes: equal bounds are one text, or one page.
 
 
 def below(e: Element):
@@ -201,21 +202,21 @@ def below(e: Element):
             todo += reversed(k.kids)
 
 
-def shape(e: Element, level: int = 0) -> list:
+def shape(e: Element, level: int = 0, page: int = 0) -> list:
     kids = []
     for k in e.kids if level < LEVELS else below(e):
         if isinstance(k, str):
             h = zlib.crc32(k.encode("utf-8", "surrogatepass"))
-            kids.append(["#", 0, 0, h, h, len(k)])
+            kids.append(["#", 0, 0, h, h, len(k), page, page])
         else:
-            kids.append(shape(k, level + 1))
+            kids.append(shape(k, level + 1, page))
     return [e.label, 0, 0, fold(kids)]
 
 
 def merge(a: list, b: list, repeated: int = 0) -> list:
     optional, again = a[1] | b[1], a[2] | b[2] | repeated
     if a[0] == "#":
-        return ["#", optional, again, min(a[3], b[3]), max(a[4], b[4]), a[5] + b[5]]
+        return ["#", optional, again, min(a[3], b[3]), max(a[4], b[4]), a[5] + b[5], min(a[6], b[6]), max(a[7], b[7])]
     return [a[0], optional, again, fold(align(a[3], b[3]))]
 
 
@@ -267,22 +268,25 @@ def fold(kids: list) -> list:
 
 
 def rules(wrapper: list) -> dict:
-    """What an extraction needs: the container with most slot text, and the paths of constants."""
-    sums: dict[tuple, int] = {}
+    """What an extraction needs: the innermost container of all slot text, and the paths of constants, which two distinct pages hold at least."""
+    container: tuple | None = None
     constant: dict[tuple, bool] = {}
 
     def walk(node, path):
+        nonlocal container
         for k in node[3]:
             if k[0] == "#":
-                fixed = k[3] == k[4]
+                fixed = k[3] == k[4] and k[6] != k[7]
                 constant[path] = constant.get(path, True) and fixed
                 if not fixed:
-                    sums[path[:-1]] = sums.get(path[:-1], 0) + k[5]
+                    own = path[:-1] if len(path) > 1 else path
+                    same = [x == y for x, y in zip(container, own)] if container is not None else []
+                    container = own if container is None else own[: [*same, False].index(False)]
             else:
                 walk(k, path if k[0] == "()" else (*path, k[0]))
 
     walk(wrapper, ("",))
-    return {"container": max(sums, key=lambda p: (sums[p], p)) if sums else None, "constant": [list(p) for p, c in constant.items() if c]}
+    return {"container": container, "constant": [list(p) for p, c in constant.items() if c]}
 
 
 def content_shape(html: str) -> list:
@@ -299,7 +303,7 @@ def content_shape(html: str) -> list:
         e = todo.pop()
         e.kids = [k for k in e.kids if isinstance(k, str) or not k.away()]
         todo += [k for k in e.kids if not isinstance(k, str)]
-    return shape(top)
+    return shape(top, page=zlib.crc32("\0".join(t for _, t in blocks).encode("utf-8", "surrogatepass")))
 
 
 def main_text(html: str | None, rule: dict | None = None) -> str:

@@ -78,3 +78,19 @@ def test_raw_content_ends_at_its_end_tag():
     for inner in ("<script>for(i=0;i<n;i++){}</script>", "<script>a='<!--'</SCRIPT >", "<style>a<b{}</style>", "<svg><path d='x'/></svg>", "<svg/>", "<svg>", "<noscript>", "<iframe>", "<template>", "<script>'</scripts>'</script>"):
         assert main_text(f"<article>a{inner}<p>b</article>") in ("a b", "ab"), inner
     assert main_text("<article>a" + "<svg>" * 20000 + "b").startswith("a")
+
+
+def wrapped(*pages):
+    wrapper = content_shape(pages[0])
+    for p in pages[1:]:
+        wrapper = merge(wrapper, content_shape(p))
+    return rules(wrapper)
+
+
+def test_all_blocks_of_one_page_and_of_sibling_sections():
+    one = "<div><h1>T</h1><p>a</p><p>b</p></div>"
+    assert main_text(one, wrapped(one)) == main_text(one, wrapped(one, one)) == "T a b"
+    page = "<body><p>Our site</p><div><section class=intro><p>i{0}</section><section class=body><p>b{0} and much more text<p>c{0}</section><p>p{0}<ul><li>l{0}</ul></div></body>"
+    assert main_text(page.format(1), wrapped(page.format(1), page.format(2))) in ("i1 b1 and much more text c1 p1 l1", "Our site i1 b1 and much more text c1 p1 l1")
+    split = "<body><h5>Our site</h5><div><h1>T{0}</h1><p>a{0}<ul><li>l{0}</ul></div><section><p>b{0}</section></body>"
+    assert main_text(split.format(1), wrapped(split.format(1), split.format(2))) == "T1 a1 l1 b1"
