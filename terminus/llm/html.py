@@ -4,7 +4,8 @@ A page is a tree of block elements with text slots. Trees of one host are aligne
 unions: children that both have are merged, children that one lacks become optional, neighbours of one kind become a
 repeated group, and text that differs becomes a slot while text that never does stays a constant. Pages are merged in the
 task that reads them, then wrappers are merged in two levels, so a host's number of pages never meets in one task.
-The article is the wrapper's article element or, where a host marks none, the innermost container of all slot text.
+Every page goes through its host's wrapper: constants go, and the article is the article element if it holds at least half of what
+is left, else the innermost container of all slot text.
 """
 
 from __future__ import annotations
@@ -307,16 +308,19 @@ def content_shape(html: str) -> list:
 
 
 def main_text(html: str | None, rule: dict | None = None) -> str:
-    """The article of a page as one line; empty if there is none."""
+    """The article of a page as one line; empty if there is none.
+
+    Constants of the host's wrapper go first, unless the page has nothing else. Of what is left the article elements are the article if they hold half of
+    the characters or more, else its container is; teasers beside a longer text don't replace it."""
     blocks = [(e, t) for e, t in parse(html or "") if not e.away()]
-    if any(e.root() for e, _ in blocks):
-        return " ".join(t for e, t in blocks if e.root())
-    if rule and rule["container"] is not None:
-        box, fixed = rule["container"], {tuple(p) for p in rule["constant"]}
-        own = [t for e, t in blocks if (p := e.path())[: len(box)] == list(box) and tuple(p) not in fixed]
-        if own:
-            return " ".join(own)
-    return " ".join(t for _, t in blocks)
+    if rule:
+        fixed = {tuple(p) for p in rule["constant"]}
+        blocks = [(e, t) for e, t in blocks if tuple(e.path()) not in fixed] or blocks
+    marked = [t for e, t in blocks if e.root()]
+    if marked and 2 * sum(map(len, marked)) >= sum(len(t) for _, t in blocks):
+        return " ".join(marked)
+    box = list(rule["container"] or ()) if rule else []
+    return " ".join([t for e, t in blocks if e.path()[: len(box)] == box] or [t for _, t in blocks])
 
 
 def _merged(pairs):

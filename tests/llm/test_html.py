@@ -94,3 +94,10 @@ def test_all_blocks_of_one_page_and_of_sibling_sections():
     assert main_text(page.format(1), wrapped(page.format(1), page.format(2))) in ("i1 b1 and much more text c1 p1 l1", "Our site i1 b1 and much more text c1 p1 l1")
     split = "<body><h5>Our site</h5><div><h1>T{0}</h1><p>a{0}<ul><li>l{0}</ul></div><section><p>b{0}</section></body>"
     assert main_text(split.format(1), wrapped(split.format(1), split.format(2))) == "T1 a1 l1 b1"
+
+
+def test_wrapper_decides_on_pages_with_article():
+    teasers = "<body><article><p>t{0}</article><article><p>u{0}</article><div><p>the real text of page {0} is long</div></body>"
+    assert main_text(teasers.format(1), wrapped(teasers.format(1), teasers.format(2))) == "t1 u1 the real text of page 1 is long"
+    page = "<body><div>x{0}</div><article><p>text of {0}</p><h6>Read our paper</h6></article></body>"
+    assert main_text(page.format(1), wrapped(page.format(1), page.format(2))) == "text of 1"
