@@ -1,8 +1,8 @@
 """Exact top-k inner products over norm-sorted blocks.
 
-Vectors are dealt into blocks by descending length; queries into blocks by a hash. The longest vectors give each query a
-first bound on its k-th score. A block pair is skipped if no query of it can reach its bound with the block's
-longest vector. Within a pair, slices of falling length are scored by the leading coordinates of an SVD rotation plus a
+Vectors are dealt into groups of blocks by descending length. The longest vectors give each query a first bound on its k-th score;
+queries are then dealt into blocks by the length that a vector needs to reach that bound. Which group a block of queries must meet is decided
+on narrow rows, by levels of length, before any vector moves; queries travel to the groups. Within a pair of blocks, slices of falling length are scored by the leading coordinates of an SVD rotation plus a
 Cauchy-Schwarz bound on the rest; only what can still reach the bound gets its integer product.
 """
 
@@ -12,14 +12,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, materialize
+from terminus.llm.common import batch, materialize, sliced
 
 K, EVERY, SCALE = 5, 50, 256
 #: Vectors of a block, queries of a block, vectors scored at a time, leading coordinates of the rotation.
 BLOCK, QUERIES, SLICE, LEADING = 2048, 1024, 512, 16
+#: Blocks of a group; blocks of queries that meet a group in one task; levels for each doubling of length.
+GROUP, MEET, LEVELS = 4, 64, 8
 #: Vectors that the rotation is fitted on at most; it decides what is pruned, never a result.
 FIT = 4096
 EXACT = float(1 << 53)
@@ -42,30 +45,33 @@ def _clean(batches):
 
 
 def _blocks(d: int, most: int):
-    """Rows (key, uid, vec_id, ints, norm) in order: blocks of one key with at most `most` vectors."""
-    schema = pa.schema([("key", pa.int64()), ("top", pa.float64()), ("uids", pa.binary()), ("ids", pa.binary()), ("matrix", pa.binary())])
-
-    def pack(rows):
-        m = np.zeros((len(rows), d))
-        for i, r in enumerate(rows):
-            m[i, : len(r[3])] = r[3]
-        return batch({"key": [rows[0][0]], "top": [max(r[4] for r in rows)], "uids": [np.array([r[1] for r in rows], "<i8").tobytes()], "ids": [np.array([r[2] for r in rows], "<i8").tobytes()], "matrix": [m.tobytes()]}, schema)
+    """Rows (uid, vec_id, ints, rank, bound) in order: blocks with at most `most` of a partition's vectors, top the largest rank in them."""
+    schema = pa.schema([("part", pa.int64()), ("key", pa.int64()), ("top", pa.float64()), ("uids", pa.binary()), ("ids", pa.binary()), ("matrix", pa.binary()), ("bounds", pa.binary())])
 
     def run(batches):
-        rows: list = []
-        for x in batches:
-            for r in zip(*(c.to_pylist() for c in x.columns)):
-                if rows and (len(rows) >= most or r[0] != rows[0][0]):
-                    yield pack(rows)
-                    rows = []
-                rows.append(r)
-        if rows:
-            yield pack(rows)
+        part, key, held, n = TaskContext.get().partitionId(), 0, [], 0
+
+        def pack(rows):
+            m = np.zeros((rows.num_rows, d))
+            for i, r in enumerate(rows.column(2).to_pylist()):
+                m[i, : len(r)] = r
+            of = [rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4)]
+            return batch({"part": [part], "key": [(part << 32) + key], "top": [of[2].max()], "uids": [of[0].astype("<i8").tobytes()], "ids": [of[1].astype("<i8").tobytes()], "matrix": [m.tobytes()], "bounds": [of[3].astype("<f8").tobytes()]}, schema)
+
+        for x in sliced(batches, most):
+            while x.num_rows:
+                held.append(x.slice(0, most - n))
+                n, x = n + held[-1].num_rows, x.slice(most - n)
+                if n == most:
+                    yield pack(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                    key, held, n = key + 1, [], 0
+        if n:
+            yield pack(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     return run
 
 
-BLOCK_TYPE = "key long, top double, uids binary, ids binary, matrix binary"
+BLOCK_TYPE = "part long, key long, top double, uids binary, ids binary, matrix binary, bounds binary"
 
 
 def _matrix(raw: bytes, d: int) -> np.ndarray:
@@ -118,21 +124,20 @@ def best(q: np.ndarray, quid: np.ndarray, bound: np.ndarray, v: np.ndarray, vuid
 
 
 def _bounds(d: int, head: list[tuple], rotation: np.ndarray, k: int):
-    """Give each query block the bounds that the longest vectors set."""
+    """Give each query (uid, vec_id, ints, norm) the bound that the longest vectors set, and the least length of a vector that reaches it, negated."""
 
     def run(batches):
-        schema = pa.schema([("key", pa.int64()), ("ratio", pa.float64()), ("quids", pa.binary()), ("qids", pa.binary()), ("qmatrix", pa.binary()), ("bounds", pa.binary())])
-        for x in batches:
-            for key, _, uids, ids, raw in zip(*(c.to_pylist() for c in x.columns)):
-                q, quid = _matrix(raw, d), np.frombuffer(uids, "<i8")
-                bound = np.full(len(q), -np.inf)
-                for vuids, vids, vraw in head:
-                    v = _matrix(vraw, d)
-                    bound = best(q, quid, bound, v, np.frombuffer(vuids, "<i8"), np.frombuffer(vids, "<i8"), rotation, k)[1]
-                norm = np.sqrt((q * q).sum(axis=1))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    ratio = np.where(bound > 0, norm / bound, np.inf).max()
-                yield batch({"key": [key], "ratio": [float(ratio)], "quids": [uids], "qids": [ids], "qmatrix": [raw], "bounds": [bound.tobytes()]}, schema)
+        schema = pa.schema([("uid", pa.int64()), ("vec_id", pa.int64()), ("ints", pa.list_(pa.float64())), ("rank", pa.float64()), ("bound", pa.float64())])
+        for x in sliced(batches, QUERIES):
+            q = np.zeros((x.num_rows, d))
+            for i, r in enumerate(x.column(2).to_pylist()):
+                q[i, : len(r)] = r
+            quid, norm, bound = x.column(0).to_numpy(), np.sqrt((q * q).sum(axis=1)), np.full(len(q), -np.inf)
+            for vuids, vids, vraw in head:
+                bound = best(q, quid, bound, _matrix(vraw, d), np.frombuffer(vuids, "<i8"), np.frombuffer(vids, "<i8"), rotation, k)[1]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                needed = np.where(bound > 0, bound / norm * (1 - 1e-9), 0.0)
+            yield batch({"uid": x.column(0), "vec_id": x.column(1), "ints": x.column(2), "rank": -needed, "bound": bound}, schema)
 
     return run
 
@@ -140,7 +145,7 @@ def _bounds(d: int, head: list[tuple], rotation: np.ndarray, k: int):
 def _pairs(d: int, rotation: np.ndarray, k: int):
     def run(batches):
         schema = pa.schema([("quid", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("uid", pa.int64()), ("score", pa.int64())])
-        for x in batches:
+        for x in sliced(batches, 1):
             for vuids, vids, vraw, quids, qids, qraw, bounds in zip(*(c.to_pylist() for c in x.columns)):
                 vuid, vid, quid, qid = (np.frombuffer(b, "<i8") for b in (vuids, vids, quids, qids))
                 hits, _ = best(_matrix(qraw, d), quid, np.frombuffer(bounds), _matrix(vraw, d), vuid, vid, rotation, k)
@@ -150,6 +155,10 @@ def _pairs(d: int, rotation: np.ndarray, k: int):
     return run
 
 
+def _level(length: Column) -> Column:
+    return F.when(length > 0, F.floor(F.log2(F.greatest(length, F.lit(1e-9))) * LEVELS)).otherwise(F.lit(-(1 << 20))).cast("int")
+
+
 def search(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by `every` its k best of all other rows.
 
@@ -157,14 +166,12 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     if filled up with zeros. A repeated row is a row: it may be found by its double, and asks for itself. Ties go
     to the smaller vec_id. An empty table gives an empty result; other columns are not read. Scores must fit in 64 bits.
 
-    The driver sees a count, at most FIT vectors for the rotation and the two longest blocks; a query block is sent
-    to each block of vectors that it may find something in.
+    The driver sees a count, at most FIT vectors for the rotation, the two longest blocks and the levels of length. A block of queries
+    travels to the groups that it may find something in, a group once for each MEET such blocks.
     """
     spark = vectors.sparkSession
-    set_rows = lambda n: spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
-    set_rows(BLOCK)
     raw = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    own = materialize(raw.mapInArrow(_clean, "vec_id long, ints array<double>, norm double").withColumn("uid", F.monotonically_increasing_id()), "vectors")
+    own = materialize(raw.mapInArrow(_clean, "vec_id long, ints array<double>, norm double").withColumn("uid", F.monotonically_increasing_id()), "vectors", rows=BLOCK)
     n, d, asked = own.agg(F.count(F.lit(1)), F.max(F.size("ints")), F.count_if(F.col("vec_id") % every == 0)).first()
     if not asked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -173,19 +180,21 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     for i, r in enumerate(sample):
         m[i, : len(r[0])] = r[0]
     rotation = np.linalg.svd(m, full_matrices=True)[2].T if d else np.zeros((0, 0))
-    parts = math.ceil(n / BLOCK)
-    columns = ("uid", "vec_id", "ints", "norm")
-    ordered = own.repartitionByRange(parts, F.desc("norm"), F.asc("uid")).sortWithinPartitions(F.desc("norm"), "uid")
-    blocks = materialize(ordered.select(F.lit(0).cast("long").alias("key"), *columns).mapInArrow(_blocks(d, BLOCK), BLOCK_TYPE).drop("key"), "blocks")
-    n_blocks = math.ceil(asked / QUERIES)
-    queries = own.where(F.col("vec_id") % every == 0).withColumn("key", F.pmod(F.xxhash64("uid"), F.lit(n_blocks)))
-    queries = queries.repartition("key").sortWithinPartitions("key", F.desc("norm"), "uid").select("key", *columns).mapInArrow(_blocks(d, QUERIES), BLOCK_TYPE)
-    head = [tuple(r) for r in blocks.orderBy(F.desc("top")).limit(2).select("uids", "ids", "matrix").collect()]
-    set_rows(4)
-    queries = materialize(queries.mapInArrow(_bounds(d, head, rotation, k), "key long, ratio double, quids binary, qids binary, qmatrix binary, bounds binary"), "queries")
-    keyed = blocks.withColumn("key", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
-    pairs = keyed.join(queries.hint("shuffle_hash"), "key").where(F.col("top") * F.col("ratio") >= 1 - 1e-9).select("uids", "ids", "matrix", "quids", "qids", "qmatrix", "bounds")
-    spread = pairs.repartition(max(1, min(parts * n_blocks, 4096)))
-    found = spread.mapInArrow(_pairs(d, rotation, k), "quid long, query_id long, vec_id long, uid long, score long")
+    rows = ("uid", "vec_id", "ints", "rank", "bound")
+    ordered = own.withColumn("rank", F.col("norm")).withColumn("bound", F.lit(0.0)).repartitionByRange(math.ceil(n / (BLOCK * GROUP)), F.desc("rank"), F.asc("uid")).sortWithinPartitions(F.desc("rank"), "uid")
+    blocks = materialize(ordered.select(*rows).mapInArrow(_blocks(d, BLOCK), BLOCK_TYPE).drop("bounds"), "blocks", rows=BLOCK)
+    head = [tuple(r) for r in blocks.orderBy(F.desc("top"), "key").limit(2).select("uids", "ids", "matrix").collect()]
+    bounded = own.where(F.col("vec_id") % every == 0).select("uid", "vec_id", "ints", "norm").repartition(math.ceil(asked / QUERIES), "uid").mapInArrow(_bounds(d, head, rotation, k), "uid long, vec_id long, ints array<double>, rank double, bound double")
+    bounded = materialize(bounded, "bounds", rows=QUERIES).repartitionByRange(math.ceil(asked / (QUERIES * GROUP)), "rank", "uid").sortWithinPartitions("rank", "uid")
+    queries = materialize(bounded.select(*rows).mapInArrow(_blocks(d, QUERIES), BLOCK_TYPE).withColumnRenamed("top", "rank"), "queries", rows=QUERIES)
+    groups = blocks.groupBy("part").agg(F.max("top").alias("longest"))
+    levels = sorted(r[0] for r in groups.select(_level(F.col("longest"))).distinct().collect())  # as many as lengths have levels
+    reached = F.filter(F.array(*map(F.lit, levels)), lambda x: x >= _level(-F.col("rank")))
+    asking = queries.select("key", "rank", F.explode(reached).alias("level")).join(groups.withColumn("level", _level(F.col("longest"))), "level").where(F.col("longest") >= -F.col("rank"))
+    asking = asking.select("part", "key", F.pmod(F.xxhash64("key"), F.lit(math.ceil(asked / (QUERIES * MEET)))).alias("salt"))
+    met = blocks.join(asking.select("part", "salt").distinct(), "part")
+    of = queries.select("key", "rank", F.col("uids").alias("quids"), F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"), "bounds").join(asking, "key")
+    pairs = met.drop("key").join(of, ["part", "salt"]).where(F.col("top") >= -F.col("rank")).select("uids", "ids", "matrix", "quids", "qids", "qmatrix", "bounds")
+    found = pairs.mapInArrow(_pairs(d, rotation, k), "quid long, query_id long, vec_id long, uid long, score long")
     rank = F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id", "uid"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
