@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from terminus.llm.common import batch, small_batches, texts
+from terminus.llm.common import batch, sliced, texts
 
 #: Characters of a leaf; longer unsplit text is encoded as a tree.
 LEAF = 4096
@@ -151,7 +151,7 @@ def _codec(path: str, leaf: int):
         codec = Codec(path, leaf)
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-        for x in batches:
+        for x in sliced(batches):
             rows = []
             for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
                 n, ids, back = codec(t or "")
@@ -168,5 +168,4 @@ def round_trip(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     are encoded in leaves, so no call to the library grows with the text unless a text defies agreement. An empty
     table gives an empty result; columns besides doc_id and text are not read.
     """
-    small_batches(docs.sparkSession)
     return texts(docs).mapInArrow(_codec(path, leaf), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, large_batches, materialize, same_set
+from terminus.llm.common import BATCH_NUMBERS, batch, dropped, materialize, same_set
 
 EDGE = "u long, v long"
 
@@ -47,8 +47,7 @@ def components(edges: DataFrame, name: str = "components", most: int = 60) -> Da
     execution can split on hot nodes; rounds grow with the logarithm of a component's size. Only a count and
     a checksum reach the driver. Self-loops and repeated edges are ignored; an empty table gives no rows.
     """
-    large_batches(edges.sparkSession)
-    e = materialize(edges.where("u != v").mapInArrow(contract, EDGE).distinct(), f"{name}-edges")
+    e = materialize(edges.where("u != v").mapInArrow(contract, EDGE).distinct(), f"{name}-edges", rows=BATCH_NUMBERS)
     state = same_set(e, "u", "v")
     for _ in range(most):
         if not state[0]:
@@ -58,7 +57,8 @@ def components(edges: DataFrame, name: str = "components", most: int = 60) -> Da
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        e = materialize(small.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-round")
+        e, before = materialize(small.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-round", rows=BATCH_NUMBERS), e
+        dropped(before)
         if (now := same_set(e, "u", "v")) == state:
             break
         state = now

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, materialize, small_batches
+from terminus.llm.common import batch, materialize, sliced
 
 #: Hosts that a task merges at a time; wrappers that one task of the first level gets of a host, on average.
 HOSTS, SALTS = 2000, 16
@@ -342,17 +342,17 @@ def _merged(pairs):
 
 
 def _infer(batches):
-    yield from _merged((h, content_shape(t)) for x in batches for h, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist()) if t)
+    yield from _merged((h, content_shape(t)) for x in sliced(batches) for h, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist()) if t)
 
 
 def _join(batches):
-    yield from _merged((h, json.loads(w)) for x in batches for h, w in zip(x.column(0).to_pylist(), x.column(1).to_pylist()))
+    yield from _merged((h, json.loads(w)) for x in sliced(batches) for h, w in zip(x.column(0).to_pylist(), x.column(1).to_pylist()))
 
 
 def _extract(batches):
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
     known: dict[str, dict] = {}
-    for x in batches:
+    for x in sliced(batches):
         out = []
         for html, w in zip(x.column(2).to_pylist(), x.column(3).to_pylist()):
             if w and w not in known:
@@ -371,8 +371,6 @@ def extract(pages: DataFrame) -> DataFrame:
     page give all that isn't marked as something else. An empty table gives an empty result; other columns are
     not read. Wrappers go to the pages by a join that adaptive execution can split on a frequent host.
     """
-    spark = pages.sparkSession
-    small_batches(spark)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     own = own.withColumn("host", host)

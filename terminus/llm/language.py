@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, computed, small_batches, texts
+from terminus.llm.common import batch, computed, free, sliced, texts
 
 BUCKETS, ORDERS = 1 << 14, 3
 #: Learning documents of each language that are fitted on, as expected; and of all languages at most.
@@ -52,7 +52,7 @@ def vector(n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _frequencies(batches):
     total = np.zeros(BUCKETS, np.int64)
-    for x in batches:
+    for x in sliced(batches):
         for t in x.column(0).to_pylist():
             total += counts(t) > 0
     at = np.flatnonzero(total)
@@ -61,7 +61,7 @@ def _frequencies(batches):
 
 def _sparse(batches):
     schema = pa.schema([("fold", pa.int32()), ("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary())])
-    for x in batches:
+    for x in sliced(batches):
         rows = []
         for fold, lang, text in zip(*(x.column(i).to_pylist() for i in range(3))):
             n = counts(text)
@@ -130,12 +130,12 @@ def _predict(langs: list[str], w: np.ndarray, t: float, idf: np.ndarray):
     return compute
 
 
-#: Names of the columns that a prediction adds.
-LANG, SCORE = "__lang_pred", "__score"
+#: Names of the columns that a prediction adds, with underscores in front where the table has such columns.
+LANG, SCORE = "lang_pred", "score"
 
 
 def predicted(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> DataFrame:
-    """Every document, as given, with LANG and SCORE beside its own columns.
+    """Every document, as given, with LANG and SCORE, by names that are `free`, as its last columns.
 
     Documents whose crc32 remainder is 0 are held out; weights come from at most `sample` others with a language and a
     letter (about `per_language` of each, by hash of doc_id), document frequencies from all of these. Null texts
@@ -143,9 +143,8 @@ def predicted(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = S
     probable as each other the first by name is taken. Repeated rows count each time; an empty table gives an empty result;
     columns besides doc_id, text and lang are not used.
     """
-    spark = docs.sparkSession
-    add = lambda *model: computed(docs, [F.col("text").cast("string")], _predict(*model), [(LANG, "string", pa.string()), (SCORE, "double", pa.float64())])
-    small_batches(spark)
+    name, score = free(docs.columns, LANG, SCORE)
+    add = lambda *model: computed(docs, [F.col("text").cast("string")], _predict(*model), [(name, "string", pa.string()), (score, "double", pa.float64())])
     known = texts(docs, F.col("lang").cast("string").alias("lang"), fold().cast("int").alias("fold")).where("fold != 0 and lang is not null and text is not null")
     known = known.where(F.col("text").rlike(r"\p{L}"))
     narrow = known.select("doc_id", "lang", "fold")
@@ -184,4 +183,5 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def passed(docs: DataFrame, least: float) -> DataFrame:
     """The documents in a learned language with that probability or more, with the columns they came with."""
-    return predicted(docs).where((F.col(LANG) != NONE) & (F.col(SCORE) >= least)).select(*docs.columns)
+    name, score = free(docs.columns, LANG, SCORE)
+    return predicted(docs).where((F.col(name) != NONE) & (F.col(score) >= least)).select(*docs.columns)

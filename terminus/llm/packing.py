@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, gathered, materialize, small_batches, texts
+from terminus.llm.common import batch, gathered, materialize, sliced, texts
 
 LIMIT, END = 1024, 2
 #: Sub-ranks of each length; bounds the rows of a rank's window to a length's count over this.
@@ -54,7 +54,7 @@ def _pieces(path: str, ranks: str | None, limit: int, end: int):
     def run(batches):
         encode = encoder(path, ranks)
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-        for x in batches:
+        for x in sliced(batches):
             rows = []
             for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
                 raw = np.array([*encode(t or ""), end], dtype="<u4").tobytes()
@@ -159,8 +159,6 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, limit: int = LIMI
 
     To the driver come at most `limit` counts; the plan sent to the executors has a run for each pattern and length.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     cut = texts(docs).mapInArrow(_pieces(path, ranks, limit, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
     own = materialize(gathered(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))), docs), "pieces")
     tally = materialize(own.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "tally")
@@ -170,7 +168,6 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, limit: int = LIMI
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")
     base = tally.select("length", "salt", before.alias("before"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     ranked = own.withColumn("within", within).join(base, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("within"))
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank")).mapInArrow(
         _place(places(plan(counts, limit))), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import computed, small_batches, texts
+from terminus.llm.common import computed, free, texts
 
 #: Labelled rows that the rules are learned from at most: those with the smallest hash of doc_id.
 SAMPLE = 20_000
@@ -66,32 +66,29 @@ def statistics(text: str | None) -> tuple[int, ...]:
     )
 
 
-#: Columns that are computed for a decision have this in front of their names.
-OWN = "__q_"
-
-
 def _compute(texts_: list) -> list:
     return list(zip(*map(statistics, texts_))) if texts_ else [[] for _ in COUNTS]
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """The table with its statistics and ratios beside its own columns."""
-    small_batches(docs.sparkSession)
-    own = computed(docs, [F.col("text").cast("string")], _compute, [(OWN + c, "bigint", pa.int64()) for c in COUNTS])
-    return own.select("*", *ratios())
+def front(docs: DataFrame) -> str:
+    """What computed columns have in front of their names, so that none is the table's own."""
+    names = (*COUNTS, *[n for n, *_ in RATIOS], "base_failed", "kept")
+    return free(docs.columns, *["q_" + n for n in names])[0].removesuffix(names[0])
 
 
-#: Ratios that rules may ask about: (name, numerator, denominator).
-RATIOS = (("symbols_per_word", "n_symbols", "n_words"), ("chars_per_word", "word_chars", "n_words"), ("upper_per_char", "n_upper", "n_chars"), ("marks_per_word", "n_marks", "n_words"), ("bars_per_word", "n_bars", "n_words"), ("repeats_per_word", "n_repeat_words", "n_words"), ("dup_lines_per_line", "n_dup_lines", "n_lines"), ("distinct_per_word", "n_distinct", "n_words"), ("digits_per_char", "n_digits", "n_chars"))
+def measured(docs: DataFrame, own: str) -> DataFrame:
+    """The table with its statistics and ratios beside its own columns, their names with `own` in front."""
+    found = computed(docs, [F.col("text").cast("string")], _compute, [(own + c, "bigint", pa.int64()) for c in COUNTS])
+    return found.select("*", *[(F.col(own + a) / F.greatest(F.col(own + b), F.lit(1))).alias(own + n) for n, a, b in RATIOS])
 
 
-def base_failed() -> Column:
-    words = F.col(OWN + "n_words")
-    return (words < 20) | (100 * F.col(OWN + "n_repeat_words") > 30 * words)
+#: Ratios that rules may ask about: (name, numerator, denominator).
+RATIOS = (("symbols_per_word", "n_symbols", "n_words"), ("chars_per_word", "word_chars", "n_words"), ("upper_per_char", "n_upper", "n_chars"), ("marks_per_word", "n_marks", "n_words"), ("bars_per_word", "n_bars", "n_words"), ("repeats_per_word", "n_repeat_words", "n_words"), ("dup_lines_per_line", "n_dup_lines", "n_lines"), ("distinct_per_word", "n_distinct", "n_words"), ("digits_per_char", "n_digits", "n_chars"))
 
 
-def ratios() -> list[Column]:
-    return [(F.col(OWN + a) / F.greatest(F.col(OWN + b), F.lit(1))).alias(OWN + n) for n, a, b in RATIOS]
+def base_failed(own: str) -> Column:
+    words = F.col(own + "n_words")
+    return (words < 20) | (100 * F.col(own + "n_repeat_words") > 30 * words)
 
 
 def _precision(bad: int, good: int) -> float:
@@ -160,13 +157,13 @@ def learn(x: np.ndarray, y: np.ndarray, rules: int = 12, conditions: int = 3, le
     return found
 
 
-def verdict(rules: list[list[tuple[int, str, float]]]) -> Column:
+def verdict(rules: list[list[tuple[int, str, float]]], own: str) -> Column:
     """True where no rule rejects; the number of conditions follows the rules, not the data."""
     out = None
     for rule in rules:
         test = None
         for k, side, t in rule:
-            c = F.col(OWN + RATIOS[k][0])
+            c = F.col(own + RATIOS[k][0])
             one = c > F.lit(t) if side == ">" else c <= F.lit(t)
             test = one if test is None else test & one
         out = F.when(test, F.lit(False)) if out is None else out.when(test, F.lit(False))
@@ -180,8 +177,10 @@ def rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
     many rows repeat, `sample` rows in all."""
     known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    own = measured(texts(docs).join(F.broadcast(chosen), "doc_id")).where(~base_failed())
-    rows = sorted(own.select("doc_id", "quality", *[OWN + n for n, *_ in RATIOS]).limit(sample).collect())
+    of = texts(docs).join(F.broadcast(chosen), "doc_id")
+    own = front(of)
+    of = measured(of, own).where(~base_failed(own))
+    rows = sorted(of.select("doc_id", "quality", *[own + n for n, *_ in RATIOS]).limit(sample).collect())
     rows.sort(key=lambda r: zlib.crc32(str(r[0]).encode()))
     x = np.array([r[2:] for r in rows], dtype=float).reshape(len(rows), len(RATIOS))
     y = np.array([r["quality"] == 0 for r in rows], dtype=np.int64)
@@ -189,21 +188,23 @@ def rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
 
 
 def assess(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Every document, as given, with its statistics (names with OWN in front), base_failed and kept.
+    """Every document, as given, with its statistics, base_failed and kept (names with `front` in front).
 
     Null and empty texts have zero counts and fail the base. A repeated doc_id is measured row by row. Without labels of both
     classes only the base speaks. An empty table gives an empty result. One pass over the texts, no shuffle.
     """
     found = rules(docs, labels, sample)
-    own = measured(docs).withColumn(OWN + "base_failed", base_failed())
-    return own.withColumn(OWN + "kept", ~F.col(OWN + "base_failed") & verdict(found))
+    own = front(docs)
+    out = measured(docs, own).withColumn(own + "base_failed", base_failed(own))
+    return out.withColumn(own + "kept", ~F.col(own + "base_failed") & verdict(found, own))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    own = assess(texts(docs), labels)
-    return own.select("doc_id", *[F.col(OWN + c).alias(c) for c in (*COUNTS[:5], "base_failed", "kept")])
+    docs = texts(docs)
+    own = front(docs)
+    return assess(docs, labels).select("doc_id", *[F.col(own + c).alias(c) for c in (*COUNTS[:5], "base_failed", "kept")])
 
 
 def passed(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with the columns they came with."""
-    return assess(docs, labels).where(OWN + "kept").select(*docs.columns)
+    return assess(docs, labels).where(F.col(front(docs) + "kept")).select(*docs.columns)

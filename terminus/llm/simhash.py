@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, gathered, large_batches, materialize, small_batches, texts
+from terminus.llm.common import batch, gathered, materialize, sliced, texts
 from terminus.llm.components import components, local_labels
 
 WORDS, SEED, BITS = 3, 42, 2
@@ -49,7 +49,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 def _fingerprints(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-    for x in batches:
+    for x in sliced(batches):
         fp = np.array([fingerprint(t) for t in x.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
         yield batch({"doc_id": x.column(0), "fp": fp}, schema)
 
@@ -123,11 +123,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     a third of all rows may be copies of one text. Ties cannot occur: a component is named by its smallest doc_id.
     An empty table gives an empty result; columns besides doc_id and text are not touched.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     own = materialize(gathered(texts(docs).mapInArrow(_fingerprints, "doc_id long, fp long"), docs), "fingerprints")
     distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    large_batches(spark)
     signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
     posted = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("slot", "rest"))
     links = posted.select("slot", "rest", "fp").repartition("slot", "rest").sortWithinPartitions("slot", "rest").mapInArrow(_scan, "u long, v long")

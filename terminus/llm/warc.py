@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, materialize, shared_dir, small_batches
+from terminus.llm.common import batch, materialize, shared_dir, sliced
 
 #: Bytes of records gathered in a frame; a longer record has a frame to itself.
 FRAME = 1 << 18
@@ -125,7 +125,7 @@ def _write(folder: str):
         used = False
         with there.open_output_stream(own) as file:
             bundle = Bundle(file)
-            for x in batches:
+            for x in sliced(batches):
                 rows = []
                 for page_id, number, url, html, digest, refers_to in zip(*(c.to_pylist() for c in x.columns)):
                     record_id = identifier(page_id, number)
@@ -149,7 +149,6 @@ def write(pages: DataFrame, folder: str | None = None, bundles: int | None = Non
     response (a null page_id comes last; of repeated rows one). An empty table gives an empty index.
     """
     spark = pages.sparkSession
-    small_batches(spark)
     folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     own = own.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("size", F.coalesce(F.octet_length("html"), F.lit(0)))
