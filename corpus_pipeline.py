@@ -1,69 +1,5 @@
-"""The corpus pipeline: five stages over documents, each written and read again before the next.
+"""The corpus pipeline: STAGES, run and ORACLE_SQL are those of `terminus.llm.stages`."""
 
-Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last return the columns of
-documents. Null texts fail the quality rules, so the later stages see none unless run alone, where they have the
-results that their operators state. Empty tables pass through every stage; extra columns are carried to the last stage.
-"""
+from terminus.llm.stages import ORACLE_SQL, STAGES, best_fit_packing, language_id, near_dedup, quality_rules, repeat_dedup, run
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from terminus.llm import language, nearcopies, packing, quality, repeats
-from terminus.llm.common import gathered, materialize, table
-
-#: A document stays if it is in one of the learned languages with this probability.
-LEAST_SCORE = 0.5
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the learned decision list (operator 4)."""
-    return gathered(quality.passed(docs, table(spark, sf_dir, "labels")), docs)
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language (operator 9)."""
-    return gathered(language.passed(docs, LEAST_SCORE), docs)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the row with the smallest doc_id; rows are told apart
-    by doc_id and text, repeated ones count as one, a group without doc_id keeps a row too."""
-    first = nearcopies.near_copies(docs).select(F.col("doc_id").alias("first_id"), F.col("hash").alias("first_hash"))
-    keyed = docs.withColumn("__hash", F.xxhash64("text"))
-    own = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("__hash") == F.col("first_hash")), "left_semi")
-    return gathered(own.dropDuplicates(["doc_id", "__hash"]).drop("__hash"), docs)
-
-
-def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes that strings of 400 bytes cover which start elsewhere too (operator 10)."""
-    return repeats.cleaned(docs)
-
-
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences (operator 2)."""
-    import public_tokenizers
-
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
-
-
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules),
-    ("language_id", language_id),
-    ("simhash_near_dedup", near_dedup),
-    ("suffix_array_dedup", repeat_dedup),
-    ("best_fit_packing", best_fit_packing),
-]
-
-#: Learned rules, fingerprints and tokenizers are not for SQL; tests hold the stages against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "best_fit_packing", "language_id", "near_dedup", "quality_rules", "repeat_dedup", "run"]
