@@ -1,9 +1,10 @@
 """Main text of web pages by wrappers inferred from pages of the same host.
 
-A page is a tree of block elements with text slots. Trees of one host are aligned pairwise, in any order, into one wrapper without
-unions: children that both have are merged, children that one lacks become optional, neighbours of one kind become a
-repeated group, and text that differs becomes a slot while text that never does stays a constant. Pages are merged in the
-task that reads them, then wrappers are merged in two levels, so a host's number of pages never meets in one task.
+A page is a stream of tokens: tags of block elements and texts. A wrapper is such a stream too, a regular expression without
+unions whose elements and groups may be optional or repeated. Streams of one host are aligned token by token. Where two texts differ,
+a slot is made. Where tags don't match, what stands there is tried as one more repetition of what was passed last; if it is none, the
+element that the other stream has further on shows what is optional. Pages are aligned in the task that reads
+them, then wrappers with wrappers in two levels, so a host's number of pages never meets in one task.
 Every page goes through its host's wrapper: constants go, and the article is the article element if it holds at least half of what
 is left, else the innermost container of all slot text.
 """
@@ -11,8 +12,10 @@ is left, else the innermost container of all slot text.
 from __future__ import annotations
 
 import json
+import math
 import re
 import zlib
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -188,8 +191,8 @@ def parse(html: str) -> list[tuple[Element, str]]:
     return blocks
 
 
-# A wrapper is [label, optional, repeated, children]; a text slot is ["#", optional, repeated, lowest, highest, characters, lowest and highest page],
-# texts and pages by their hashes: equal bounds are one text, or one page.
+# Tokens of a stream: ["<", optional, repeated, label] and [">"] around what an element or a group (label "()") holds; texts are ["#", optional, repeated,
+# lowest, highest, characters, lowest and highest page], texts and pages by their hashes: equal bounds are one text, or one page.
 
 
 def below(e: Element):
@@ -203,108 +206,154 @@ def below(e: Element):
             todo += reversed(k.kids)
 
 
-def shape(e: Element, level: int = 0, page: int = 0) -> list:
-    kids = []
+def stream(e: Element, level: int = 0, page: int = 0) -> list:
+    """The tokens of an element."""
+    parts = []
     for k in e.kids if level < LEVELS else below(e):
         if isinstance(k, str):
             h = zlib.crc32(k.encode("utf-8", "surrogatepass"))
-            kids.append(["#", 0, 0, h, h, len(k), page, page])
+            parts.append([["#", 0, 0, h, h, len(k), page, page]])
         else:
-            kids.append(shape(k, level + 1, page))
-    return [e.label, 0, 0, fold(kids)]
+            parts.append(stream(k, level + 1, page))
+    return around(["<", 0, 0, e.label], fold(parts))
+
+
+def around(opened: list, parts: list[list]) -> list:
+    return [opened, *[t for p in parts for t in p], [">"]]
+
+
+def inside(tokens: list) -> list[list]:
+    """The streams of the texts and elements that stand directly in an element."""
+    out, depth, start = [], 0, 1
+    for at in range(1, len(tokens) - 1):
+        depth += {"<": 1, ">": -1, "#": 0}[tokens[at][0]]
+        if not depth:
+            out.append(tokens[start : at + 1])
+            start = at + 1
+    return out
+
+
+def kind(tokens: list):
+    """What must be the same for two streams to be aligned: the label; of a group the kinds of what it repeats."""
+    first = tokens[0]
+    if first[0] == "#":
+        return "#"
+    return (first[3], *map(kind, inside(tokens))) if first[3] == "()" else "<" + first[3]
 
 
 def merge(a: list, b: list, repeated: int = 0) -> list:
-    optional, again = a[1] | b[1], a[2] | b[2] | repeated
-    if a[0] == "#":
-        return ["#", optional, again, min(a[3], b[3]), max(a[4], b[4]), a[5] + b[5], min(a[6], b[6]), max(a[7], b[7])]
-    return [a[0], optional, again, fold(align(a[3], b[3]))]
-
-
-def align(a: list, b: list) -> list:
-    """Longest common order of the children's labels; the rest becomes optional."""
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if same(a[i], b[j]) else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and same(a[i], b[j]):
+    """Two streams of one kind as one."""
+    x, y = a[0], b[0]
+    flags = [x[1] | y[1], x[2] | y[2] | repeated]
+    if x[0] == "#":
+        return [["#", *flags, min(x[3], y[3]), max(x[4], y[4]), x[5] + y[5], min(x[6], y[6]), max(x[7], y[7])]]
+    return around(["<", *flags, x[3]], fold(align(inside(a), inside(b))))
+
+
+def optional(tokens: list) -> list:
+    return [[tokens[0][0], 1, *tokens[0][2:]], *tokens[1:]]
+
+
+def align(a: list[list], b: list[list]) -> list[list]:
+    """What stands in two elements, aligned from the left; a mismatch is resolved where it occurs, so the work grows with the tokens alone."""
+    kinds = [kind(x) for x in a], [kind(x) for x in b]
+    places: tuple[dict, dict] = ({}, {})
+    for own, found in zip(kinds, places):
+        for at, k in enumerate(own):
+            found.setdefault(k, []).append(at)
+
+    def ahead(side: int, k, at: int) -> float:
+        """How far on a stream has the kind."""
+        own = places[side].get(k, ())
+        n = bisect_left(own, at)
+        return own[n] - at if n < len(own) else math.inf
+
+    out, i, j, last = [], 0, 0, None
+    while i < len(a) or j < len(b):
+        x, y = kinds[0][i] if i < len(a) else None, kinds[1][j] if j < len(b) else None
+        if x == y:
             out.append(merge(a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], 1, *a[i][2:]])
+            i, j, last = i + 1, j + 1, x
+        elif x is not None and x == last:  # one more repetition
+            out[-1] = merge(out[-1], a[i], 1)
             i += 1
-        else:
-            out.append([b[j][0], 1, *b[j][2:]])
+        elif y is not None and y == last:
+            out[-1] = merge(out[-1], b[j], 1)
             j += 1
+        elif y is None or x is not None and ahead(0, y, i) <= ahead(1, x, j):  # what the other stream has further on comes after this
+            out.append(optional(a[i]))
+            i, last = i + 1, x
+        else:
+            out.append(optional(b[j]))
+            j, last = j + 1, y
     return out
 
 
-def same(a: list, b: list) -> bool:
-    return a[0] == b[0] and (a[0] != "()" or [k[0] for k in a[3]] == [k[0] for k in b[3]])
-
-
-def fold(kids: list) -> list:
-    """Repeated neighbours, and repeated runs of two to four, as one repeated child or group."""
+def fold(parts: list[list]) -> list[list]:
+    """Repeated neighbours, and repeated runs of two to four, as one repeated element or group."""
     out: list = []
-    for k in kids:
-        if out and same(out[-1], k):
-            out[-1] = merge(out[-1], k, 1)
+    kinds: list = []
+    for p in parts:
+        if kinds and kinds[-1] == (k := kind(p)):
+            out[-1] = merge(out[-1], p, 1)
         else:
-            out.append(k)
+            out.append(p)
+            kinds.append(kind(p))
     for size in (2, 3, 4):
         i = 0
         while i + 2 * size <= len(out):
-            if all(same(x, y) for x, y in zip(out[i : i + size], out[i + size : i + 2 * size])):
-                group = ["()", 0, 1, [merge(x, y) for x, y in zip(out[i : i + size], out[i + size : i + 2 * size])]]
-                j = i + 2 * size
-                while j + size <= len(out) and all(same(x, y) for x, y in zip(group[3], out[j : j + size])):
-                    group[3] = [merge(x, y) for x, y in zip(group[3], out[j : j + size])]
+            if kinds[i : i + size] == kinds[i + size : i + 2 * size]:
+                run, j = out[i : i + size], i + size
+                while kinds[j : j + size] == kinds[i : i + size]:
+                    run = [merge(x, y) for x, y in zip(run, out[j : j + size])]
                     j += size
-                out[i:j] = [group]
+                out[i:j] = [around(["<", 0, 1, "()"], run)]
+                kinds[i:j] = [kind(out[i])]
             i += 1
     return out
 
 
+def outline(tokens: list) -> list[tuple]:
+    """(label, optional, repeated) of what stands directly in an element."""
+    return [(x[0][3] if x[0][0] == "<" else "#", x[0][1], x[0][2]) for x in inside(tokens)]
+
+
 def rules(wrapper: list) -> dict:
     """What an extraction needs: the innermost container of all slot text, and the paths of constants, which two distinct pages hold at least."""
     container: tuple | None = None
     constant: dict[tuple, bool] = {}
-
-    def walk(node, path):
-        nonlocal container
-        for k in node[3]:
-            if k[0] == "#":
-                fixed = k[3] == k[4] and k[6] != k[7]
-                constant[path] = constant.get(path, True) and fixed
-                if not fixed:
-                    own = path[:-1] if len(path) > 1 else path
-                    same = [x == y for x, y in zip(container, own)] if container is not None else []
-                    container = own if container is None else own[: [*same, False].index(False)]
-            else:
-                walk(k, path if k[0] == "()" else (*path, k[0]))
-
-    walk(wrapper, ("",))
+    path: list[str] = []
+    for t in wrapper:
+        if t[0] == "<":
+            path.append(t[3])
+        elif t[0] == ">":
+            path.pop()
+        else:
+            own = tuple(p for p in path if p != "()")
+            fixed = t[3] == t[4] and t[6] != t[7]
+            constant[own] = constant.get(own, True) and fixed
+            if not fixed:
+                box = own[:-1] if len(own) > 1 else own
+                same = [x == y for x, y in zip(container, box)] if container is not None else []
+                container = box if container is None else box[: [*same, False].index(False)]
     return {"container": container, "constant": [list(p) for p, c in constant.items() if c]}
 
 
-def content_shape(html: str) -> list:
-    """The shape of a page without what is marked as no article."""
+def content_stream(html: str) -> list:
+    """The tokens of a page without what is marked as no article."""
     blocks = parse(html)
     top = blocks[0][0] if blocks else None
     while top is not None and top.parent is not None:
         top = top.parent
 
     if top is None:
-        return ["", 0, 0, []]
+        return around(["<", 0, 0, ""], [])
     todo = [top]
     while todo:
         e = todo.pop()
         e.kids = [k for k in e.kids if isinstance(k, str) or not k.away()]
         todo += [k for k in e.kids if not isinstance(k, str)]
-    return shape(top, page=zlib.crc32("\0".join(t for _, t in blocks).encode("utf-8", "surrogatepass")))
+    return stream(top, page=zlib.crc32("\0".join(t for _, t in blocks).encode("utf-8", "surrogatepass")))
 
 
 def main_text(html: str | None, rule: dict | None = None) -> str:
@@ -342,7 +391,7 @@ def _merged(pairs):
 
 
 def _infer(batches):
-    yield from _merged((h, content_shape(t)) for x in sliced(batches) for h, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist()) if t)
+    yield from _merged((h, content_stream(t)) for x in sliced(batches) for h, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist()) if t)
 
 
 def _join(batches):

@@ -1,8 +1,9 @@
 import re
+import time
 from html import unescape
 
 from terminus.llm.common import table
-from terminus.llm.html import content_shape, extract, main_text, merge, rules
+from terminus.llm.html import content_stream, extract, inside, main_text, merge, outline, rules
 
 
 def plain(html):
@@ -31,9 +32,9 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>a{{}}</style></head>
 
 
 def test_wrapper_without_article(spark):
-    wrapper = content_shape(PAGE.format(c="post", t="a"))
+    wrapper = content_stream(PAGE.format(c="post", t="a"))
     for t in "bc":
-        wrapper = merge(wrapper, content_shape(PAGE.format(c="post", t=t)))
+        wrapper = merge(wrapper, content_stream(PAGE.format(c="post", t=t)))
     rule = rules(wrapper)
     assert main_text(PAGE.format(c="post", t="q"), rule) == "q &A One bolder q next xq yq Always the same" or main_text(PAGE.format(c="post", t="q"), rule) == "q &A One bolder q next xq yq"
     frame = spark.createDataFrame([(i, f"http://h/{i}", PAGE.format(c="post", t="abc"[i]), "z") for i in range(3)], "page_id long, url string, html string, text string")
@@ -48,8 +49,8 @@ def test_article_and_edges(spark):
     assert main_text("<article>a <!-- b") == "a" and main_text("<article>a<script>b") == "a"
     assert main_text(None) == main_text("") == "" and main_text("a < b") == "a < b"
     assert main_text("<div>" * 3000 + "deep") == "deep"
-    deep = content_shape("<div>" * 1500 + "deep")
-    assert merge(deep, content_shape("<div>" * 1500 + "other"))[0] == ""
+    deep = content_stream("<div>" * 1500 + "deep")
+    assert merge(deep, content_stream("<div>" * 1500 + "other"))[0][3] == ""
     frame = spark.createDataFrame([(1, None, None), (2, None, ""), (3, "x", "<p>a</p>"), (3, "x", "<p>a</p>"), (None, "http://u@H:8/", "<article>é\U0001f600")], "page_id long, url string, html string")
     got = sorted(((r.page_id or 0, r.text, r.n_chars) for r in extract(frame).collect()))
     assert got == [(0, "é\U0001f600", 2), (1, "", 0), (2, "", 0), (3, "a", 1), (3, "a", 1)]
@@ -57,13 +58,14 @@ def test_article_and_edges(spark):
 
 
 def test_optional_and_repeated():
-    a = content_shape("<div><h1>x</h1><p>1<p>2</div>")
-    b = content_shape("<div><h1>y</h1><h2>z</h2><p>3</div>")
+    a = content_stream("<div><h1>x</h1><p>1<p>2</div>")
+    b = content_stream("<div><h1>y</h1><h2>z</h2><p>3</div>")
     w = merge(a, b)
-    div = w[3][0]
-    assert [(k[0], k[1], k[2]) for k in div[3]] == [("h1", 0, 0), ("h2", 1, 0), ("p", 0, 1)]
-    c = content_shape("<div><dt>a</dt><dd>b</dd><dt>c</dt><dd>d</dd></div>")
-    assert c[3][0][3][0][0] == "()" and c[3][0][3][0][2] == 1
+    assert outline(inside(w)[0]) == [("h1", 0, 0), ("h2", 1, 0), ("p", 0, 1)]
+    c = content_stream("<div><dt>a</dt><dd>b</dd><dt>c</dt><dd>d</dd></div>")
+    assert outline(inside(c)[0]) == [("()", 0, 1)]
+    d = merge(content_stream("<div><h1>x</h1><p>1</p><hr><ul><li>a</ul></div>"), content_stream("<div><h1>y</h1><p>2</p><p>3</p><blockquote>q</blockquote><ul><li>b<li>c</ul></div>"))
+    assert outline(inside(d)[0]) == [("h1", 0, 0), ("p", 0, 1), ("blockquote", 1, 0), ("ul", 0, 0)] and outline(inside(inside(d)[0])[3]) == [("li", 0, 1)]
 
 
 def test_only_real_attributes_and_whole_names_mark():
@@ -81,9 +83,9 @@ def test_raw_content_ends_at_its_end_tag():
 
 
 def wrapped(*pages):
-    wrapper = content_shape(pages[0])
+    wrapper = content_stream(pages[0])
     for p in pages[1:]:
-        wrapper = merge(wrapper, content_shape(p))
+        wrapper = merge(wrapper, content_stream(p))
     return rules(wrapper)
 
 
@@ -101,3 +103,10 @@ def test_wrapper_decides_on_pages_with_article():
     assert main_text(teasers.format(1), wrapped(teasers.format(1), teasers.format(2))) == "t1 u1 the real text of page 1 is long"
     page = "<body><div>x{0}</div><article><p>text of {0}</p><h6>Read our paper</h6></article></body>"
     assert main_text(page.format(1), wrapped(page.format(1), page.format(2))) == "text of 1"
+
+
+def test_alignment_grows_with_the_tokens_alone():
+    wide = ["<div>" + "".join(f"<section class=c{(i * k) % 5003}>t{i}</section>" for i in range(5000)) + "</div>" for k in (1, 7)]
+    began = time.time()
+    merge(*map(content_stream, wide))
+    assert time.time() - began < 20
