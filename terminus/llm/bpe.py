@@ -1,10 +1,14 @@
 """BPE encoding and decoding by tree concatenation.
 
-A text is cut where white space ends a word, which the tokenizer drops. Short words are split by the tokenizer's own pattern, encoded
-by its model and remembered; texts beyond Latin Extended-A go to the library whole.
-Long unsplit text is cut into leaves that are encoded together in one parallel call; neighbours are then joined pairwise,
-level by level: the text around each join is encoded again in a window that grows until it agrees with both
-sides, token for token and place for place, or is both sides.
+A text longer than a leaf is cut into halves, these again, down to leaves that are encoded for themselves; halves are then joined
+pairwise, level by level: the text around each join is encoded again in a window that grows until it agrees with both
+sides, token for token and place for place, or is both sides. The rest of the halves is taken as it is.
+
+There are two encoders below the tree. Where white space, which the tokenizer drops, ends words, tokens are gathered by word: a word is split by the
+tokenizer's own pattern, encoded by its model and remembered, so a side agrees with a window from the first whole word they share.
+Unsplit text (a word longer than a leaf, and texts beyond Latin Extended-A) goes to the library, the leaves of a text in one call that runs them in
+parallel; there a side agrees with a window where eight tokens in a row are the same. One would do: in a byte-pair encoding
+every two neighbours are encoded as themselves, and a sequence in which that holds for all neighbours is the encoding.
 """
 
 from __future__ import annotations
@@ -21,19 +25,25 @@ from pyspark.sql import DataFrame
 
 from terminus.llm.common import batch, sliced, texts
 
-#: Characters of a leaf; longer unsplit text is encoded as a tree.
-LEAF = 4096
+#: Characters of a leaf; longer text is encoded as a tree.
+LEAF = 1024
+#: Threads that encode the leaves of one text where the session's machine doesn't say otherwise.
+THREADS = 2
 #: Tokens on either side that a window must share with what it meets, and its characters on either side at first.
 AGREE, WINDOW = 8, 128
 #: Words remembered by a worker; it starts over beyond.
 REMEMBER = 300_000
 #: Up to Latin Extended-A the library's and Python's ideas of white space and normal form are the same; the four information separators are not white space to the library.
+WORD = re.compile(r"\S+")
+#: Characters on either side of a join of words at first.
+EDGE = 32
 PLAIN = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u017f]")
 
 
 @functools.cache
 def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
@@ -107,6 +117,20 @@ def word_rule(path: str) -> str | None:
     return first["pattern"].get("Regex")
 
 
+def _joined(text: str, a: int, m: int, b: int, left: list[str], right: list[str], size: int = EDGE) -> list[str]:
+    """The words of text[a:b] from those of both sides of m: a window around m grows until it shares a whole word with either side, or is both sides."""
+    while True:
+        lo, hi = max(a, m - size), min(b, m + size)
+        window = [(x.start(), x[0]) for x in WORD.finditer(text, lo, hi)]
+        if (lo, hi) == (a, b):
+            return [w for _, w in window]
+        before, after = ([(x.start(), x[0]) for x in WORD.finditer(text, *span)] for span in ((lo, m), (m, hi)))
+        # a window's first and last word may be cut off where it ends; the next ones are whole
+        if len(before) > 2 and len(after) > 2 and len(window) > 2 and window[1] == before[1] and window[-2] == after[-2]:
+            return left[: len(left) - len(before) + 1] + [w for _, w in window[1:-1]] + right[len(after) - 1 :]
+        size *= 2
+
+
 class Codec:
     """Encodes and decodes whole texts; remembers words between calls."""
 
@@ -130,12 +154,25 @@ class Codec:
             tokens = [t for p in parts for t in tokenize(p if p.isascii() and p.isprintable() else p.encode("utf-8").decode("latin-1").translate(self.letters))]
             self.known[w] = (len(tokens), " ".join([str(t.id) for t in tokens]), " ".join([t.value for t in tokens]))
 
+    def words(self, text: str) -> list[str]:
+        """The words of a whole text, in order, from the tree of its halves."""
+        if len(text) <= self.leaf:
+            return text.split()
+        cuts = [*range(0, len(text), self.leaf), len(text)]
+        spans = list(zip(cuts, cuts[1:]))
+        parts = [text[a:b].split() for a, b in spans]
+        while len(parts) > 1:
+            joins, odd = range(0, len(parts) - 1, 2), len(parts) % 2
+            parts = [_joined(text, *spans[i], spans[i + 1][1], parts[i], parts[i + 1]) for i in joins] + parts[-1:] * odd
+            spans = [(spans[i][0], spans[i + 1][1]) for i in joins] + spans[-1:] * odd
+        return parts[0]
+
     def __call__(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by a space, the decoded text."""
         if not self.split or PLAIN.search(text):
             ids = encode_tree(text, self.path, self.leaf)
             return len(ids), " ".join(map(str, ids)), self.own.decode(ids, skip_special_tokens=False)
-        words = text.split()
+        words = self.words(text)
         known = self.known
         if new := set(words).difference(known):
             before = len(known)
@@ -165,7 +202,7 @@ def round_trip(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text.
 
     Null and empty texts have no token and the hashes of nothing. Repeated rows are encoded each time. Very long texts
-    are encoded in leaves, so no call to the library grows with the text unless a text defies agreement. An empty
+    are encoded in leaves, so no call to the library grows with the text unless a text defies agreement or holds the marks of special tokens. An empty
     table gives an empty result; columns besides doc_id and text are not read.
     """
     return texts(docs).mapInArrow(_codec(path, leaf), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

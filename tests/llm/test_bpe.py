@@ -34,6 +34,18 @@ def test_trees_equal_the_whole():
     assert encode_tree("a" * 20_000, PATH) == library("a" * 20_000)[0]
 
 
+def test_words_of_a_tree_are_those_of_the_whole():
+    rng = random.Random(3)
+    for leaf in (1, 7, 40, 1024):
+        codec = Codec(PATH, leaf)
+        for i in range(60):
+            t = "".join(rng.choice(["a", "the", "x" * rng.randint(1, 90), " ", "  ", "\n", "é", "\xa0", " the end "]) for _ in range(rng.randint(0, 500)))
+            assert codec.words(t) == t.split(), (leaf, t)
+            if i < 10:
+                ids, back = library(t)
+                assert codec(t) == (len(ids), " ".join(map(str, ids)), back)
+
+
 def test_codec_equals_the_library():
     rng = random.Random(2)
     codec = Codec(PATH)
