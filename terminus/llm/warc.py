@@ -24,6 +24,8 @@ from terminus.llm.common import batch, materialize, shared_dir, sliced
 
 #: Bytes of records gathered in a frame; a longer record has a frame to itself.
 FRAME = 1 << 18
+#: Bytes of payloads in a bundle, and in one of a small table, which is spread over all cores.
+BUNDLE, SPREAD = 1 << 30, 4 << 20
 #: Smaller payloads are all stored; 0 lets every repeated payload be a revisit.
 LEAST = 0
 LEVEL, DATE = 3, "2000-01-01T00:00:00Z"
@@ -115,12 +117,16 @@ class Bundle:
         self.file.write(seek_table(self.sizes))
 
 
+def named(number: int) -> str:
+    return f"bundle-{number:06d}.warc.zst"
+
+
 def _write(folder: str):
     def run(batches):
         there, root = fs.FileSystem.from_uri(folder)
         there.create_dir(root)
         task = TaskContext.get()
-        name = f"bundle-{task.partitionId():06d}.warc.zst"
+        name = named(task.partitionId())
         own = f"{root}/.{name}.{task.taskAttemptId()}"
         used = False
         with there.open_output_stream(own) as file:
@@ -157,7 +163,8 @@ def write(pages: DataFrame, folder: str | None = None, bundles: int | None = Non
     order = F.struct(F.col("page_id").isNull(), "page_id", "number")
     first = materialize(narrow.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.col("first.page_id").alias("refers_to"), F.col("first.number").alias("kept")), "first")
     again = narrow.join(first, "digest").where(F.col("number") != F.col("kept")).select("number", "refers_to")
-    bundles = bundles or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = own.agg(F.sum("size")).first()[0] or 0
+    bundles = bundles or max(1, -(-total // BUNDLE), min(2 * spark.sparkContext.defaultParallelism, -(-total // SPREAD)))
     rows = own.join(again, "number", "left").repartition(bundles, "number").sortWithinPartitions("number")
     rows = rows.select("page_id", "number", "url", "html", "digest", "refers_to")
     return folder, materialize(rows.mapInArrow(_write(folder), INDEX_TYPE), "index")
@@ -170,7 +177,9 @@ def _read(folder: str):
         there, root = fs.FileSystem.from_uri(folder)
         unpack = zstandard.ZstdDecompressor()
         for x in batches:
-            for name in x.column(0).to_pylist():
+            for name in map(named, x.column(0).to_pylist()):
+                if there.get_file_info(f"{root}/{name}").type == fs.FileType.NotFound:  # a task without rows left none
+                    continue
                 size = there.get_file_info(f"{root}/{name}").size
                 with there.open_input_file(f"{root}/{name}") as file:
                     for at, packed, plain in read_seek_table(file, size):
@@ -191,9 +200,10 @@ def _read(folder: str):
 
 
 def read(folder: str, index: DataFrame) -> DataFrame:
-    """All records of the bundles that an index names, with payloads checked against their digests; one task takes whole bundles."""
-    names = index.select("bundle").distinct()
-    return names.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bundle").mapInArrow(_read(folder), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    """All records of the bundles that an index names, with payloads checked against their digests; a task for each bundle, and no shuffle."""
+    last = index.agg(F.max(F.regexp_extract("bundle", r"-(\d+)\.", 1).cast("long"))).first()[0]
+    n = 0 if last is None else last + 1
+    return index.sparkSession.range(0, n, 1, max(1, n)).mapInArrow(_read(folder), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def fetch(folder: str, where: dict) -> tuple[dict[str, str], bytes]:
