@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terminus.llm.common import batch, gathered, materialize, sliced, texts
+from terminus.llm.common import BATCH_NUMBERS, batch, gathered, materialize, sliced, texts
 
 LIMIT, END = 1024, 2
-#: Sub-ranks of each length; bounds the rows of a rank's window to a length's count over this.
-SALTS = 256
+#: Pieces of a length that are ranked together, about; more are dealt into parts that are ranked for themselves.
+RANKED = 1 << 16
 #: Characters on which the fast encoder's splitting rule and the tokenizers library's cannot differ: up to Latin Extended-A.
 PLAIN = re.compile("[^\\x00-\\u017f]|<\\|")
 
@@ -157,18 +157,24 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, limit: int = LIMI
     are ranked by doc_id and piece, so a rerun gives the same places. Repeated doc_ids keep all their pieces. An
     empty table gives an empty result; other columns are not read.
 
-    To the driver come at most `limit` counts; the plan sent to the executors has a run for each pattern and length.
+    Pieces of `limit` tokens are a sequence each. To the driver come at most `limit` counts; the plan sent to the executors has
+    a run for each pattern and length.
     """
+    spark = docs.sparkSession
     cut = texts(docs).mapInArrow(_pieces(path, ranks, limit, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
-    own = materialize(gathered(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))), docs), "pieces")
-    tally = materialize(own.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "tally")
+    every = materialize(gathered(cut.withColumn("row", F.monotonically_increasing_id()), docs), "pieces")
     counts = [0] * (limit + 1)
-    for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `limit` rows
+    for r in every.where(F.col("length") < limit).groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most `limit` rows
         counts[r["length"]] = r["n"]
+    full = every.where(F.col("length") == limit).select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    parts = spark.createDataFrame([(n, -(-k // RANKED)) for n, k in enumerate(counts) if k], "length long, parts int")  # at most `limit` rows
+    own = every.where(F.col("length") < limit).join(F.broadcast(parts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), "parts"))
+    tally = materialize(own.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "tally", rows=BATCH_NUMBERS)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")
     base = tally.select("length", "salt", before.alias("before"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
     ranked = own.withColumn("within", within).join(base, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("within"))
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank")).mapInArrow(
+    placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank")).mapInArrow(
         _place(places(plan(counts, limit))), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
+    return placed.union(full)
