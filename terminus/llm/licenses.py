@@ -1,9 +1,10 @@
 """License scans by an exact set-similarity join of text blocks with templates; DataFrame and SQL functions only.
 
-A block is a line. A template is found in it if the block holds THRESHOLD or more of the template's distinct words. Words of
-templates are ordered by how many blocks of the corpus hold them, rarest first; a block that reaches the threshold
-must hold one of a template's rarest |T| - c + 1 words (its prefix), so only those words are joined on. Length and position
-filters drop candidates before their overlap is counted. All three filters are lossless.
+A block is a run of consecutive words of the whole text, about as long as the template (`span`), across line ends. A template is found
+where a block holds THRESHOLD or more of its distinct words. Words of templates are ordered by how many documents of the corpus hold them,
+rarest first; a block that reaches the threshold must hold one of a template's rarest |T| - c + 1 words (its prefix), so only
+where those words stand are blocks looked at. The length filter asks for c words of the template within a block's reach, the position filter
+for enough words that come later in the order; then the blocks themselves are counted. All three filters are lossless.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from terminus.llm.common import materialize
 
-THRESHOLD = 0.8
+#: Part of a template's distinct words that a block must hold; words of a block for each of the template's.
+THRESHOLD, REACH = 0.9, 1.25
 #: Phrases whose words stand consecutively, and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 #: (label, template); the words of public license notices.
@@ -33,7 +35,7 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("reserved", "copyright all rights reserved"),
 )
-BLANKS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+BLANKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def needed(template: str, threshold: float = THRESHOLD) -> int:
@@ -41,24 +43,28 @@ def needed(template: str, threshold: float = THRESHOLD) -> int:
     return math.ceil(threshold * len(set(template.split())) - 1e-9)
 
 
+def span(template: str) -> int:
+    """Words of a block that a template is looked for in."""
+    return math.ceil(REACH * len(template.split()))
+
+
 def _spaces(c: Column) -> Column:
     return F.octet_length(c) - F.octet_length(F.replace(c, F.lit(" "), F.lit("")))
 
 
 def _phrases(docs: DataFrame) -> DataFrame:
-    """doc_id, lines, n_words, and per phrase k: n_k places, first_k and last_k word."""
+    """doc_id, line (the words, each with a space before and after), n_words, and per phrase k: n_k places, first_k and last_k word."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase).alias("low"))
-    own = own.select("doc_id", F.regexp_replace("low", BLANKS, " ").alias("lines"))
-    own = own.select("doc_id", "lines", F.trim(F.regexp_replace("lines", r"[ \n]+", " ")).alias("line"))
-    own = own.select("doc_id", "lines", F.when(F.col("line") == "", F.lit("")).otherwise(F.concat(F.lit(" "), "line", F.lit(" "))).alias("line"))
-    own = own.select("doc_id", "lines", F.when(F.col("line") == "", F.lit(0)).otherwise(_spaces(F.col("line")) - 1).cast("long").alias("n_words"), *[F.when(F.col("line").contains(f" {p} "), F.replace("line", F.lit(" "), F.lit("  "))).alias(f"on_{k}") for k, (p, _) in enumerate(PHRASES)])
+    own = own.select("doc_id", F.trim(F.regexp_replace("low", BLANKS, " ")).alias("line"))
+    own = own.select("doc_id", F.when(F.col("line") == "", F.lit("")).otherwise(F.concat(F.lit(" "), "line", F.lit(" "))).alias("line"))
+    own = own.select("doc_id", "line", F.when(F.col("line") == "", F.lit(0)).otherwise(_spaces(F.col("line")) - 1).cast("long").alias("n_words"), *[F.when(F.col("line").contains(f" {p} "), F.replace("line", F.lit(" "), F.lit("  "))).alias(f"on_{k}") for k, (p, _) in enumerate(PHRASES)])
     cols: list[Column] = []
     for k, (p, _) in enumerate(PHRASES):
         on, mark, size = F.col(f"on_{k}"), " " + p.replace(" ", "  ") + " ", len(p.split())
         cols.append(((F.octet_length(on) - F.octet_length(F.replace(on, F.lit(mark), F.lit("")))) / len(mark)).cast("long").alias(f"n_{k}"))
         cols.append(((_spaces(F.substring_index(on, mark, 1)) - 1) / 2).cast("long").alias(f"first_{k}"))
         cols.append((F.col("n_words") - size - (_spaces(F.substring_index(on, mark, -1)) - 1) / 2).cast("long").alias(f"last_{k}"))
-    return own.select("doc_id", "lines", "n_words", *cols)
+    return own.select("doc_id", "line", "n_words", *cols)
 
 
 def scan(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -71,32 +77,34 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRES
     with the parameter.
     """
     words = sorted({w for _, t in templates for w in t.split()})
-    least = min(needed(t, threshold) for _, t in templates)
-    vocabulary = F.array(*map(F.lit, words))
-    held = F.filter(F.transform(F.split("lines", "\n"), lambda x: F.array_intersect(F.split(x, " "), vocabulary)), lambda x: F.size(x) >= least)
-    own = materialize(_phrases(docs).withColumn("blocks", F.array_distinct(held)).drop("lines").withColumn("row", F.monotonically_increasing_id()), "blocks")
-    blocks = own.select("row", F.posexplode("blocks").alias("block", "words"))
-    often = {r["word"]: r["n"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each word of the templates
+    most = max(map(span, (t for _, t in templates)))
+    held = F.split(F.trim("line"), " ")
+    hits = F.transform(F.filter(F.sequence(F.lit(0), F.size(held) - 1), lambda i: F.get(F.col("words"), i).isin(words)), lambda i: F.struct(i.alias("at"), F.get(F.col("words"), i).alias("word")))
+    own = _phrases(docs).withColumn("words", held).withColumn("hits", hits).drop("line", "words").withColumn("row", F.monotonically_increasing_id())
+    own = materialize(own, "words")
+    often = {r["word"]: r["n"] for r in own.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each word of the templates
     order = sorted(words, key=lambda w: (often.get(w, 0), w))
     place = {w: i for i, w in enumerate(order)}
     rows = []
     for label, t in templates:
         ranked = sorted(set(t.split()), key=place.get)
         c = needed(t, threshold)
-        rows += [(label, w, i, len(ranked), c, ranked) for i, w in enumerate(ranked[: len(ranked) - c + 1])]
-    index = F.broadcast(own.sparkSession.createDataFrame(rows, "label string, word string, at int, size int, least int, template array<string>"))
-    rare = F.array(*[F.lit(w) for w in sorted({r[1] for r in rows})])
-    rank = F.create_map(*[F.lit(x) for w in order for x in (w, place[w])])
-    posted = blocks.where(F.arrays_overlap("words", rare)).select("row", "words", F.explode(F.array_intersect("words", rare)).alias("word"))
-    joined = posted.join(index, "word").where(F.size("words") >= F.col("least"))
-    after = F.size(F.filter("words", lambda w: rank[w] > rank[F.col("word")]))
-    before = F.col("at") + 1
-    joined = joined.where(before + F.least(F.col("size") - before, after) >= F.col("least"))
-    overlap = joined.withColumn("part", F.size(F.array_intersect("words", "template")) / F.col("size")).where(F.col("part") * F.col("size") >= F.col("least") - 1e-9)
+        rows += [(label, w, i, len(ranked), c, span(t), ranked, ranked[i + 1 :]) for i, w in enumerate(ranked[: len(ranked) - c + 1])]
+    index = F.broadcast(own.sparkSession.createDataFrame(rows, "label string, word string, place int, size int, least int, span int, template array<string>, later array<string>"))
+    rare = sorted({r[1] for r in rows})
+    # where a rare word stands, with the words of templates around it: at most `most` on either side
+    posts = F.transform(F.filter(F.sequence(F.lit(1), F.size("hits")), lambda k: F.get(F.col("hits"), k - 1)["word"].isin(rare)), lambda k: F.struct(F.get(F.col("hits"), k - 1).alias("hit"), F.slice(F.col("hits"), F.greatest(k - most, F.lit(1)), F.least(k - 1, F.lit(most)) + 1 + most).alias("near")))
+    posted = own.where((F.size("hits") > 0) & F.exists("hits", lambda h: h["word"].isin(rare))).select("row", F.explode(posts).alias("post")).select("row", F.col("post.hit.word").alias("word"), F.col("post.hit.at").alias("at"), "post.near")
+    joined = posted.join(index, "word").withColumn("near", F.filter("near", lambda h: (h["at"] > F.col("at") - F.col("span")) & (h["at"] < F.col("at") + F.col("span")) & F.array_contains("template", h["word"])))
+    joined = joined.where(F.size(F.array_distinct("near.word")) >= F.col("least"))
+    after = F.size(F.array_intersect("near.word", "later"))
+    joined = joined.where(F.col("place") + 1 + F.least(F.size("later"), after) >= F.col("least"))
+    block = lambda h: F.size(F.array_distinct(F.transform(F.filter(F.col("near"), lambda x: (x["at"] >= h["at"]) & (x["at"] < h["at"] + F.col("span"))), lambda x: x["word"])))
+    overlap = joined.withColumn("best", F.array_max(F.transform("near", block))).where(F.col("best") >= F.col("least")).withColumn("part", F.col("best") / F.col("size"))
     found = overlap.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("part").alias("part"))
     n_base = sum((F.coalesce(f"n_{k}", F.lit(0)) for k in range(1, len(PHRASES))), F.coalesce("n_0", F.lit(0)))
     base = F.array_compact(F.array(*[F.when(F.col(f"n_{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(PHRASES)]))
-    out = own.drop("blocks").join(found, "row", "left").withColumn("n_base", n_base.cast("long")).withColumn("base", F.array_sort(F.array_distinct(base)))
+    out = own.drop("hits").join(found, "row", "left").withColumn("n_base", n_base.cast("long")).withColumn("base", F.array_sort(F.array_distinct(base)))
     return out.select(
         "doc_id",
         "n_words",
@@ -111,7 +119,7 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRES
 
 def oracle(templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> str:
     """The same rows from every block against every template, in DuckDB's SQL."""
-    values = ", ".join(f"('{label}', {sorted(set(t.split()))!r}, {needed(t, threshold)})" for label, t in templates)
+    values = ", ".join(f"('{label}', {sorted(set(t.split()))!r}, {needed(t, threshold)}, {span(t)})" for label, t in templates)
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     places = " ".join(
         f"list_concat(list_filter(range(1, len(w) + 1), lambda i: {' AND '.join(f'w[i + {j}] = ' + repr(x) for j, x in enumerate(p.split()))}),"
@@ -119,12 +127,14 @@ def oracle(templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> str:
     )
     labels = ", ".join(f"CASE WHEN len(list_filter(range(1, len(w) + 1), lambda i: {' AND '.join(f'w[i + {j}] = ' + repr(x) for j, x in enumerate(p.split()))})) > 0 THEN '{label}' END" for p, label in PHRASES)
     return f"""
-    WITH t(label, words, least) AS (VALUES {values}),
+    WITH t(label, words, least, span) AS (VALUES {values}),
     d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS low FROM documents),
     x AS (SELECT r, doc_id, low, regexp_extract_all(low, '{word}') AS w FROM d),
     b AS (SELECT r, doc_id, len(w) AS n_words, {places} []{')' * len(PHRASES)} AS places, list_filter([{labels}], lambda y: y IS NOT NULL) AS base FROM x),
-    lines AS (SELECT r, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{word}')) AS held FROM d),
-    m AS (SELECT r, label, len(list_intersect(words, held)) / len(words) AS part FROM lines JOIN t ON len(held) >= least AND len(list_intersect(words, held)) >= least),
+    may AS (SELECT r, w, label, words, least, span FROM x JOIN t ON len(list_intersect(words, w)) >= least),
+    starts AS (SELECT r, label, words, least, span, w, unnest(range(1, len(w) + 1)) AS i FROM may),
+    blocks AS (SELECT r, label, least, words, len(list_intersect(words, w[i : i + span - 1])) AS n FROM starts WHERE list_contains(words, w[i])),
+    m AS (SELECT r, label, n / len(words) AS part FROM blocks WHERE n >= least),
     f AS (SELECT r, list(DISTINCT label) AS more, max(part) AS part FROM m GROUP BY r)
     SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, (list_min(places) - 1)::BIGINT AS first_word, (list_max(places) - 1)::BIGINT AS last_word,
       array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') AS labels,

@@ -3,7 +3,7 @@ import re
 
 import duckdb
 
-from terminus.llm.licenses import PHRASES, TEMPLATES, needed, oracle, scan
+from terminus.llm.licenses import PHRASES, TEMPLATES, needed, oracle, scan, span
 
 
 def brute(text):
@@ -18,13 +18,12 @@ def brute(text):
                 places.append(i)
                 base.add(label)
     more, score = set(), 0.0
-    for line in low.split("\n"):
-        held = set(find(line))
-        for label, t in TEMPLATES:
-            own = set(t.split())
-            if len(own & held) >= needed(t):
-                more.add(label)
-                score = max(score, len(own & held) / len(own))
+    for label, t in TEMPLATES:
+        own = set(t.split())
+        n = max((len(own & set(w[i : i + span(t)])) for i in range(len(w)) if w[i] in own), default=0) if len(own & set(w)) >= needed(t) else 0
+        if n >= needed(t):
+            more.add(label)
+            score = max(score, n / len(own))
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if places else score
 
 
@@ -50,3 +49,10 @@ def test_against_brute_force_and_sql(spark, docs):
     con.register("documents", documents)
     assert sorted(con.execute(oracle()).fetchall()) == got
     assert scan(docs([])).count() == 0
+
+
+def test_notices_over_lines_and_words_far_apart(docs):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    far = "released " + "x " * 50 + "under the " + "y " * 50 + "mit license"
+    texts = [bsd, far, "Released under the Apache License", "Released under\n * the MIT\n * License.", "This work is licensed under a Creative Commons\nAttribution 4.0\nInternational License"]
+    assert [r.labels for r in sorted(scan(docs(texts)).collect(), key=lambda r: r.doc_id)] == ["bsd", "", "", "mit", "cc-by"]
