@@ -128,12 +128,16 @@ def _write(folder: str):
         task = TaskContext.get()
         name = named(task.partitionId())
         own = f"{root}/.{name}.{task.taskAttemptId()}"
-        used = False
+        used, earlier = False, (None, None)
         with there.open_output_stream(own) as file:
             bundle = Bundle(file)
             for x in sliced(batches):
                 rows = []
                 for page_id, number, url, html, digest, refers_to in zip(*(c.to_pylist() for c in x.columns)):
+                    if digest is None:  # says where the next record's payload stands
+                        earlier = number, refers_to
+                        continue
+                    refers_to = earlier[1] if earlier[0] == number else None
                     record_id = identifier(page_id, number)
                     raw = record(record_id, page_id, url, (html or "").encode("utf-8"), base64.b32encode(bytes.fromhex(digest)).decode(), refers_to)
                     rows.append((record_id, page_id, name, *bundle.add(raw), len(raw)))
@@ -165,8 +169,10 @@ def write(pages: DataFrame, folder: str | None = None, bundles: int | None = Non
     again = narrow.join(first, "digest").where(F.col("number") != F.col("kept")).select("number", "refers_to")
     total = own.agg(F.sum("size")).first()[0] or 0
     bundles = bundles or max(1, -(-total // BUNDLE), min(2 * spark.sparkContext.defaultParallelism, -(-total // SPREAD)))
-    rows = own.join(again, "number", "left").repartition(bundles, "number").sortWithinPartitions("number")
-    rows = rows.select("page_id", "number", "url", "html", "digest", "refers_to")
+    none = F.lit(None)
+    columns = ("page_id", "number", "url", "html", "digest", "refers_to")
+    rows = own.select(*columns[:5], none.cast("long").alias("refers_to")).union(again.select(none, "number", none, none, none, "refers_to"))  # not joined: pages move once
+    rows = rows.repartition(bundles, "number").sortWithinPartitions("number", F.asc_nulls_first("digest")).select(*columns)
     return folder, materialize(rows.mapInArrow(_write(folder), INDEX_TYPE), "index")
 
 
