@@ -280,7 +280,7 @@ def spans_of(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame, DataFr
     often = each.groupBy("h").agg(F.sum("m").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SHARD).cast("int").alias("salts"))
     wanted = each.join(often, "h").groupBy("sig", "name").agg(F.collect_list(F.struct("h", "salts", "a", "b")).alias("own"))
     source = docs.select("raw", name, F.unhex(F.md5("raw")).alias("sig"))
-    some = materialize(source.join(wanted, ["sig", "name"]).dropDuplicates(["sig", "name"]).select("sig", "raw", "own"), "candidates")
+    some = materialize(source.join(wanted, ["sig", "name"]).dropDuplicates(["sig", "name"]).select("sig", "raw", "own"), "candidates", "zstd")
     shards = some.mapInArrow(_windows(length), "h long, salts int, salt int, sig binary, at long, window binary").repartition("h", "salt").sortWithinPartitions("h", "salt")
     found = materialize(shards.mapInArrow(_merge(length), OUT_TYPE), "repeats")
     open_ = found.where("core is not null")
@@ -290,7 +290,7 @@ def spans_of(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame, DataFr
     met = keys.where("sig is not null").join(twice, ["h", "key"], "left_semi").select("sig", (F.col("a") + F.col("i")).alias("a"))
     spans = found.where("core is null").select("sig", "a", "b").union(met.select("sig", "a", F.col("a") + length))
     spans = spans.groupBy("sig").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    held = materialize(some.select("sig", "raw").join(spans, "sig").withColumn("id", F.monotonically_increasing_id()), "spans")
+    held = materialize(some.select("sig", "raw").join(spans, "sig").withColumn("id", F.monotonically_increasing_id()), "spans", "zstd")
     dropped(some, found, keys)
     return index.drop("anchors"), same.select("sig", "copies"), held
 
@@ -352,7 +352,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -
     of a frequent anchor share by 64 bits within an anchor of 64 bits.
     """
     every, same, short = spans_of(_named(docs), passage)
-    runs = materialize(short.select("id", "raw", "spans").mapInArrow(_runs(length), "row long, part long, raw binary"), "runs")
+    runs = materialize(short.select("id", "raw", "spans").mapInArrow(_runs(length), "row long, part long, raw binary"), "runs", "zstd")
     parts, again, inner = spans_of(runs, length)
     dropped(runs)
     parts = parts.withColumnRenamed("sig", "of")
