@@ -6,7 +6,9 @@ Windows are half-open and clipped to the context. Everything is a built-in expre
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,14 +31,17 @@ def window(sequence: Column, start: Column, a: int, b: int) -> tuple[Column, Col
     return F.when(last > first, F.substring(sequence, first - start + 1, last - first)).otherwise(F.lit("")), first
 
 
-def first_motif(sequence: Column, start: Column, a: int, b: int, motifs) -> Column:
-    """struct(motif, position) of the first motif of the list that lies in the window, at its leftmost place; else null."""
+def first_motif(sequence: Column, start: Column, a: int, b: int, motifs, *more: Column) -> Column:
+    """struct(motif, position, more) of the first motif of the list that lies in the window, at its leftmost place; else null.
+
+    One regular expression passes over windows without any of them."""
     text, first = window(sequence, start, a, b)
-    return F.coalesce(*[F.when(F.locate(m, text) > 0, F.struct(F.lit(m).alias("motif"), (first + F.locate(m, text) - 1).alias("position"))) for m in motifs])
+    found = F.coalesce(*[F.when(F.locate(m, text) > 0, F.struct(F.lit(m).alias("motif"), (first + F.locate(m, text) - 1).alias("position"), *more)) for m in motifs])
+    return F.when(text.rlike("|".join(map(re.escape, motifs))), found)
 
 
-def rich_hexamer(sequence: Column, start: Column, a: int, b: int, base: str = "T", least: int = 5) -> Column:
-    """struct(motif, position) of the hexamer with most of a base (`least` or more), nearest to the site, then leftmost."""
+def rich_hexamer(sequence: Column, start: Column, a: int, b: int, *more: Column, base: str = "T", least: int = 5) -> Column:
+    """struct(motif, position, more) of the hexamer with most of a base (`least` or more), nearest to the site, then leftmost."""
     text, first = window(sequence, start, a, b)
     count = lambda s: F.length(s) - F.length(F.replace(s, F.lit(base), F.lit("")))
     hexamers = F.transform(
@@ -44,7 +49,8 @@ def rich_hexamer(sequence: Column, start: Column, a: int, b: int, base: str = "T
         lambda i: F.struct((-count(F.substring(text, i + 1, F.lit(6)))).alias("n"), F.abs(first + i).alias("d"), (first + i).alias("position"), F.substring(text, i + 1, F.lit(6)).alias("motif")),
     )
     best = F.array_min(F.filter(hexamers, lambda h: h["n"] <= -least))
-    return F.when(best.isNotNull(), F.struct(best["motif"].alias("motif"), best["position"].alias("position")))
+    rich = "|".join("".join("." if i in gaps else base for i in range(6)) for gaps in combinations(range(6), 6 - least))
+    return F.when(text.rlike(rich), F.struct(best["motif"].alias("motif"), best["position"].alias("position"), *more))
 
 
 def fraction(text: Column, base: str) -> Column:

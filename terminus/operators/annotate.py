@@ -60,17 +60,17 @@ def motif(sequence: Column, start: Column, model: str, families: dict[str, list[
     if model not in MODELS:
         raise ValueError(f"unknown model: {model}")
     names = ("motif_type", "search_level", "motif_support")
-    verdict = lambda hit, kinds: F.when(hit.isNotNull(), F.struct(hit["motif"].alias("motif"), hit["position"].cast("int").alias("position"), *[F.lit(k).alias(n) for k, n in zip(kinds, names)]))
+    verdict = lambda kinds: [F.lit(k).alias(n) for k, n in zip(kinds, names)]
     blank = lambda kind: F.struct(F.lit(None).cast("string").alias("motif"), F.lit(None).cast("int").alias("position"), *[F.lit(kind).alias(n) for n in names])
     if model == "NOT_ASSESSED":
         found, cleavage, share = blank("not_assessed"), F.lit(""), F.lit(None).cast("double")
     else:
         text = F.upper(sequence)
         own = {id(UAG): (families or {}).get("UAG", UAG), id(GUA): (families or {}).get("GUA", GUA), id(GUA_UAG): (families or {}).get("GUA_UAG", GUA_UAG)}
-        hits = [(rich_hexamer(text, start, a, b) if m is None else first_motif(text, start, a, b, own.get(id(m), m)), kinds) for a, b, m, *kinds in STEPS[model]]
-        steps = [verdict(h, k) for h, k in hits]
+        step = lambda a, b, m, kinds: rich_hexamer(text, start, a, b, *verdict(kinds)) if m is None else first_motif(text, start, a, b, own.get(id(m), m), *verdict(kinds))
+        steps = [step(a, b, m, kinds) for a, b, m, *kinds in STEPS[model]]
         if model == "BUDDING_YEAST":
-            steps.insert(0, F.when(hits[0][0].isNotNull() & hits[1][0].isNotNull(), verdict(hits[0][0], BOTH)))
+            steps.insert(0, F.when(steps[1].isNotNull(), step(*STEPS[model][0][:3], BOTH)))
         found = F.coalesce(*steps, blank("none"))
         cleavage = window(text, start, -1, 1)[0]
         share = round_even(fraction(window(text, start, -10, 16)[0], "T"), 4) if model == "LAND_PLANT" else F.lit(None).cast("double")

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from terminus.functions.cigar import junction_chain, reference_length
 
-#: Rows of an index that are sent to every executor; larger ones are joined by bins.
-BROADCAST_ROWS = 200_000
-#: Width of a bin where both sides are large.
-BIN = 16_384
+#: Width of a bin of places, about the length of a read or an exon.
+BIN = 1024
 
 
 def alignment_class(min_mapq: int = 1) -> Column:
@@ -42,27 +40,13 @@ def overlap(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
     return F.greatest(F.lit(0), F.least(a2, b2) - F.greatest(a1, b1) + 1)
 
 
-def interval_join(left: DataFrame, right: DataFrame, keys: list[str], a: tuple[str, str], b: tuple[str, str], rows: int | None = None, how: str = "inner") -> DataFrame:
-    """Pairs whose closed intervals meet. The right side is sent to all executors if it has at most BROADCAST_ROWS rows; beyond,
-    both sides go to bins of their intervals, and a pair is kept in the bin that its overlap starts in."""
-    n = right.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    meet = (F.col(a[0]) <= F.col(b[1])) & (F.col(b[0]) <= F.col(a[1]))
-    on = [left[k] == right[k] for k in keys]
-    if n <= BROADCAST_ROWS:
-        cond = meet
-        for c in on:
-            cond = cond & c
-        out = left.join(F.broadcast(right), cond, how)
-    else:
-        bins = lambda lo, hi: F.explode(F.sequence((F.col(lo) / BIN).cast("int"), (F.col(hi) / BIN).cast("int")))
-        l2, r2 = left.withColumn("_bin", bins(*a)), right.withColumn("_rbin", bins(*b))
-        cond = meet & (F.col("_bin") == F.col("_rbin")) & ((F.greatest(F.col(a[0]), F.col(b[0])) / BIN).cast("int") == F.col("_bin"))
-        for k in keys:
-            cond = cond & (l2[k] == r2[k])
-        out = l2.join(r2, cond, "inner").drop("_bin", "_rbin") if how == "inner" else l2.join(r2, cond, how).drop("_bin")
-    for k in keys:
-        out = out.drop(right[k]) if how == "inner" else out
-    return out
+def interval_join(left: DataFrame, right: DataFrame, keys: list[str], a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
+    """Pairs whose closed intervals meet. Both sides go to the bins that their intervals touch, and a pair is kept in the bin that its
+    overlap starts in, so an interval is compared with those near it alone. The engine broadcasts a side whose size allows it."""
+    bins = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / BIN), F.floor(F.col(hi) / BIN)))
+    own, other = left.withColumn("_bin", bins(*a)), right.withColumn("_bin", bins(*b))
+    meet = (F.col(a[0]) <= F.col(b[1])) & (F.col(b[0]) <= F.col(a[1])) & (F.floor(F.greatest(F.col(a[0]), F.col(b[0])) / BIN) == F.col("_bin"))
+    return own.join(other, [*keys, "_bin"]).where(meet).drop("_bin")
 
 
 def chain_lookup(reads: DataFrame, chains: DataFrame) -> DataFrame:

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from terminus.functions.numeric import plain_number, round_even
 from terminus.sources.tables import BIOTYPES, MITOCHONDRIA
+from terminus.staging import staged
 
+#: Positions of a gene that one call of the segmentation handles, about.
+CHUNK = 4096
 GENE_KEY = ["chromosome", "effective_gene_id", "strand"]
 JOIN_KEY = [*GENE_KEY, "site_position"]
 MODE = ["mode_site_position", "mode_score", "mode_local_n_samples", "mode_local_total_site_count", "mode_exact_n_samples", "mode_exact_total_site_count"]
@@ -75,11 +78,12 @@ def evidence(rows: DataFrame) -> DataFrame:
 
 
 def dp_weights(ev: DataFrame, sample_weight: float = 0.7, count_weight: float = 0.3) -> DataFrame:
-    """How much a position counts when clusters are cut; relative to its gene's largest values."""
-    w = Window.partitionBy(*GENE_KEY)
-    logs = F.log1p("total_count")
-    part = lambda x: F.coalesce(x / F.nullif(F.max(x).over(w), F.lit(0.0)), F.lit(0.0))
-    return ev.withColumn("dp_weight", F.greatest(sample_weight * part(F.col("n_samples").cast("double")) + count_weight * part(logs), F.lit(1e-6)))
+    """How much a position counts when clusters are cut; relative to its gene's largest values, which are joined back."""
+    own = ev.withColumns({"_s": F.col("n_samples").cast("double"), "_c": F.log1p("total_count")})
+    top = own.groupBy(*GENE_KEY).agg(F.max("_s").alias("_ts"), F.max("_c").alias("_tc"))
+    part = lambda x, most: F.coalesce(F.col(x) / F.nullif(F.col(most), F.lit(0.0)), F.lit(0.0))
+    own = own.join(top, GENE_KEY).withColumn("dp_weight", F.greatest(sample_weight * part("_s", "_ts") + count_weight * part("_c", "_tc"), F.lit(1e-6)))
+    return own.select(*ev.columns, "dp_weight")
 
 
 def gap_clusters(ev: DataFrame, max_internal_gap: int = 24) -> DataFrame:
@@ -122,11 +126,14 @@ def partition(x: np.ndarray, w: np.ndarray, width: int, gap: int, penalty: float
 
 def absorb(clusters: list[list[int]], obs: pd.DataFrame, width: int, gap: int, min_count: int, strong_count: int, strong_abundance: float) -> list[list[int]]:
     """Single positions without a supported observation join a strong neighbour that stays within width and gap: the nearest,
-    then the one with more supported observations, then with the larger one, then the left. Repeats until nothing moves."""
+    then the one with more supported observations, then with the larger one, then the left. Repeats until nothing moves.
+    obs: transcript_id, sample_id, site_position, site_count, and gene_count, the reads of that transcript and sample in the
+    whole gene, where obs is a part of it."""
     total: dict = {}
     at: dict = {}
-    for t, k, p, n in zip(obs["transcript_id"], obs["sample_id"], obs["site_position"], obs["site_count"]):
-        total[t, k] = total.get((t, k), 0.0) + n
+    gene = obs["gene_count"] if "gene_count" in obs else obs.groupby(["transcript_id", "sample_id"])["site_count"].transform("sum")
+    for t, k, p, n, whole in zip(*(obs[c] for c in ("transcript_id", "sample_id", "site_position", "site_count")), gene):
+        total[t, k] = whole
         at.setdefault(p, []).append(((t, k), n))
 
     def support(cluster):
@@ -167,12 +174,23 @@ def absorb(clusters: list[list[int]], obs: pd.DataFrame, width: int, gap: int, m
         changed, i = True, max(0, low - 1)
 
 
+def islands(ev: DataFrame, max_internal_gap: int, most: int | None = None) -> DataFrame:
+    """(JOIN_KEY, dp_weight, chunk): neighbouring islands of a gene, together about `most` positions, have a chunk. No cluster and no absorption
+    crosses a step over the gap, so chunks are segmented for themselves."""
+    gene = Window.partitionBy(*GENE_KEY)
+    own = gap_clusters(ev, max_internal_gap).withColumn("_nth", F.row_number().over(gene.orderBy("site_position")))
+    first = F.min("_nth").over(Window.partitionBy(*GENE_KEY, "cluster_number"))
+    return own.select(*JOIN_KEY, "dp_weight", F.floor(first / F.lit(most or CHUNK)).alias("chunk"))
+
+
 def segment(rows: DataFrame, sample_weight: float = 0.7, count_weight: float = 0.3, **options) -> DataFrame:
     """(JOIN_KEY, cluster_number): positions of each gene and strand cut into clusters by dynamic programming, weak ones absorbed."""
     o = SEGMENT | options
     obs = rows.groupBy(*JOIN_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("site_count"))
-    weight = dp_weights(evidence(rows).drop("samples"), sample_weight, count_weight).select(*JOIN_KEY, "dp_weight")
-    own = obs.join(weight, JOIN_KEY)
+    own = obs.join(islands(dp_weights(evidence(rows).drop("samples"), sample_weight, count_weight), o["max_internal_gap"]), JOIN_KEY)
+    if o["absorb"]:
+        whole = obs.groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
+        own = own.join(whole, [*GENE_KEY, "transcript_id", "sample_id"])
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.drop_duplicates("site_position").sort_values("site_position")
@@ -181,10 +199,12 @@ def segment(rows: DataFrame, sample_weight: float = 0.7, count_weight: float = 0
         clusters = [x[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
         if o["absorb"] and len(clusters) > 1:
             clusters = absorb(clusters, pdf, o["max_cluster_width"], o["max_internal_gap"], o["min_observation_count"], o["strong_count"], o["strong_abundance"])
-        rows_ = [(*key, p, i) for i, c in enumerate(clusters) for p in c]
-        return pd.DataFrame(rows_, columns=[*JOIN_KEY, "cluster_number"])
+        rows_ = [(*key[:3], p, c[0]) for c in clusters for p in c]
+        return pd.DataFrame(rows_, columns=[*JOIN_KEY, "_start"])
 
-    return own.groupBy(*GENE_KEY).applyInPandas(one, "chromosome string, effective_gene_id string, strand string, site_position int, cluster_number long")
+    cut = own.groupBy(*GENE_KEY, "chunk").applyInPandas(one, "chromosome string, effective_gene_id string, strand string, site_position int, _start int")
+    number = F.dense_rank().over(Window.partitionBy(*GENE_KEY).orderBy("_start")) - 1
+    return cut.select(*JOIN_KEY, number.cast("long").alias("cluster_number"))
 
 
 def local_support(numbered: DataFrame, reach: int = 15) -> DataFrame:
@@ -316,19 +336,24 @@ def transcript_counts(detailed: DataFrame) -> DataFrame:
     """Per cluster `transcript:reads` by falling reads, then name; number of transcripts and all reads."""
     per = detailed.groupBy("cluster_key", "transcript_id").agg(F.sum("site_count").alias("n"))
     items = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("transcript_id").alias("t"), plain_number(F.col("n")).alias("s"))))
-    return per.groupBy("cluster_key").agg(F.array_join(F.transform(items, lambda i: F.concat(i["t"], F.lit(":"), i["s"])), ",").alias("transcript_cluster_counts"), F.count(F.lit(1)).alias("n_transcripts"), F.sum("n").alias("total"))
+    return per.groupBy("cluster_key").agg(F.array_join(F.array_sort(F.collect_list("transcript_id")), ",").alias("transcript_ids"), F.array_join(F.transform(items, lambda i: F.concat(i["t"], F.lit(":"), i["s"])), ",").alias("transcript_cluster_counts"), F.count(F.lit(1)).alias("n_transcripts"), F.sum("n").alias("total"))
 
 
 def summary(detailed: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
-    """A row a cluster. Attributes that rows of a cluster may differ in are the first row's by ingest_seq."""
+    """A row a cluster. Attributes that rows of a cluster may differ in are the first row's by ingest_seq. What is counted or listed is made
+    distinct by an aggregation of its own, so rows are never multiplied."""
     has = "cluster_relative_abundance" in detailed.columns
     first = ["unified_ID", "gene_id", "gene_name", "effective_gene_id", "chromosome", "strand", "cluster_start", "cluster_end", "cluster_width", *MODE, "n_unique_positions"]
-    kind = lambda k: F.count_distinct(F.when(F.col("sample_attribute") == k, F.col("sample_id")))
-    own = detailed.groupBy("cluster_key").agg(
-        F.min_by(F.struct(*first), "ingest_seq").alias("f"), listed("transcript_id").alias("transcript_ids"), listed("sample").alias("sample_list"), listed("transcript_biotype").alias("transcript_biotype"),
-        F.count_distinct("sample_id").alias("n_samples"), kind("tissue").alias("n_tissues"), kind("cell_culture").alias("n_cell_cultures"),
-        (round_even(F.median("cluster_relative_abundance"), 4) if has else F.lit(None).cast("double")).alias("median_cluster_relative_abundance"),
+    kind = lambda k: F.max((F.col("sample_attribute") == k).cast("int"))
+    samples = detailed.groupBy("cluster_key", "sample_id").agg(F.collect_set("sample").alias("names"), F.collect_set("transcript_biotype").alias("types"), kind("tissue").alias("t"), kind("cell_culture").alias("c"))
+    together = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), ",")
+    samples = samples.groupBy("cluster_key").agg(
+        F.count("sample_id").alias("n_samples"), F.coalesce(F.sum("t"), F.lit(0)).alias("n_tissues"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_cell_cultures"),
+        together("names").alias("sample_list"), together("types").alias("transcript_biotype"),
     )
+    own = detailed.groupBy("cluster_key").agg(
+        F.min_by(F.struct(*first), "ingest_seq").alias("f"), (round_even(F.median("cluster_relative_abundance"), 4) if has else F.lit(None).cast("double")).alias("median_cluster_relative_abundance"),
+    ).join(samples, "cluster_key")
     own = own.join(weighted_positions(detailed), "cluster_key").join(transcript_counts(detailed), "cluster_key")
     if verdicts is not None:
         own = own.join(verdicts.select("cluster_key", "filter_pass_rule", "filter_reason"), "cluster_key", "left")
@@ -354,26 +379,28 @@ def resolve_cutoff(value: int | str, samples: int) -> int:
     return int(value)
 
 
-def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | str = 50, capitalize: bool = True, numbered: DataFrame | None = None, segmentation: dict | None = None, **options) -> dict[str, DataFrame]:
+def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | str = 50, capitalize: bool = True, numbered: DataFrame | None = None, segmentation: dict | None = None, representative: dict | None = None, **options) -> dict[str, DataFrame]:
     """Tables of a unification of normalized, filtered rows (with ingest_seq): detailed, summary, filtered_out, unfiltered.
 
-    Rows with their cluster are kept on the executors, in memory or on disk, since every table reads them several times.
-    numbered: positions with cluster_number, if they come from elsewhere. A name of a cluster that is kept is a new one; the
+    Rows with their cluster, the verdicts and the rows kept are written once, since every table reads them several times.
+    numbered: positions with cluster_number, if they come from elsewhere. representative: `reach` and the four weights of `cluster_map`;
+    the two that segmentation has too are those of the segmentation unless given. A name of a cluster that is kept is a new one; the
     table of those filtered out has the names from before."""
     if strong_count == "auto":
         strong_count = resolve_cutoff("auto", rows.select("sample_id").distinct().count())
     options = options | {"strong_count": int(strong_count)}
     if numbered is None:
-        numbered = evidence(rows).join(segment(rows, **(segmentation or {}), strong_count=int(strong_count)), JOIN_KEY)
-    detailed = relative_abundance(with_clusters(rows, cluster_map(numbered)), "prefilter_cluster_relative_abundance").persist()
+        numbered = staged(evidence(rows).join(segment(rows, **(segmentation or {}), strong_count=int(strong_count)), JOIN_KEY), "numbered")
+    shared = {k: v for k, v in (segmentation or {}).items() if k in ("sample_weight", "count_weight")}
+    detailed = staged(relative_abundance(with_clusters(rows, cluster_map(numbered, **shared | (representative or {}))), "prefilter_cluster_relative_abundance"), "detailed")
     found = {"observations": observation_verdicts, "transcript-totals": transcript_verdicts}
-    verdicts = (no_filter(detailed) if strategy == "none" else found[strategy](detailed, **options)).persist()
+    verdicts = staged(no_filter(detailed) if strategy == "none" else found[strategy](detailed, **options), "verdicts")
     passed = detailed.join(verdicts.where("filter_passed").select("cluster_key"), "cluster_key", "left_semi")
     failed = detailed.join(verdicts.where("filter_passed").select("cluster_key"), "cluster_key", "left_anti").drop("prefilter_cluster_relative_abundance")
-    names = renumbered(passed).persist()
+    names = staged(renumbered(passed), "names")
     rename = lambda df: df.join(names, "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
     kept = relative_abundance(rename(passed).drop("prefilter_cluster_relative_abundance"))
-    kept = (tissue_names(kept) if capitalize else kept).persist()
+    kept = staged(tissue_names(kept) if capitalize else kept, "kept")
     every = detailed.drop("prefilter_cluster_relative_abundance")
     return {"detailed": kept, "summary": summary(kept, rename(verdicts)), "filtered_out": summary(failed, verdicts), "unfiltered": relative_abundance(tissue_names(every) if capitalize else every), "verdicts": verdicts}
 

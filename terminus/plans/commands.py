@@ -76,25 +76,29 @@ def weights(a: float, b: float) -> tuple[float, float]:
     return a / (a + b), b / (a + b)
 
 
-def unify_folder(spark: SparkSession, base: str, output: str, prefix: str | None = None, pattern: str = "*apa_sites.txt", biotypes: str = ",".join(unify.BIOTYPES), strategy: str = "observations", strong_count: int | str = 50, write_unfiltered: bool = False, skip_summary: bool = False, sample_weight: float = 0.7, count_weight: float = 0.3, exclude_predicted: bool = False, keep_scaffolds: bool = False, keep_mitochondrial: bool = False, **options) -> dict[str, str]:
-    """Catalogue of all samples under a folder; returns the paths of what was written."""
+def unify_folder(spark: SparkSession, base: str, output: str, prefix: str | None = None, pattern: str = "*apa_sites.txt", biotypes: str = ",".join(unify.BIOTYPES), strategy: str = "observations", strong_count: int | str = 50, write_unfiltered: bool = False, skip_summary: bool = False, parts: bool = False, sample_weight: float = 0.7, count_weight: float = 0.3, mode_sample_weight: float = 0.8, mode_count_weight: float = 0.2, mode_support_window: int = 15, exclude_predicted: bool = False, keep_scaffolds: bool = False, keep_mitochondrial: bool = False, **options) -> dict[str, str]:
+    """Catalogue of all samples under a folder; returns the paths of what was written, each a file or, with `parts`, a folder of parts."""
     cut = {k: options.pop(k) for k in ("max_cluster_width", "max_internal_gap", "penalty", "compactness", "absorb") if k in options}
     check_unify(unify.FILTERS | unify.SEGMENT | {"pattern": pattern} | cut | options)
     sample_weight, count_weight = weights(sample_weight, count_weight)
+    mode_sample_weight, mode_count_weight = weights(mode_sample_weight, mode_count_weight)
+    if mode_support_window < 0:
+        raise ValueError("mode_support_window must be 0 or more")
+    representative = {"reach": mode_support_window, "mode_sample_weight": mode_sample_weight, "mode_count_weight": mode_count_weight}
     rows = unify.normalized(unify.strict(tables.pas_files(spark, base, pattern)))
     kept = tuple(b.strip() for b in biotypes.split(","))
     rows = rows.where(unify.drop_reason(kept, exclude_predicted, keep_scaffolds, keep_mitochondrial).isNull())
-    out = unify.unify(rows, strategy, strong_count, segmentation=cut | {"sample_weight": sample_weight, "count_weight": count_weight}, **options)
+    out = unify.unify(rows, strategy, strong_count, segmentation=cut | {"sample_weight": sample_weight, "count_weight": count_weight}, representative=representative, **options)
     name = f"{output}/{prefix or PurePosixPath(base).name}"
     columns = ["transcript_id", "gene_id", "gene_name", "effective_gene_id", "chromosome", "strand", "cluster_key", "unified_ID", "original_site_position", "cluster_start", "cluster_end", "cluster_width", *unify.MODE, "n_unique_positions", "site_count", "transcript_biotype", "sample_attribute", "sample", "sample_id", "cluster_relative_abundance"]
     order = ("chromosome", "cluster_start", "cluster_end", "strand", "effective_gene_id", "original_site_position", "transcript_id", "sample_id")
-    paths = {"sites": sinks.tsv(out["detailed"].orderBy(*order), f"{name}_unified_apa_sites.txt", columns)}
+    paths = {"sites": sinks.tsv(out["detailed"].orderBy(*order), f"{name}_unified_apa_sites.txt", columns, parts)}
     if not skip_summary:
         by = ("chromosome", "cluster_start", "cluster_end", "strand", "effective_gene_id")
-        paths["summary"] = sinks.tsv(out["summary"].orderBy(*by), f"{name}_unified_apa_summary.txt")
-        paths["filtered_out"] = sinks.tsv(out["filtered_out"].orderBy(*by), f"{name}_unified_apa_filtered_out.txt")
+        paths["summary"] = sinks.tsv(out["summary"].orderBy(*by), f"{name}_unified_apa_summary.txt", parts=parts)
+        paths["filtered_out"] = sinks.tsv(out["filtered_out"].orderBy(*by), f"{name}_unified_apa_filtered_out.txt", parts=parts)
     if write_unfiltered:
-        paths["unfiltered"] = sinks.tsv(out["unfiltered"].orderBy(*order), f"{name}_unified_apa_sites.unfiltered.txt", columns)
+        paths["unfiltered"] = sinks.tsv(out["unfiltered"].orderBy(*order), f"{name}_unified_apa_sites.unfiltered.txt", columns, parts)
     return paths
 
 
@@ -142,11 +146,14 @@ def main(argv: list[str] | None = None) -> int:
     u.add_argument("--strategy", choices=("observations", "transcript-totals", "none"), default="observations")
     u.add_argument("--strong-count", default="50")
     u.add_argument("--biotypes", default=",".join(unify.BIOTYPES))
-    for name in ("write-unfiltered", "skip-summary", "exclude-predicted", "keep-scaffolds", "keep-mitochondrial"):
+    for name in ("write-unfiltered", "skip-summary", "parts", "exclude-predicted", "keep-scaffolds", "keep-mitochondrial"):
         u.add_argument(f"--{name}", action="store_true")
     for name, value in (unify.SEGMENT | unify.FILTERS).items():
         if name not in ("absorb", "strong_count"):
             u.add_argument(f"--{name.replace('_', '-')}", type=type(value), default=value)
+    for name, value in unify.WEIGHTS.items():
+        u.add_argument(f"--{name.replace('_', '-')}", type=float, default=value)
+    u.add_argument("--mode-support-window", type=int, default=15)
     u.add_argument("--no-absorb", dest="absorb", action="store_false")
     a = sub.add_parser("annotate")
     a.add_argument("--unified", required=True)

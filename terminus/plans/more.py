@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terminus.functions import numeric
 from terminus.operators import annotate, assign, sites, unify
 from terminus.plans import bindings as B
-from terminus.plans.registry import _ALL, _CANDS, _CLASS, _COUNTS, _EV, _FAULT, _GAP, _K, _KEPT, _NORM, _OBS, _YEARS, _detailed, _gaps, _normal, _reads, _years, query, r4
+from terminus.plans.registry import _ALL, _ASSIGNED, _CANDS, _CLASS, _COUNTS, _EV, _FAULT, _GAP, _K, _KEPT, _LOCAL, _MAP, _NORM, _OBS, _PRIMED, _YEARS, _detailed, _gaps, _normal, _primed, _reads, _years, query, r4
 from terminus.sources import annotation, tables
 
 # ---- sources and their rules ----
@@ -80,7 +80,7 @@ def rel02c(spark, sf):
     own = annotation.derived(B.models(spark, sf))
     left = own.where("strand = '+'").select("chromosome", F.col("transcript_id").alias("one"), F.col("tx_start").alias("a1"), F.col("tx_end").alias("a2"))
     right = own.where("strand = '-'").select("chromosome", F.col("transcript_id").alias("other"), F.col("tx_start").alias("b1"), F.col("tx_end").alias("b2"))
-    got = assign.interval_join(left, right, ["chromosome"], ("a1", "a2"), ("b1", "b2"), rows=assign.BROADCAST_ROWS + 1)
+    got = assign.interval_join(left, right, ["chromosome"], ("a1", "a2"), ("b1", "b2"))
     return got.select("one", "other", assign.overlap(F.col("a1"), F.col("a2"), F.col("b1"), F.col("b2")).alias("shared"))
 
 
@@ -251,6 +251,38 @@ def ord07(spark, sf):
     return unify.cluster_map(_gaps(spark, sf)).select("cluster_key", "mode_site_position", "mode_score").distinct()
 
 
+_OTHER = _MAP.replace("0.7::", "0.4::").replace("0.3::", "0.6::").replace("0.8::", "0.25::").replace("0.2::", "0.75::")
+_NEAR = _LOCAL.replace("15 PRECEDING AND 15 FOLLOWING", "5 PRECEDING AND 5 FOLLOWING")
+
+
+@query("ALG06_other_weights", f"WITH {B.PAS}, {_EV}, {_GAP}, {_NEAR}, {_OTHER} SELECT DISTINCT cluster_key, mode_site_position, mode_score, mode_local_n_samples FROM cmap")
+def alg06_other(spark, sf):
+    """Every setting of the representative away from its default, handed on as the command hands it on."""
+    out = unify.unify(B.pas(spark, sf), "none", numbered=_gaps(spark, sf), segmentation={"sample_weight": 0.4, "count_weight": 0.6}, representative={"reach": 5, "mode_sample_weight": 0.25, "mode_count_weight": 0.75})
+    return out["unfiltered"].select("cluster_key", "mode_site_position", "mode_score", "mode_local_n_samples").distinct()
+
+
+@query("SNK04_removed_lines", f"{_PRIMED} SELECT concat_ws(chr(9), chromosome, k, printf('%.4f', {r4('share')})) AS line FROM p WHERE site_rank > 1 AND (share > 0.3 OR has_run)")
+def snk04(spark, sf):
+    removed = sites.split_primed(sites.priming(_primed(spark, sf).drop("a_content", "has_run", "is_removed"), 0.3).withColumns({"transcript_id": F.col("chromosome"), "site_count": F.lit(1), "site_abundance": F.lit(0.5), "site_position": F.col("pos")}))[1]
+    return removed.select(F.concat_ws("\t", "chromosome", F.col("k").cast("string"), numeric.fixed4(F.col("a_content"))).alias("line"))
+
+
+@query("SET02_union_of_files", f"{_ASSIGNED} SELECT transcript_id, read_end, count(*) AS n FROM assigned GROUP BY ALL")
+def set02(spark, sf):
+    """Alignments as three files, each assigned for itself; the union is the assignment of all."""
+    reads, m = B.alignments(spark, sf), B.models(spark, sf)
+    index = annotation.chain_index(m), annotation.single_index(m), annotation.terminal_exons(m)
+    files = [assign.assign(reads.where(F.pmod(F.crc32("read_id"), F.lit(3)) == i), *index) for i in range(3)]
+    return files[0].union(files[1]).union(files[2]).groupBy("transcript_id", "read_end").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("PRJ12_biotype_list", f"WITH {B.RAW}, {_NORM} SELECT ingest_seq FROM norm WHERE effective_gene_id <> '' AND transcript_biotype IN ('lncRNA', 'protein_coding') AND starts_with(chromosome, 'NC_') AND chromosome NOT IN ('NC_012920.1', 'NC_005089.1')")
+def prj12(spark, sf):
+    kept = tuple(b.strip() for b in "lnc_RNA, protein_coding".split(","))
+    return _normal(spark, sf).where(unify.drop_reason(kept).isNull()).select("ingest_seq")
+
+
 @query("SNK03_site_lines", f"{_YEARS} SELECT concat_ws(chr(9), transcript_id, site_position, site_count, printf('%.4f', {r4('site_abundance::DOUBLE')})) AS line FROM a")
 def snk03(spark, sf):
     own = _years(spark, sf)

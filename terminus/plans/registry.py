@@ -506,7 +506,7 @@ def agg12(spark, sf):
 
 @query("AGG18b_transcript_counts", f"{_ALL}, {_OBS}, {_NEW}, {_SUM} SELECT cluster_key, transcript_cluster_counts, n_transcripts, total FROM tc")
 def agg18b(spark, sf):
-    return unify.transcript_counts(unify.unify(B.pas(spark, sf), numbered=_gaps(spark, sf), **_RULES)["detailed"])
+    return unify.transcript_counts(unify.unify(B.pas(spark, sf), numbered=_gaps(spark, sf), **_RULES)["detailed"]).drop("transcript_ids")
 
 
 @query("AGG23_shared_coordinates", f"{_ALL} SELECT unified_ID, count(DISTINCT effective_gene_id) AS n_genes FROM det GROUP BY 1 HAVING count(DISTINCT effective_gene_id) > 1")
@@ -549,7 +549,19 @@ def alg07(spark, sf):
     return unify.unify(B.pas(spark, sf))["summary"]
 
 
-@query("ALG04_dp_segmentation")
+# The same recursion in SQL: intervals with their weighted variance, the least cost of each prefix, then the cuts from the last one back.
+_DP = f"""WITH RECURSIVE {B.PAS}, {_EV}, wt AS (SELECT {_K}, site_position AS x, greatest(0.7::DOUBLE * n_samples / max(n_samples) OVER (PARTITION BY {_K}) + 0.3::DOUBLE * ln(1 + total_count) / max(ln(1 + total_count)) OVER (PARTITION BY {_K}), 1e-6) AS w FROM ev),
+pos AS (SELECT concat_ws('|', {_K}) AS gene, *, row_number() OVER (PARTITION BY {_K} ORDER BY x) AS i, x - lag(x) OVER (PARTITION BY {_K} ORDER BY x) AS step FROM wt),
+run AS (SELECT a.gene, a.i AS s, c.i AS e, sum(c.w) OVER r AS sw, sum(c.w * (c.x - a.x)) OVER r AS s1, sum(c.w * (c.x - a.x) * (c.x - a.x)) OVER r AS s2, max(CASE WHEN c.i > a.i THEN c.step ELSE 0 END) OVER r AS far FROM pos a JOIN pos c ON a.gene = c.gene AND c.x BETWEEN a.x AND a.x + 39 WINDOW r AS (PARTITION BY a.gene, a.i ORDER BY c.i)),
+iv AS MATERIALIZED (SELECT gene, s, e, 225 + greatest(s2 / sw - (s1 / sw) * (s1 / sw), 0) AS price FROM run WHERE far <= 24),
+dp AS (SELECT DISTINCT gene, 0::BIGINT AS n, [0::DOUBLE] AS cost, [0::BIGINT] AS parts, []::BIGINT[] AS back FROM pos UNION ALL
+ SELECT gene, n + 1, list_append(cost, m.x), list_append(parts, m.p), list_append(back, m.s) FROM (SELECT d.gene, d.n, any_value(d.cost) AS cost, any_value(d.parts) AS parts, any_value(d.back) AS back, min({{'c': round(d.cost[iv.s] + price, 8), 'p': d.parts[iv.s] + 1, 's': iv.s, 'x': d.cost[iv.s] + price}}) AS m FROM dp d JOIN iv ON iv.gene = d.gene AND iv.e = d.n + 1 GROUP BY d.gene, d.n)),
+last AS (SELECT gene, max(n) AS n, arg_max(back, n) AS back FROM dp GROUP BY gene),
+cut AS (SELECT gene, back, n AS e, back[n] AS s FROM last UNION ALL SELECT gene, back, s - 1, back[s - 1] FROM cut WHERE s > 1),
+numbered AS (SELECT gene, s, e, row_number() OVER (PARTITION BY gene ORDER BY s) - 1 AS cluster_number FROM cut)"""
+
+
+@query("ALG04_dp_segmentation", f"{_DP} SELECT {_K}, x AS site_position, cluster_number FROM pos JOIN numbered c ON pos.gene = c.gene AND pos.i BETWEEN c.s AND c.e")
 def alg04(spark, sf):
     return unify.segment(B.pas(spark, sf), absorb=False)
 

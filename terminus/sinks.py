@@ -33,30 +33,31 @@ def guard(output: str, inputs: list[str]) -> None:
 
 
 def one_file(df: DataFrame, path: str, header: str | None = None) -> str:
-    """Lines (column `line`) as one file: written aside in the folder, then renamed. For reports and catalogues, whose rows are few."""
+    """Lines (column `line`) as one file: written aside by as many tasks as the frame has, then joined in the frame's order and renamed.
+
+    The parts pass through the driver as a stream of bytes; `table` leaves them as they are, for catalogues that no one reads as one file."""
     spark = df.sparkSession
     aside = f"{path}.{uuid.uuid4().hex}"
-    df.select("line").coalesce(1).write.option("lineSep", "\n").text(aside)
+    df.select("line").write.option("lineSep", "\n").text(aside)
     fs, target = files(spark, path)
-    part = [f.getPath() for f in fs.listStatus(files(spark, aside)[1]) if f.getPath().getName().startswith("part-")]
-    if header is None and part:
-        fs.delete(target, False)
-        fs.rename(part[0], target)
-    else:
-        out = fs.create(files(spark, f"{aside}/whole")[1], True)
-        out.write(bytearray(((header or "") + "\n").encode()))
-        for p in part:
-            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(p), out, spark._jsc.hadoopConfiguration(), False)
-        out.close()
-        fs.delete(target, False)
-        fs.rename(files(spark, f"{aside}/whole")[1], target)
+    parts = sorted((f.getPath() for f in fs.listStatus(files(spark, aside)[1]) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    out = fs.create(files(spark, f"{aside}/whole")[1], True)
+    if header is not None:
+        out.write(bytearray((header + "\n").encode()))
+    for p in parts:
+        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(p), out, spark._jsc.hadoopConfiguration(), False)
+    out.close()
+    fs.delete(target, False)
+    fs.rename(files(spark, f"{aside}/whole")[1], target)
     fs.delete(files(spark, aside)[1], True)
     return path
 
 
-def tsv(df: DataFrame, path: str, columns: tuple | list | None = None) -> str:
-    """A table with a header in one file; null is empty. The rows' order is the frame's."""
+def tsv(df: DataFrame, path: str, columns: tuple | list | None = None, parts: bool = False) -> str:
+    """A table with a header in one file, or as a folder of parts; null is empty. The rows' order is the frame's."""
     columns = columns or df.columns
+    if parts:
+        return table(df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]), path)
     line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     return one_file(df.select(line.alias("line")), path, "\t".join(columns))
 

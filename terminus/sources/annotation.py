@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terminus.staging import staged
+
 # Prefixes of identifiers that are not part of a transcript's name; features above and beside transcripts.
 ID_PREFIX = "^(transcript:|rna-|rna:|mrna:|mRNA:)"
 GENE_FEATURES = ("gene", "pseudogene")
@@ -108,7 +110,8 @@ def ncbi_gene(a: str) -> Column:
 def gff_models(raw: DataFrame) -> DataFrame:
     """Models of GFF3 lines: any identified feature that an exon points to, with what its nearest gene at most LINEAGE levels up
     has. Parents are found by cleaned identifier first, by the raw one second; exons of several parents count for each."""
-    own = _fields(raw).withColumn("a", gff_attributes(F.col("attributes"))).drop("attributes").persist()  # parsed once for all joins below
+    own = _fields(raw).withColumn("a", gff_attributes(F.col("attributes"))).drop("attributes")
+    own = staged(own, "features")  # parsed once for all joins below
     get = lambda k: F.coalesce(F.try_element_at("a", F.lit(k)), F.lit(""))
     own = own.withColumn("id", get("ID")).withColumn("parents", F.when(get("Parent") == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(get("Parent"), ","), lambda x: F.trim(x))))
     kind = F.lower("feature")
@@ -126,7 +129,7 @@ def gff_models(raw: DataFrame) -> DataFrame:
     found = found.join(exons.select("transcript_id").distinct(), "transcript_id", "left_semi")
     front = found.select("transcript_id", F.posexplode("parents").alias("place", "parent")).withColumn("order", F.array("place"))
     reached = None
-    up = found.select(F.col("transcript_id").alias("up"), F.col("parents").alias("more")).persist()
+    up = staged(found.select(F.col("transcript_id").alias("up"), F.col("parents").alias("more")), "lineage")
     for level in range(LINEAGE):
         if level > 1 and front.isEmpty():
             break

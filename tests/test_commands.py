@@ -34,6 +34,9 @@ def base(tmp_path_factory):
 
 def test_unify_then_annotate(spark, base):
     out = commands.unify_folder(spark, str(base), str(base.parent / "out"), write_unfiltered=True)
+    parts = commands.unify_folder(spark, str(base), str(base.parent / "parts"), parts=True, mode_sample_weight=1, mode_count_weight=3, mode_support_window=3)
+    whole = spark.read.option("sep", "\t").option("header", True).csv
+    assert whole(parts["sites"]).count() == whole(out["sites"]).count() and whole(parts["sites"]).columns == whole(out["sites"]).columns
     assert len(rows_of(out["sites"])) == 10 and len(rows_of(out["unfiltered"])) == 12
     assert sorted(r["mode_site_position"] for r in rows_of(out["summary"])) == ["1000", "1300", "2000"]
     assert len(rows_of(out["filtered_out"])) == 2

@@ -44,6 +44,23 @@ def test_worked_example(rows):
     assert out["unfiltered"].count() == 12
 
 
+def test_a_gene_in_chunks_is_segmented_alike(spark, rows, monkeypatch):
+    rng = np.random.default_rng(4)
+    places = np.cumsum(rng.integers(1, 60, 300)).tolist()
+    own = [("NC_1", "G", "+", p, f"T{rng.integers(4)}", f"s{rng.integers(3)}", float(rng.integers(1, 80))) for p in places for _ in range(2)]
+    many = spark.createDataFrame(own, "chromosome string, effective_gene_id string, strand string, site_position int, transcript_id string, sample_id string, site_count double")
+    whole = sorted(map(tuple, unify.segment(many).collect()))
+    monkeypatch.setattr(unify, "CHUNK", 5)
+    assert sorted(map(tuple, unify.segment(many).collect())) == whole and max(r[4] for r in whole) > 30
+
+
+def test_weights_reach_the_representative(rows):
+    by = lambda **o: {r.cluster_key: r.mode_site_position for r in unify.unify(rows, **o)["summary"].collect()}
+    even = by(representative={"mode_sample_weight": 0.0, "mode_count_weight": 1.0, "reach": 0})
+    assert by()["NC_000001.11|G1|+|1"] == 1000 and even["NC_000001.11|G1|+|1"] == 1000
+    assert {r.mode_local_n_samples for r in unify.unify(rows, representative={"reach": 0})["summary"].collect()} == {1, 2}
+
+
 def test_other_strategies(rows):
     assert unify.unify(rows, strategy="none")["summary"].count() == 5
     got = {r.cluster_key: (r.filter_passed, r.filter_pass_rule, r.filter_reason) for r in unify.unify(rows, strategy="transcript-totals")["verdicts"].collect()}
