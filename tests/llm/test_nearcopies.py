@@ -73,3 +73,13 @@ def test_rows_without_or_with_repeated_doc_id(spark):
     rows = [(None, "a b c d e f g"), (None, "a  B c d e f g"), (None, "quite another text of some words"), (1, "x y z x y z q"), (1, "other words with the same id"), (1, "x y z x y z q"), (2, "X y z x y z q")]
     got = kept(spark, spark.createDataFrame(rows, "doc_id long, text string"))
     assert len(got) == 4 and {(r.doc_id, r.text) for r in got} >= {(None, rows[2][1]), (1, rows[3][1]), (1, rows[4][1])}
+
+
+def test_a_pair_is_passed_over_only_where_it_cannot_be_alike():
+    rng = random.Random(7)
+    for _ in range(2000):
+        n, m, both = rng.randint(1, 40), rng.randint(1, 40), rng.randint(0, 40)
+        both = min(both, n, m)
+        own, other = rng.randint(0, n - both), rng.randint(0, m - both)
+        if 5 * both >= 4 * (n + m - both):
+            assert nearcopies.reachable(nearcopies.np.array([n]), nearcopies.np.array([own]), m, other)[0]
