@@ -83,3 +83,17 @@ def test_a_pair_is_passed_over_only_where_it_cannot_be_alike():
         own, other = rng.randint(0, n - both), rng.randint(0, m - both)
         if 5 * both >= 4 * (n + m - both):
             assert nearcopies.reachable(nearcopies.np.array([n]), nearcopies.np.array([own]), m, other)[0]
+
+
+def test_parities_pass_over_no_pair_of_the_least_similarity():
+    rng = nearcopies.np.random.default_rng(8)
+    met = 0
+    for _ in range(500):
+        n, both = int(rng.integers(1, 3000)), rng.random()
+        shared = rng.integers(0, 1 << 63, max(1, int(n * (0.6 + 0.4 * both))), dtype=nearcopies.np.uint64)
+        a, b = (nearcopies.np.unique(nearcopies.np.concatenate([shared, rng.integers(0, 1 << 63, n - min(n, len(shared)), dtype=nearcopies.np.uint64)])) for _ in range(2))
+        held = [nearcopies.np.frombuffer(nearcopies.sketch_of(s, nearcopies.minima(s)), nearcopies.np.uint8) for s in (a, b)]
+        if nearcopies.alike(a, b):
+            met += 1
+            assert nearcopies.agreeing(held[0][None], nearcopies.np.array([len(a)]), held[1], len(b))[0] >= nearcopies.MATCHES
+    assert met > 50
