@@ -15,6 +15,7 @@ from terminus.llm.quality import verdicts
 from terminus.llm.repeats import deduplicate
 from terminus.llm.simhash import near_duplicates
 from terminus.llm.topk import search
+from terminus.llm import pii, variants
 from terminus.llm.warc import archive
 
 
@@ -58,5 +59,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op8_warc": op8_warc, "op9_language": op9_language, "op10_repeats": op10_repeats}
-ORACLE_SQL: dict[str, str] = {"op5_licenses": oracle()}
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(table(spark, sf_dir, "documents"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_html": op1_html, "op2_packing": op2_packing, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_licenses": op5_licenses, "op6_topk": op6_topk, "op7_simhash": op7_simhash, "op8_warc": op8_warc, "op9_language": op9_language, "op10_repeats": op10_repeats, "op11_pii": op11_pii, "op12_variants": op12_variants}
+ORACLE_SQL: dict[str, str] = {"op5_licenses": oracle(), "op12_variants": variants.oracle()}
