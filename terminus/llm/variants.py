@@ -2,7 +2,8 @@
 
 One edit spoils at most two bigrams of a word. With the bigrams of every word in one global order (rarest first, then by letters, then by
 position) two near words share one of their three first bigrams, at the same place if they are equally long, else at the same or the next
-place of the longer one. So words are joined by (bigram, place, length) of three bigrams each, and what meets is verified. The order is that of the
+place of the longer one. So words are joined by (bigram, place, length) of three bigrams each, together with what a
+single edit must leave equal around the bigram, and what meets is verified. The order is that of the
 bigrams' own frequencies: an insertion moves later places, so counts by place would not order both words alike.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terminus.llm.common import BATCH_NUMBERS, materialize
@@ -45,15 +46,32 @@ def prefixes(words: DataFrame) -> DataFrame:
     return own.select("word", "n", F.length("word").alias("size"), F.explode("first").alias("g")).select("word", "n", "size", "g.gram", "g.place")
 
 
+def keys(longer: int) -> Column:
+    """What a word agrees on with a near one around a bigram that they share, a number for each case; `longer`: this word is so much longer than the other.
+
+    The edit stands behind the bigram, then all up to it is equal, or before it, then all from it on is; the side with the edit, cut in two in the middle of the
+    shorter word's, has one equal half as well. Numbers that two words share by chance are harmless, since what meets is verified."""
+    word, place, size = F.col("word"), F.col("place"), F.col("size") - longer
+    piece = lambda first, n: F.substring(word, first, F.greatest(n, F.lit(0)))
+    half = lambda n: F.floor(n / 2).cast("int")
+    behind, before = size - place - 1, place - longer - 1
+    upto, onward = piece(F.lit(1), place + 1), piece(place, F.col("size"))
+    cases = (
+        (behind, place, upto, piece(place + 2, half(behind))),
+        (behind, place, upto, piece(F.col("size") - (behind - half(behind)) + 1, behind - half(behind))),
+        (before, place - longer, onward, piece(F.lit(1), half(before))),
+        (before, place - longer, onward, piece(place - (before - half(before)), before - half(before))),
+    )
+    return F.array_compact(F.array(*[F.when(n >= 0, F.xxhash64(F.lit(i), size, at, a, b)) for i, (n, at, a, b) in enumerate(cases)]))
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, na, b, nb): each pair of words that differ by exactly one edit, once; b is longer, or as long and later."""
     own = materialize(prefixes(words), "prefixes", rows=BATCH_NUMBERS)
-    home = own.select(F.col("word").alias("b"), F.col("n").alias("nb"), "gram", "place", "size")
-    reach = F.explode(F.array(*[F.struct((F.col("place") + p).alias("place"), (F.col("size") + s).alias("size")) for p, s in ((0, 0), (0, 1), (1, 1))]))
-    probe = own.select(F.col("word").alias("a"), F.col("n").alias("na"), "gram", F.length("word").alias("la"), reach.alias("r")).select("a", "na", "gram", "la", "r.*")
-    meets = ["gram", "place", "size"]
-    fits = ((F.col("la") < F.length("b")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
-    met = probe.alias("p").join(home.alias("h"), [F.col(f"p.{c}") == F.col(f"h.{c}") for c in meets] + [fits])
+    short = own.select(F.col("word").alias("a"), F.col("n").alias("na"), F.explode(keys(0)).alias("key"))
+    long = own.select(F.col("word").alias("b"), F.col("n").alias("nb"), F.explode(F.concat(keys(0), keys(1))).alias("key"))
+    fits = ((F.length("a") < F.length("b")) | (F.length("a") == F.length("b")) & (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
+    met = short.alias("s").join(long.alias("l"), [F.col("s.key") == F.col("l.key"), fits])
     return met.select("a", "na", "b", "nb").distinct()
 
 
