@@ -10,6 +10,7 @@ from terminus.operators import annotate, assign, sites, unify
 from terminus.plans import bindings as B
 from terminus.plans.registry import _ALL, _ASSIGNED, _CANDS, _CLASS, _COUNTS, _EV, _FAULT, _GAP, _K, _KEPT, _LOCAL, _MAP, _NORM, _OBS, _PRIMED, _YEARS, _detailed, _gaps, _normal, _primed, _reads, _years, query, r4
 from terminus.sources import annotation, tables
+from terminus.staging import fresh
 
 # ---- sources and their rules ----
 
@@ -318,3 +319,39 @@ def fix05(spark, sf):
     own = B.pas(spark, sf).select("ingest_seq")
     less = own.where("ingest_seq % 5 <> 0")
     return own.exceptAll(less).select("ingest_seq", F.lit("left").alias("side")).union(less.exceptAll(own).select("ingest_seq", F.lit("right")))
+
+
+# ---- tables of samples as files, each with a header of its own ----
+
+
+def _site_folder(spark, sf, columns: dict[str, list[str]]) -> str:
+    """The driver's site rows as text files of their samples, each sample's with its own columns in its own order, and a catalogue beside them."""
+    base = fresh(spark, "site-tables")
+    own = B.pas(spark, sf).withColumns({"site_abundance": F.lit("0.5"), "site_count": F.col("site_count").cast("int"), "extra": F.lit("x")})
+    for sample, names in columns.items():
+        part = own.where(F.col("sample") == sample).select(F.concat_ws("\t", *names).alias("value"))
+        head = spark.createDataFrame([("\t".join(names),)], "value string")
+        head.union(part).coalesce(1).write.text(f"{base}/tissue/{sample}_apa_sites.txt")
+    spark.createDataFrame([("cluster_key\tunified_ID\toriginal_site_position",), ("k\tu\t1",)], "value string").coalesce(1).write.text(f"{base}/catalogue/all_unified_apa_sites.txt")
+    return base
+
+
+_ORDERS = {f"s{i}": [*tables.PAS_COLUMNS[i:], *(["extra"] if i % 3 == 0 else []), *tables.PAS_COLUMNS[:i]] for i in range(1, 8)}
+_FILE_ROWS = "transcript_id, gene_id, gene_name, chromosome, strand, CAST(site_position AS VARCHAR) AS site_position, CAST(CAST(site_count AS INT) AS VARCHAR) AS site_count, '0.5' AS site_abundance, CASE WHEN transcript_biotype = '' THEN NULL ELSE transcript_biotype END AS transcript_biotype"
+
+
+@query("SRC13_SET01_site_files", f"WITH {B.PAS} SELECT {_FILE_ROWS}, 'tissue' AS sample_attribute, concat(sample, '_apa_sites.txt') AS sample, count(*) AS n FROM pas GROUP BY ALL")
+def src13(spark, sf):
+    """Tables with differing columns in one folder, without the catalogue that lies there too; the folders that Spark writes stand for samples."""
+    own = tables.pas_files(spark, _site_folder(spark, sf, _ORDERS), "part-*")
+    return own.groupBy(*tables.PAS_COLUMNS, "sample_attribute", "sample").agg(F.count(F.lit(1)).alias("n"))
+
+
+_LACKING = {s: [c for c in n if c not in (["strand"] if s in ("s2", "s5") else ["gene_id", "site_count"] if s == "s3" else [])] for s, n in _ORDERS.items()}
+
+
+@query("SET05_missing_columns", f"WITH {B.PAS} SELECT concat(sample, '_apa_sites.txt') AS sample, CASE sample WHEN 's3' THEN 'gene_id,site_count' WHEN 's2' THEN 'strand' WHEN 's5' THEN 'strand' ELSE '' END AS lack, false AS unified FROM pas GROUP BY sample UNION ALL SELECT 'all_unified_apa_sites.txt', '{','.join(sorted(tables.PAS_COLUMNS))}', true")
+def set05(spark, sf):
+    """What each table of a folder lacks, by its own header."""
+    own = tables.site_headers(spark, _site_folder(spark, sf, _LACKING), "part-*")
+    return own.select(F.element_at(F.split("path", "/"), -2).alias("sample"), F.array_join("lack", ",").alias("lack"), "unified")

@@ -368,6 +368,10 @@ _K = "chromosome, effective_gene_id, strand"
 _EV = f"ev AS (SELECT {_K}, site_position, list_sort(list(DISTINCT sample_id)) AS samples, count(DISTINCT sample_id) AS n_samples, sum(site_count) AS total_count FROM pas GROUP BY ALL)"
 _GAP = f"g0 AS (SELECT *, CASE WHEN site_position - lag(site_position) OVER (PARTITION BY {_K} ORDER BY site_position) > 24 THEN 1 ELSE 0 END AS new FROM ev), gap AS (SELECT * EXCLUDE (new), CAST(sum(new) OVER (PARTITION BY {_K} ORDER BY site_position) AS BIGINT) AS cluster_number FROM g0)"
 _LOCAL = f"local AS (SELECT *, CAST(len(list_distinct(flatten(list(samples) OVER w))) AS BIGINT) AS local_n_samples, sum(total_count) OVER w AS local_total_count FROM gap WINDOW w AS (PARTITION BY {_K}, cluster_number ORDER BY site_position RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING))"
+#: The same local support by a join of positions with the samples near them, which ends sooner than lists over a window.
+_NEARBY = f"""near AS (SELECT a.{_K.replace(', ', ', a.')}, a.cluster_number, a.site_position, CAST(count(DISTINCT s.sample) AS BIGINT) AS local_n_samples FROM gap a JOIN (SELECT {_K}, cluster_number, site_position AS at, unnest(samples) AS sample FROM gap) s
+ ON a.chromosome = s.chromosome AND a.effective_gene_id = s.effective_gene_id AND a.strand = s.strand AND a.cluster_number = s.cluster_number AND s.at BETWEEN a.site_position - 15 AND a.site_position + 15 GROUP BY ALL),
+local AS (SELECT gap.*, local_n_samples, sum(total_count) OVER (PARTITION BY {_K}, cluster_number ORDER BY site_position RANGE BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS local_total_count FROM gap JOIN near USING ({_K}, cluster_number, site_position))"""
 _CW = f"(PARTITION BY {_K}, cluster_number)"
 _MAP = f"""scored AS (SELECT *, 0.7::DOUBLE * local_n_samples / max(local_n_samples) OVER {_CW} + 0.3::DOUBLE * local_total_count / max(local_total_count) OVER {_CW} AS ls, 0.8::DOUBLE * n_samples / max(n_samples) OVER {_CW} + 0.2::DOUBLE * total_count / max(total_count) OVER {_CW} AS ms,
  -abs(site_position - sum(site_position * total_count) OVER {_CW} / sum(total_count) OVER {_CW}) AS away FROM local),
@@ -408,7 +412,7 @@ def agg08(spark, sf):
     return unify.local_support(_gaps(spark, sf)).select(*unify.JOIN_KEY, "local_n_samples", "local_total_count")
 
 
-@query("ALG06_cluster_map", f"{_ALL} SELECT {_K}, site_position, cluster_key, unified_ID, cluster_start, cluster_end, cluster_width, n_unique_positions, mode_site_position, mode_score, mode_local_n_samples, mode_local_total_site_count, mode_exact_n_samples, mode_exact_total_site_count FROM cmap")
+@query("ALG06_cluster_map", f"WITH {B.PAS}, {_EV}, {_GAP}, {_NEARBY}, {_MAP} SELECT {_K}, site_position, cluster_key, unified_ID, cluster_start, cluster_end, cluster_width, n_unique_positions, mode_site_position, mode_score, mode_local_n_samples, mode_local_total_site_count, mode_exact_n_samples, mode_exact_total_site_count FROM cmap")
 def alg06(spark, sf):
     return unify.cluster_map(_gaps(spark, sf))
 
@@ -605,7 +609,7 @@ def _rich(a: int, b: int, kinds) -> str:
     return f"CASE WHEN {one} IS NOT NULL THEN {{m: ({one})[4], p: ({one})[3]{tail}}} END"
 
 
-def _motif_sql(model: str) -> str:
+def _motif_sql(model: str, more: str = "") -> str:
     steps = annotate.STEPS[model]
     hits = [_rich(a, b, k) if m is None else _hit(a, b, m, k) for a, b, m, *k in steps]
     if model == "BUDDING_YEAST":
@@ -614,7 +618,7 @@ def _motif_sql(model: str) -> str:
     u = _win(-10, 16)[0]
     share = r4(f"(length({u}) - length(replace({u}, 'T', '')))::DOUBLE / length({u})") if model == "LAND_PLANT" else "NULL::DOUBLE"
     found = f"m AS (SELECT *, coalesce({', '.join(hits)}, {{m: NULL, p: NULL, t: 'none', l: 'none', s: 'none'}}) AS h FROM contexts)"
-    return f"WITH {B.DNA}, {B.POINTS}, {B.CONTEXTS}, {found} SELECT chromosome, k, h.m AS motif, CAST(h.p AS INT) AS position, h.t AS motif_type, h.l AS search_level, h.s AS motif_support, {_win(-1, 1)[0]} AS cleavage_context, CASE WHEN length({u}) > 0 THEN {share} END AS u_rich_fraction FROM m"
+    return f"WITH {B.DNA}, {B.POINTS}, {B.CONTEXTS}, {found} SELECT chromosome, k, {more + ', ' if more else ''}h.m AS motif, CAST(h.p AS INT) AS position, h.t AS motif_type, h.l AS search_level, h.s AS motif_support, {_win(-1, 1)[0]} AS cleavage_context, CASE WHEN length({u}) > 0 THEN {share} END AS u_rich_fraction FROM m"
 
 
 def _motifs(model: str):

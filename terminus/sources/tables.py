@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import shlex
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terminus.staging import staged
+
 # What counts as missing in a site table; columns of a site table; accessions of mitochondria.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 PAS_COLUMNS = ("transcript_id", "gene_id", "gene_name", "chromosome", "strand", "site_position", "site_count", "site_abundance", "transcript_biotype")
@@ -133,14 +136,14 @@ def fetch(regions: DataFrame, genome_tiles: DataFrame, first: str = "first", las
     return got.withColumn("piece", piece).withColumnRenamed("t_length", "length").drop("_tile", "_key", "t_key", "t_chromosome", "t_tile", "seq", "_row")
 
 
-def sample_identity(path: Column) -> list[Column]:
+def sample_identity(path: Column, base: str = "") -> list[Column]:
     """sample_attribute, sample and sample_id of a path relative to the base folder: its first folder, its own folder (of a rerun
-    the one above), the path."""
+    the one above), the path. A file of the base folder itself has the attribute `sample` and that folder's name."""
     parts = F.split(path, "/")
     n = F.size(parts)
-    own = F.try_element_at(parts, n - 1)
-    own = F.when((n > 2) & own.contains(RERUN), F.try_element_at(parts, n - 2)).otherwise(own)
-    return [parts[0].alias("sample_attribute"), own.alias("sample"), path.alias("sample_id")]
+    own = F.when(n > 1, F.get(parts, n - 2)).otherwise(F.lit(base))
+    own = F.when((n > 2) & own.contains(RERUN), F.get(parts, n - 3)).otherwise(own)
+    return [F.when(n > 1, parts[0]).otherwise(F.lit("sample")).alias("sample_attribute"), own.alias("sample"), path.alias("sample_id")]
 
 
 #: Folders of repeated runs have this in their name; their parent names the sample.
@@ -151,19 +154,51 @@ def missing(c: Column) -> Column:
     return F.when(c.isin(*NA_TOKENS), F.lit(None)).otherwise(c)
 
 
+def _lines(spark: SparkSession, base: str, pattern: str) -> DataFrame:
+    """(path, block, row, value): lines of the text files under a folder that hold anything, with their file's path as it is named there."""
+    own = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(base)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return own.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value").where("value != ''")
+
+
+def _real(path: str) -> str:
+    """Where a path of a local file system leads; of other stores the path."""
+    return f"file:{os.path.realpath(path.removeprefix('file:'))}" if path.startswith("file:") else path
+
+
+def site_headers(spark: SparkSession, base: str, pattern: str = "*apa_sites.txt") -> DataFrame:
+    """(path, head, names, lack, unified, kept) of each site table under a folder: its own header, the columns that it lacks, whether it is the result of a
+    unification, and whether it is an input: no such result, and the first of the paths that lead to one file."""
+    first = _lines(spark, base, pattern).where("block = 0").groupBy("path").agg(F.min_by("value", "row").alias("head"))
+    names = F.transform(F.split(F.regexp_replace("head", "^\ufeff", ""), "\t"), lambda c: F.regexp_replace(c, '^"(.*)"$', "$1"))
+    own = first.withColumn("names", names).withColumn("unified", F.array_contains("names", "unified_ID") & F.array_contains("names", "original_site_position"))
+    own = own.withColumn("lack", F.array_sort(F.array_except(F.array(*[F.lit(c) for c in PAS_COLUMNS]), "names"))).withColumn("real", F.udf(_real, "string")("path"))
+    leads = own.groupBy("real").agg(F.min(F.split("path", "/")).alias("least"))
+    own = own.join(leads, "real").withColumn("kept", ~F.col("unified") & (F.split("path", "/") == F.col("least")))
+    return own.select("path", "head", "names", "lack", "unified", "kept")
+
+
 def pas_files(spark: SparkSession, base: str, pattern: str = "*apa_sites.txt") -> DataFrame:
     """Site tables under a folder, all columns as text, with what their path says of the sample and the order of rows.
 
-    Tables that are results of a unification are left out; a table that lacks a column is an error."""
-    read = spark.read.option("sep", "\t").option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    own = read.option("mergeSchema", True).csv(base)
-    lack = set(PAS_COLUMNS) - set(own.columns)
-    if lack:
-        raise ValueError(f"missing columns: {sorted(lack)}")
-    root = F.regexp_replace(F.col("_metadata.file_path"), "^.*" + base.rstrip("/").split("://")[-1].lstrip("/") + "/", "")
-    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    own = own.select(*[missing(F.col(c)).alias(c) for c in PAS_COLUMNS], F.try_url_decode(root).alias("_path"), order.alias("ingest_seq"))
-    return own.select("*", *sample_identity(F.col("_path"))).drop("_path")
+    Each table's columns are found by its own header, so tables may order them differently and have further ones. A table that is the result of a unification and
+    a second path to one file are left out; a table that lacks a column, a row with more fields than its header, and a folder without tables are errors. A row
+    with fewer fields lacks the last ones. A line equal to its table's header is a header wherever it stands. Headers are a row a file, lines are read twice."""
+    heads = staged(site_headers(spark, base, pattern), "headers").where("kept")
+    if faults := heads.where(F.size("lack") > 0).orderBy("path").limit(5).collect():
+        raise ValueError("missing columns: " + "; ".join(f"{r['path']}: {', '.join(r['lack'])}" for r in faults))
+    width = heads.agg(F.max(F.size("names"))).first()[0]
+    if width is None:
+        raise ValueError(f"no site tables under {base}; unified tables are none")
+    own = _lines(spark, base, pattern).join(heads.select("path", "head", "names"), "path").where(F.col("value") != F.col("head"))
+    cells = F.from_csv("value", F.lit(", ".join(f"_{i} string" for i in range(width + 1))), {"sep": "\t", "escape": '"'})
+    own = own.withColumn("cells", F.array(*[cells[f"_{i}"] for i in range(width + 1)]))
+    own = own.withColumn("cells", F.when(F.exists(F.slice("cells", F.size("names") + 1, F.lit(width + 1)), lambda c: c.isNotNull()), F.raise_error(F.concat(F.lit("more fields than columns: "), "path"))).otherwise(F.col("cells")))
+    found = lambda c: F.get(F.col("cells"), (F.array_position("names", c) - 1).cast("int"))
+    inside = F.regexp_replace("path", "^.*?\\Q" + base.split(":", 1)[-1].strip("/") + "\\E/+", "")
+    order = F.struct(F.split("path", "/").alias("file"), "block", "row")
+    own = own.select(*[missing(found(c)).alias(c) for c in PAS_COLUMNS], inside.alias("_path"), order.alias("ingest_seq"))
+    return own.select("*", *sample_identity(F.col("_path"), PurePosixPath(base).name)).drop("_path")
 
 
 def read_unified(spark: SparkSession, path: str) -> DataFrame:

@@ -5,19 +5,38 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows, computed once: a table in the folder that spark.checkpoint.dir names, or in one of our own in a local session, so that no lost executor
-    makes them again. A cluster that names no folder keeps them on its executors, in memory or on disk."""
-    spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
+def folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session gets one of its own where that is unset."""
+    there = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if there:
+        return there.rstrip("/")
+    if not (own := getattr(spark.sparkContext, "_terminus_staging", None)):
         if not spark.sparkContext.master.startswith("local["):
-            return df.persist()
-        if not (folder := getattr(spark.sparkContext, "_terminus_staging", None)):
-            folder = spark.sparkContext._terminus_staging = f"file://{tempfile.mkdtemp(prefix='terminus-')}"
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        own = spark.sparkContext._terminus_staging = f"file://{tempfile.mkdtemp(prefix='terminus-')}"
+    return own
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once: a table in the shared folder, so that no lost executor makes them again."""
+    path = fresh(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._terminus_path = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete the tables of staged frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(df._terminus_path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,7 +1,7 @@
 import pytest
 
 from tests.compare import connect, same
-from terminus.plans import more, registry  # noqa: F401
+from terminus.plans import jobs, more, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
