@@ -1,7 +1,7 @@
 """Sites of many samples to one catalogue: input rules, segmentation per gene, representative positions, support filters, summaries.
 
-All steps are relational except the segmentation, which runs per gene and strand on observations that were summed by
-position, transcript and sample before the shuffle.
+All steps are relational or column expressions except the absorption of weak clusters, a Python function over the chunks of a gene that
+have any, on observations that were summed by position, transcript and sample before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,11 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terminus.functions.folds import starts
 from terminus.functions.numeric import plain_number, round_even
 from terminus.sources.tables import BIOTYPES, MITOCHONDRIA
 from terminus.staging import staged
 
-#: Positions of a gene that one call of the segmentation handles, about.
+#: Bases of a gene that one fold of the segmentation handles, about.
 CHUNK = 4096
 GENE_KEY = ["chromosome", "effective_gene_id", "strand"]
 JOIN_KEY = [*GENE_KEY, "site_position"]
@@ -174,37 +175,76 @@ def absorb(clusters: list[list[int]], obs: pd.DataFrame, width: int, gap: int, m
         changed, i = True, max(0, low - 1)
 
 
-def islands(ev: DataFrame, max_internal_gap: int, most: int | None = None) -> DataFrame:
-    """(JOIN_KEY, dp_weight, chunk): neighbouring islands of a gene, together about `most` positions, have a chunk. No cluster and no absorption
-    crosses a step over the gap, so chunks are segmented for themselves."""
-    gene = Window.partitionBy(*GENE_KEY)
-    own = gap_clusters(ev, max_internal_gap).withColumn("_nth", F.row_number().over(gene.orderBy("site_position")))
-    first = F.min("_nth").over(Window.partitionBy(*GENE_KEY, "cluster_number"))
-    return own.select(*JOIN_KEY, "dp_weight", F.floor(first / F.lit(most or CHUNK)).alias("chunk"))
+def islands(ev: DataFrame, max_internal_gap: int, width: int | None = None) -> DataFrame:
+    """(JOIN_KEY, dp_weight, chunk): neighbouring islands of a gene, of about `width` bases together, have a chunk. No cluster and no absorption
+    crosses a step over the gap, so chunks are segmented for themselves.
+
+    A gene's positions are looked at in bins of bases; what begins an island in a bin or ends the one before is known from the bins' first and last
+    positions, so a gene with most of all positions is never in one task."""
+    bins = [*GENE_KEY, "_bin"]
+    own = ev.select(*JOIN_KEY, "dp_weight", F.floor(F.col("site_position") / F.lit(width or CHUNK)).alias("_bin"))
+    own = own.withColumn("_step", F.col("site_position") - F.lag("site_position").over(Window.partitionBy(*bins).orderBy("site_position")))
+    ends = own.groupBy(*bins).agg(F.min("site_position").alias("_first"), F.max("site_position").alias("_last"), F.min(F.when(F.col("_step") > max_internal_gap, F.col("site_position"))).alias("_inner"))
+    along = Window.partitionBy(*GENE_KEY).orderBy("_bin")
+    apart = F.coalesce(F.col("_first") - F.lag("_last").over(along) > max_internal_gap, F.lit(True))
+    ends = ends.withColumn("_begin", F.when(apart, F.col("_first")).otherwise(F.col("_inner")))
+    ends = ends.select(*bins, "_begin", F.last(F.when(F.col("_begin").isNotNull(), F.col("_bin")), True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    chunk = F.when(F.col("site_position") >= F.col("_begin"), F.col("_bin")).otherwise(F.col("_before"))
+    return own.join(ends, bins).select(*JOIN_KEY, "dp_weight", chunk.alias("chunk"))
+
+
+def numbered_clusters(cut: DataFrame) -> DataFrame:
+    """(JOIN_KEY, cluster_number) of (JOIN_KEY, chunk, _start): clusters of a gene from 0; those of earlier chunks are counted chunk by chunk."""
+    per = cut.groupBy(*GENE_KEY, "chunk").agg(F.count_distinct("_start").alias("_n"))
+    before = per.select(*GENE_KEY, "chunk", (F.coalesce(F.sum("_n").over(Window.partitionBy(*GENE_KEY).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
+    own = cut.withColumn("_rank", F.dense_rank().over(Window.partitionBy(*GENE_KEY, "chunk").orderBy("_start")) - 1)
+    return own.join(before, [*GENE_KEY, "chunk"]).select(*JOIN_KEY, (F.col("_before") + F.col("_rank")).cast("long").alias("cluster_number"))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows by key over as many tasks as the session shuffles to: what follows is long for its bytes, which adaptive execution would put together."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def dynamic(placed: DataFrame, o: dict) -> DataFrame:
+    """(JOIN_KEY, chunk, _start): each position with the first position of its cluster, by a fold over the positions of a chunk."""
+    points = F.array_sort(F.collect_list(F.struct(F.col("site_position").alias("x"), F.col("dp_weight").alias("w"))))
+    own = spread(placed, *GENE_KEY, "chunk").groupBy(*GENE_KEY, "chunk").agg(points.alias("points"))
+    own = own.withColumn("at", starts(F.col("points"), o["max_cluster_width"], o["max_internal_gap"], o["penalty"], o["compactness"]))
+    own = own.select(*GENE_KEY, "chunk", "points", F.posexplode("at").alias("i", "at"))
+    return own.select("chromosome", "effective_gene_id", "strand", F.get("points", F.col("i"))["x"].alias("site_position"), "chunk", F.get("points", F.col("at"))["x"].alias("_start"))
+
+
+def weak_singles(own: DataFrame, min_count: int) -> DataFrame:
+    """(GENE_KEY, chunk) of the chunks that have several clusters and among them one of a single position without an observation of enough reads."""
+    per = own.groupBy(*GENE_KEY, "chunk", "_start", "transcript_id", "sample_id").agg(F.sum("site_count").alias("n"), F.min("site_position").alias("low"), F.max("site_position").alias("high"))
+    per = per.groupBy(*GENE_KEY, "chunk", "_start").agg(((F.min("low") == F.max("high")) & (F.max("n") < min_count)).alias("weak"))
+    return per.groupBy(*GENE_KEY, "chunk").agg(F.bool_or("weak").alias("weak"), F.count(F.lit(1)).alias("n")).where("weak AND n > 1").select(*GENE_KEY, "chunk")
 
 
 def segment(rows: DataFrame, sample_weight: float = 0.7, count_weight: float = 0.3, **options) -> DataFrame:
-    """(JOIN_KEY, cluster_number): positions of each gene and strand cut into clusters by dynamic programming, weak ones absorbed."""
+    """(JOIN_KEY, cluster_number): positions of each gene and strand cut into clusters by dynamic programming, weak ones absorbed.
+
+    The cut is a fold in column expressions, made once, since numbers are counted from it. Only chunks that have something to absorb go through Python."""
     o = SEGMENT | options
-    obs = rows.groupBy(*JOIN_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("site_count"))
-    own = obs.join(islands(dp_weights(evidence(rows).drop("samples"), sample_weight, count_weight), o["max_internal_gap"]), JOIN_KEY)
-    if o["absorb"]:
-        whole = obs.groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
-        own = own.join(whole, [*GENE_KEY, "transcript_id", "sample_id"])
+    cut = staged(dynamic(islands(dp_weights(evidence(rows).drop("samples"), sample_weight, count_weight), o["max_internal_gap"]), o), "cut")
+    if not o["absorb"]:
+        return numbered_clusters(cut)
+    own = staged(rows.groupBy(*JOIN_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("site_count")).join(cut, JOIN_KEY), "observed")
+    weak = staged(weak_singles(own, o["min_observation_count"]), "weak")
+    whole = own.groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
+    own = own.join(weak, [*GENE_KEY, "chunk"], "left_semi").join(whole, [*GENE_KEY, "transcript_id", "sample_id"])
+
+    names = cut.columns
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.drop_duplicates("site_position").sort_values("site_position")
-        x = first["site_position"].to_numpy()
-        cuts = [*partition(x.astype(float), first["dp_weight"].to_numpy(), o["max_cluster_width"], o["max_internal_gap"], o["penalty"], o["compactness"]), len(x)]
-        clusters = [x[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
-        if o["absorb"] and len(clusters) > 1:
-            clusters = absorb(clusters, pdf, o["max_cluster_width"], o["max_internal_gap"], o["min_observation_count"], o["strong_count"], o["strong_abundance"])
-        rows_ = [(*key[:3], p, c[0]) for c in clusters for p in c]
-        return pd.DataFrame(rows_, columns=[*JOIN_KEY, "_start"])
-
-    cut = own.groupBy(*GENE_KEY, "chunk").applyInPandas(one, "chromosome string, effective_gene_id string, strand string, site_position int, _start int")
-    number = F.dense_rank().over(Window.partitionBy(*GENE_KEY).orderBy("_start")) - 1
-    return cut.select(*JOIN_KEY, number.cast("long").alias("cluster_number"))
+        clusters = [g["site_position"].tolist() for _, g in first.groupby("_start", sort=True)]
+        clusters = absorb(clusters, pdf, o["max_cluster_width"], o["max_internal_gap"], o["min_observation_count"], o["strong_count"], o["strong_abundance"])
+        return pd.DataFrame([(*key[:3], p, key[3], c[0]) for c in clusters for p in c], columns=names)
+
+    changed = spread(own, *GENE_KEY, "chunk").groupBy(*GENE_KEY, "chunk").applyInPandas(one, cut.schema)
+    return numbered_clusters(staged(cut.join(weak, [*GENE_KEY, "chunk"], "left_anti").unionByName(changed), "absorbed"))
 
 
 def local_support(numbered: DataFrame, reach: int = 15) -> DataFrame:

@@ -488,10 +488,12 @@ one AS (SELECT DISTINCT cluster_key, unified_ID, {_K}, cluster_start, cluster_en
 _KEPT = f"{_NEW}, {_SUM}"
 
 
-@query("AGG18_cluster_summary", f"""{_ALL}, {_OBS}, {_NEW}, {_SUM}
-SELECT one.cluster_key, unified_ID, gene_id, gene_name, effective_gene_id, chromosome, strand, cluster_start, cluster_end, cluster_width, mode_site_position, mode_score, mode_local_n_samples, concat(CAST(mode_local_total_site_count AS BIGINT), '') AS mode_local_total_site_count, mode_exact_n_samples, concat(CAST(mode_exact_total_site_count AS BIGINT), '') AS mode_exact_total_site_count, n_unique_positions,
+_SUMMARY = """SELECT one.cluster_key, unified_ID, gene_id, gene_name, effective_gene_id, chromosome, strand, cluster_start, cluster_end, cluster_width, mode_site_position, mode_score, mode_local_n_samples, concat(CAST(mode_local_total_site_count AS BIGINT), '') AS mode_local_total_site_count, mode_exact_n_samples, concat(CAST(mode_exact_total_site_count AS BIGINT), '') AS mode_exact_total_site_count, n_unique_positions,
  round_even(mean * 1e2::DOUBLE, 0) / 1e2::DOUBLE AS weighted_mean_position, round_even(sd * 1e2::DOUBLE, 0) / 1e2::DOUBLE AS weighted_position_sd, concat(CAST(iqr AS BIGINT), '') AS position_iqr, n_transcripts, transcript_ids, transcript_cluster_counts, concat(CAST(total AS BIGINT), '') AS total_site_count, n_samples, n_tissues, n_cell_cultures, sample_list, transcript_biotype, median_cluster_relative_abundance, filter_pass_rule, filter_reason
-FROM one JOIN agg USING (cluster_key) JOIN wp USING (cluster_key) JOIN tc USING (cluster_key) JOIN names ON new_key = one.cluster_key JOIN ver ON ver.cluster_key = names.cluster_key""")
+FROM one JOIN agg USING (cluster_key) JOIN wp USING (cluster_key) JOIN tc USING (cluster_key) JOIN names ON new_key = one.cluster_key JOIN ver ON ver.cluster_key = names.cluster_key"""
+
+
+@query("AGG18_cluster_summary", f"{_ALL}, {_OBS}, {_NEW}, {_SUM} {_SUMMARY}")
 def agg18(spark, sf):
     rows = B.pas(spark, sf)
     return unify.unify(rows, numbered=_gaps(spark, sf), **_RULES)["summary"]
@@ -547,12 +549,6 @@ def ord04(spark, sf):
     return got.select("ingest_seq", "chromosome", "cluster_start", "original_site_position", (F.col("_c") + F.col("_n") + F.col("_r")).cast("long").alias("place"))
 
 
-@query("ALG07_dp_catalogue")
-def alg07(spark, sf):
-    """The catalogue with segmentation by dynamic programming and absorption; tests hold the segmentation against brute force."""
-    return unify.unify(B.pas(spark, sf))["summary"]
-
-
 # The same recursion in SQL: intervals with their weighted variance, the least cost of each prefix, then the cuts from the last one back.
 _DP = f"""WITH RECURSIVE {B.PAS}, {_EV}, wt AS (SELECT {_K}, site_position AS x, greatest(0.7::DOUBLE * n_samples / max(n_samples) OVER (PARTITION BY {_K}) + 0.3::DOUBLE * ln(1 + total_count) / max(ln(1 + total_count)) OVER (PARTITION BY {_K}), 1e-6) AS w FROM ev),
 pos AS (SELECT concat_ws('|', {_K}) AS gene, *, row_number() OVER (PARTITION BY {_K} ORDER BY x) AS i, x - lag(x) OVER (PARTITION BY {_K} ORDER BY x) AS step FROM wt),
@@ -570,11 +566,39 @@ def alg04(spark, sf):
     return unify.segment(B.pas(spark, sf), absorb=False)
 
 
-@query("ALG05_absorbed_segmentation")
+# Absorption in SQL: every island's clusters as a list that is gone through, merged and stepped back in, one action a round of the recursion.
+_ABSORB = f"""{_DP}, island AS (SELECT gene, i, x, sum(CASE WHEN step > 24 THEN 1 ELSE 0 END) OVER (PARTITION BY gene ORDER BY i) AS isl FROM pos),
+obs AS (SELECT pos.gene, pos.i, transcript_id AS t, sample_id AS k, sum(site_count) AS n FROM pas JOIN pos ON {' AND '.join(f'pas.{k} = pos.{k}' for k in _K.split(', '))} AND site_position = x GROUP BY ALL),
+tot AS (SELECT gene, t, k, sum(n) AS whole FROM obs GROUP BY ALL),
+part AS (SELECT iv.gene, s, e, t, k, sum(n) AS n FROM iv JOIN obs ON obs.gene = iv.gene AND obs.i BETWEEN s AND e GROUP BY ALL),
+sup AS MATERIALIZED (SELECT part.gene, s, e, CAST(count(*) FILTER (n >= 5) AS BIGINT) AS good, max(n) AS top, count(*) FILTER (n >= 5) >= 2 OR bool_or(n >= 50 AND n / whole >= 0.25) AS ok FROM part JOIN tot USING (gene, t, k) GROUP BY ALL),
+c0 AS (SELECT a.gene, a.isl, list({{'s': c.s, 'e': c.e, 'lo': a.x, 'hi': b.x, 'good': good, 'top': top, 'ok': ok}} ORDER BY c.s) AS cs FROM numbered c JOIN island a ON a.gene = c.gene AND a.i = c.s JOIN island b ON b.gene = c.gene AND b.i = c.e JOIN sup ON sup.gene = c.gene AND sup.s = c.s AND sup.e = c.e GROUP BY ALL),
+st AS (SELECT gene, isl, cs, 1::BIGINT AS i, false AS moved, false AS done FROM c0 UNION ALL
+ SELECT d.gene, d.isl, CASE WHEN m IS NULL THEN cs ELSE list_concat(cs[1:m.j - 1], [{{'s': m.s, 'e': m.e, 'lo': m.lo, 'hi': m.hi, 'good': sup.good, 'top': sup.top, 'ok': sup.ok}}], cs[m.j + 2:]) END,
+  CASE WHEN m IS NOT NULL THEN greatest(1, m.j - 1) WHEN i > len(cs) THEN 1 ELSE i + 1 END, CASE WHEN m IS NOT NULL THEN true WHEN i > len(cs) THEN false ELSE moved END, i > len(cs) AND NOT moved
+ FROM (SELECT *, CASE WHEN i <= len(cs) AND cs[i].s = cs[i].e AND cs[i].top < 5 THEN list_min(list_filter(list_transform(
+   [{{'j': i - 1, 'n': cs[i - 1], 'a': cs[i - 1], 'b': cs[i]}}, {{'j': i, 'n': cs[i + 1], 'a': cs[i], 'b': cs[i + 1]}}],
+   lambda o: CASE WHEN o.j >= 1 AND o.b IS NOT NULL AND o.n.ok AND o.b.hi - o.a.lo + 1 <= 40 AND o.b.lo - o.a.hi <= 24 THEN {{'d': least(abs(cs[i].lo - o.n.lo), abs(cs[i].lo - o.n.hi)), 'g': -o.n.good, 't': -o.n.top, 'j': o.j, 's': o.a.s, 'e': o.b.e, 'lo': o.a.lo, 'hi': o.b.hi}} END),
+   lambda o: o IS NOT NULL)) END AS m FROM st WHERE NOT done) d LEFT JOIN sup ON sup.gene = d.gene AND sup.s = m.s AND sup.e = m.e),
+absorbed AS (SELECT gene, c.s AS s, c.e AS e, row_number() OVER (PARTITION BY gene ORDER BY c.s) - 1 AS cluster_number FROM (SELECT gene, unnest(cs) AS c FROM st WHERE done))"""
+
+
+@query("ALG05_absorbed_segmentation", f"{_ABSORB} SELECT {_K}, x AS site_position, cluster_number FROM pos JOIN absorbed c ON pos.gene = c.gene AND pos.i BETWEEN c.s AND c.e")
 def alg05(spark, sf):
     return unify.segment(B.pas(spark, sf))
 
 
+#: The rules of AGG15 with the default numbers.
+_OBS_DEFAULT = _OBS.replace("n >= 30", "n >= 5").replace("count_ge_30", "count_ge_5").replace("n_samples >= 2 AND", "n_samples >= 1 AND").replace("n_samples < 2", "n_samples < 1").replace("n_samples_lt_2", "n_samples_lt_1")
+_CATALOGUE = f"WITH {B.PAS}, {_EV}, seg AS ({_ABSORB} SELECT {_K}, x AS site_position, cluster_number FROM pos JOIN absorbed c ON pos.gene = c.gene AND pos.i BETWEEN c.s AND c.e), gap AS (SELECT ev.*, cluster_number FROM ev JOIN seg USING ({_K}, site_position)), {_NEARBY}, {_MAP}, {_DET}, {_OBS_DEFAULT}, {_NEW}, {_SUM} {_SUMMARY}"
+
+
+@query("ALG07_dp_catalogue", _CATALOGUE)
+def alg07(spark, sf):
+    """The catalogue with segmentation by dynamic programming and absorption."""
+    return unify.unify(B.pas(spark, sf))["summary"]
+
+
 # ---- annotation of clusters ----
 
 

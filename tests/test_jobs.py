@@ -68,7 +68,7 @@ def test_motif_scan_reruns_into_its_folder(spark, tmp_path, settings, caplog):
     run = lambda table: motif_scan.run(spark, table, str(tmp_path / "out"), CONFIG["motif_scan"])
     first = rows(run(f"{SF}/documents.parquet"))
     assert rows(run(f"{SF}/documents.parquet")) == first and f"wrote {len(first)} sites under 4 models" in caplog.text
-    n = duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet' WHERE regexp_matches(text, '[A-Za-z]')").fetchone()[0]
+    n = duckdb.connect().execute(f"SELECT count(*) FROM '{SF}/documents.parquet' WHERE regexp_matches(text, '[A-Za-z]')").fetchone()[0]
     assert len(first) == 8 * n
     assert {p.name for p in (tmp_path / "out").iterdir() if p.is_dir()} == {f"motif_model={m}" for m in ("mammalian", "land_plant", "budding_yeast", "fission_yeast")}
     odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "123", "x"), (4, "q", "x"), (None, "AATAAA" * 50, "x")], "doc_id long, text string, sequence string")
