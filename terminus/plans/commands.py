@@ -76,8 +76,8 @@ def weights(a: float, b: float) -> tuple[float, float]:
     return a / (a + b), b / (a + b)
 
 
-def unify_folder(spark: SparkSession, base: str, output: str, prefix: str | None = None, pattern: str = "*apa_sites.txt", biotypes: str = ",".join(unify.BIOTYPES), strategy: str = "observations", strong_count: int | str = 50, write_unfiltered: bool = False, skip_summary: bool = False, parts: bool = False, sample_weight: float = 0.7, count_weight: float = 0.3, mode_sample_weight: float = 0.8, mode_count_weight: float = 0.2, mode_support_window: int = 15, exclude_predicted: bool = False, keep_scaffolds: bool = False, keep_mitochondrial: bool = False, **options) -> dict[str, str]:
-    """Catalogue of all samples under a folder; returns the paths of what was written, each a file or, with `parts`, a folder of parts."""
+def unify_folder(spark: SparkSession, base: str, output: str, prefix: str | None = None, pattern: str = "*apa_sites.txt", biotypes: str = ",".join(unify.BIOTYPES), strategy: str = "observations", strong_count: int | str = 50, write_unfiltered: bool = False, skip_summary: bool = False, parts: bool = True, sample_weight: float = 0.7, count_weight: float = 0.3, mode_sample_weight: float = 0.8, mode_count_weight: float = 0.2, mode_support_window: int = 15, exclude_predicted: bool = False, keep_scaffolds: bool = False, keep_mitochondrial: bool = False, **options) -> dict[str, str]:
+    """Catalogue of all samples under a folder; returns the paths of what was written, each a folder of parts or, without `parts`, a file that passes through the driver."""
     cut = {k: options.pop(k) for k in ("max_cluster_width", "max_internal_gap", "penalty", "compactness", "absorb") if k in options}
     check_unify(unify.FILTERS | unify.SEGMENT | {"pattern": pattern} | cut | options)
     sample_weight, count_weight = weights(sample_weight, count_weight)
@@ -102,8 +102,8 @@ def unify_folder(spark: SparkSession, base: str, output: str, prefix: str | None
     return paths
 
 
-def annotate_file(spark: SparkSession, unified: str, fasta: str, output: str, model: str | None = None, species: str | None = None, species_table: DataFrame | None = None, families: dict | None = None) -> str:
-    """Annotated clusters of a detailed table; the model is given or the species'."""
+def annotate_file(spark: SparkSession, unified: str, fasta: str, output: str, model: str | None = None, species: str | None = None, species_table: DataFrame | None = None, families: dict | None = None, parts: bool = True) -> str:
+    """Annotated clusters of a detailed table, as a folder of parts or a file; the model is given or the species'."""
     sinks.guard(output, [unified, fasta])
     if model is None:
         key = species or tables.species_key(unified)
@@ -115,7 +115,7 @@ def annotate_file(spark: SparkSession, unified: str, fasta: str, output: str, mo
     if faults:
         raise ValueError(f"faulty sequences: {[tuple(f) for f in faults]}")
     out = annotate.annotate(tables.read_unified(spark, unified), tables.tiles(tables.fasta_files(spark, fasta)), model, families)
-    return sinks.tsv(out.orderBy("chromosome", "cluster_start", "cluster_key"), output)
+    return sinks.tsv(out.orderBy("chromosome", "cluster_start", "cluster_key"), output, parts=parts)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -146,7 +146,7 @@ def main(argv: list[str] | None = None) -> int:
     u.add_argument("--strategy", choices=("observations", "transcript-totals", "none"), default="observations")
     u.add_argument("--strong-count", default="50")
     u.add_argument("--biotypes", default=",".join(unify.BIOTYPES))
-    for name in ("write-unfiltered", "skip-summary", "parts", "exclude-predicted", "keep-scaffolds", "keep-mitochondrial"):
+    for name in ("write-unfiltered", "skip-summary", "exclude-predicted", "keep-scaffolds", "keep-mitochondrial"):
         u.add_argument(f"--{name}", action="store_true")
     for name, value in (unify.SEGMENT | unify.FILTERS).items():
         if name not in ("absorb", "strong_count"):
@@ -154,6 +154,7 @@ def main(argv: list[str] | None = None) -> int:
     for name, value in unify.WEIGHTS.items():
         u.add_argument(f"--{name.replace('_', '-')}", type=float, default=value)
     u.add_argument("--mode-support-window", type=int, default=15)
+    u.add_argument("--one-file", dest="parts", action="store_false", help="one file for each table instead of a folder of parts")
     u.add_argument("--no-absorb", dest="absorb", action="store_false")
     a = sub.add_parser("annotate")
     a.add_argument("--unified", required=True)
@@ -161,6 +162,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--output", required=True)
     a.add_argument("--model", choices=annotate.MODELS)
     a.add_argument("--species")
+    a.add_argument("--one-file", dest="parts", action="store_false", help="one file instead of a folder of parts")
     a.add_argument("--species-table")
     o = vars(top.parse_args(argv))
     command = o.pop("command")

@@ -75,7 +75,7 @@ def with_models(sites: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def sites(df: DataFrame, path: str) -> str:
-    """Site table of a sample, shares with four decimals."""
+    """Site table of a sample, shares with four decimals: one file, since a unification finds samples by the names of their files."""
     more = ["a_content"] if "a_content" in df.columns else []
     own = df.orderBy("transcript_id", "site_rank").withColumns({c: fixed4(F.col(c)) for c in ("site_abundance", *more)})
     return tsv(own, path, [*SITE_COLUMNS, *more])

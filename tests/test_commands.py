@@ -1,5 +1,6 @@
 import csv
 import random
+from pathlib import Path
 
 import pytest
 
@@ -12,6 +13,8 @@ HEAD = "transcript_id\tgene_id\tgene_name\tchromosome\tstrand\tsite_position\tsi
 
 
 def rows_of(path):
+    if Path(path).is_dir():
+        return [r for p in sorted(Path(path).glob("part-*")) for r in rows_of(p)]
     with open(path) as f:
         return list(csv.DictReader(f, delimiter="\t"))
 
