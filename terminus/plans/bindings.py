@@ -57,6 +57,17 @@ def ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENDS = f"ends AS (SELECT concat('T', l_partkey) AS transcript_id, {DUCK_DAY} AS read_end FROM lineitem)"
 
+_LABELLED = "concat('T', l_partkey) AS transcript_id, l_linenumber % 3 AS component, {day} % 500 AS site_position"
+
+
+def labelled_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read ends of a transcript a part, within 500 bases, in three components."""
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("_lineitem")
+    return spark.sql(f"SELECT {_LABELLED.format(day=DAY)} FROM _lineitem")
+
+
+ENDS_LABELLED = f"labelled AS (SELECT {_LABELLED.format(day=DUCK_DAY)} FROM lineitem)"
+
 # Alignments: spliced ones follow a chain of their order's models, unspliced ones lie among single-exon models.
 _ALN = """concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS read_id,
  CASE WHEN l_partkey % 29 = 0 THEN 4 WHEN l_partkey % 31 = 0 THEN 256 WHEN l_partkey % 37 = 0 THEN 2048 WHEN l_linestatus = 'O' THEN 0 ELSE 16 END AS flag,
