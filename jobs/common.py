@@ -15,8 +15,11 @@ def log(name: str) -> logging.Logger:
 
 
 def config(spark: SparkSession, path: str) -> dict:
-    """A small JSON file, read by Spark, so its path may be remote."""
-    return json.loads("\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect()))
+    """A small JSON file: one of the driver's machine, or one of a store that Spark reads, by its scheme."""
+    if "://" in path and not path.startswith("file:"):
+        return json.loads("\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect()))
+    with open(path.removeprefix("file://"), encoding="utf-8") as f:
+        return json.load(f)
 
 
 def command(name: str, about: str, arguments: dict[str, str], run: Callable) -> None:

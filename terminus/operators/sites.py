@@ -154,13 +154,13 @@ def choose_models(data: list[tuple[np.ndarray, np.ndarray]], max_k: int, seed: i
 def greedy_peaks(labelled: DataFrame, min_cluster_size: int = 10, min_distance: int = 50, min_relative_dominance: float = 0.3, min_sharpness: float = 0.5) -> DataFrame:
     """(transcript_id, site_position, site_count): the peaks of read ends that a model has put into components.
 
-    labelled: transcript_id, component (a number), site_position, n reads. Components that are large enough, sharp around their mode and dominant enough are gone through by
-    falling size, then falling number; one whose mode lies nearer than min_distance to a peak taken before is passed over. Reads are counted per position first, and a
+    labelled: transcript_id, component (a number), site_position, n reads. Components that are large enough, sharp and dominant enough are gone through by
+    falling size, then falling number; sharpness is that of all the transcript's reads around the mode; one whose mode lies nearer than min_distance to a peak taken before is passed over. Reads are counted per position first, and a
     transcript's list holds its components, so its size doesn't follow the reads."""
     keys = ["transcript_id", "component"]
     per = labelled.groupBy(*keys, "site_position").agg(F.sum("n").alias("n"))
     whole = per.groupBy(*keys).agg(F.sum("n").alias("size"), F.min(F.struct((-F.col("n")).alias("n"), "site_position"))["site_position"].alias("at")).where(F.col("size") >= min_cluster_size)
-    near = per.join(whole, keys).where(F.abs(F.col("site_position") - F.col("at")) <= min_distance / 2)
+    near = per.select("transcript_id", "site_position", "n").join(whole, "transcript_id").where(F.abs(F.col("site_position") - F.col("at")) <= min_distance / 2)
     near = near.groupBy(*keys, "size", "at").agg(F.sum("n").alias("n"), F.percentile("site_position", F.array(F.lit(0.75), F.lit(0.25)), F.col("n")).alias("q"))
     near = near.where((F.col("n") >= min_cluster_size) & (1.0 - (F.col("q")[0] - F.col("q")[1]) / min_distance >= min_sharpness))
     top = whole.groupBy("transcript_id").agg(F.max("size").alias("top"))

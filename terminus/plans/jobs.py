@@ -14,7 +14,7 @@ from terminus.staging import fresh
 
 def config(name: str) -> str:
     """The config file of a job, which is a file of this repository on the driver's machine."""
-    return Path(jobs.__file__).with_name(f"{name}.json").resolve().as_uri()
+    return str(Path(jobs.__file__).with_name(f"{name}.json").resolve())
 
 
 _SCAN = " UNION ALL ".join(

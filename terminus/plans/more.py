@@ -362,7 +362,7 @@ def set05(spark, sf):
 _PEAKS = f"""WITH RECURSIVE {B.ENDS_LABELLED}, per AS (SELECT transcript_id, component, site_position, count(*) AS n FROM labelled GROUP BY ALL),
 whole AS (SELECT transcript_id, component, sum(n) AS size, arg_min(site_position, (-n, site_position)) AS place FROM per GROUP BY ALL HAVING sum(n) >= 3),
 most AS (SELECT transcript_id, max(size) AS top FROM whole GROUP BY 1),
-near AS (SELECT transcript_id, component, size, place, top, count(*) AS n, quantile_cont(site_position, 0.75) - quantile_cont(site_position, 0.25) AS iqr FROM labelled JOIN whole USING (transcript_id, component) JOIN most USING (transcript_id) WHERE abs(site_position - place) <= 200 GROUP BY ALL),
+near AS (SELECT transcript_id, whole.component AS component, size, place, top, count(*) AS n, quantile_cont(site_position, 0.75) - quantile_cont(site_position, 0.25) AS iqr FROM labelled JOIN whole USING (transcript_id) JOIN most USING (transcript_id) WHERE abs(site_position - place) <= 200 GROUP BY ALL),
 good AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY size DESC, component DESC) AS i FROM near WHERE n >= 3 AND 1.0 - iqr / 400 >= 0.5 AND size >= 0.3 * top),
 taken AS (SELECT DISTINCT transcript_id, 0::BIGINT AS i, []::BIGINT[] AS places, NULL::BIGINT AS place, NULL::BIGINT AS size FROM good UNION ALL
  SELECT g.transcript_id, g.i, CASE WHEN ok THEN list_append(places, g.place) ELSE places END, CASE WHEN ok THEN g.place END, CASE WHEN ok THEN g.size END FROM (SELECT t.places, g.*, len(list_filter(t.places, lambda p: abs(p - g.place) < 400)) = 0 AS ok FROM taken t JOIN good g ON g.transcript_id = t.transcript_id AND g.i = t.i + 1) g)
