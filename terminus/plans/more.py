@@ -325,13 +325,12 @@ def fix05(spark, sf):
 
 
 def _site_folder(spark, sf, columns: dict[str, list[str]]) -> str:
-    """The driver's site rows as text files of their samples, each sample's with its own columns in its own order, and a catalogue beside them."""
+    """The driver's site rows as text files of their samples, each sample's with its own columns in its own order, and a catalogue beside them. Each part that
+    Spark writes has a header and is a table of its own."""
     base = fresh(spark, "site-tables")
     own = B.pas(spark, sf).withColumns({"site_abundance": F.lit("0.5"), "site_count": F.col("site_count").cast("int"), "extra": F.lit("x")})
     for sample, names in columns.items():
-        part = own.where(F.col("sample") == sample).select(F.concat_ws("\t", *names).alias("value"))
-        head = spark.createDataFrame([("\t".join(names),)], "value string")
-        head.union(part).coalesce(1).write.text(f"{base}/tissue/{sample}_apa_sites.txt")
+        own.where(F.col("sample") == sample).select(*names).write.option("sep", "\t").option("header", True).csv(f"{base}/tissue/{sample}_apa_sites.txt")
     spark.createDataFrame([("cluster_key\tunified_ID\toriginal_site_position",), ("k\tu\t1",)], "value string").coalesce(1).write.text(f"{base}/catalogue/all_unified_apa_sites.txt")
     return base
 
@@ -354,7 +353,7 @@ _LACKING = {s: [c for c in n if c not in (["strand"] if s in ("s2", "s5") else [
 def set05(spark, sf):
     """What each table of a folder lacks, by its own header."""
     own = tables.site_headers(spark, _site_folder(spark, sf, _LACKING), "part-*")
-    return own.select(F.element_at(F.split("path", "/"), -2).alias("sample"), F.array_join("lack", ",").alias("lack"), "unified")
+    return own.select(F.element_at(F.split("path", "/"), -2).alias("sample"), F.array_join("lack", ",").alias("lack"), "unified").distinct()
 
 
 # ---- peaks of labelled read ends ----
