@@ -14,6 +14,7 @@ from terminus.functions import cigar, numeric, sequence
 from terminus.operators import annotate, assign, sites, unify
 from terminus.plans import bindings as B
 from terminus.sources import annotation, tables
+from terminus.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -201,19 +202,24 @@ def rel01(spark, sf):
 
 @query("REL02_best_overlap", f"{_BASE}, {_CANDS}, {_HITS}, {_BEST} SELECT read_id, tx_strand, transcript_id, shared, size FROM best")
 def rel02(spark, sf):
-    return assign.best_overlap(assign.candidates(_reads(spark, sf)), annotation.single_index(B.models(spark, sf))).select("read_id", "tx_strand", "transcript_id", "shared", "size")
+    reads = _reads(spark, sf)
+    best = assign.best_overlap(assign.candidates(assign.places(reads)), annotation.single_index(B.models(spark, sf)))
+    return assign.of_reads(reads, best).select("read_id", "tx_strand", "transcript_id", "shared", "size")
 
 
 @query("REL03_one_strand", f"{_BASE}, {_CANDS}, {_HITS}, {_BEST}, {_ONE} SELECT read_id, tx_strand, transcript_id FROM one")
 def rel03(spark, sf):
-    return assign.one_strand(assign.best_overlap(assign.candidates(_reads(spark, sf)), annotation.single_index(B.models(spark, sf)))).select("read_id", "tx_strand", "transcript_id")
+    reads = _reads(spark, sf)
+    one = assign.one_strand(assign.best_overlap(assign.candidates(assign.places(reads)), annotation.single_index(B.models(spark, sf))))
+    return assign.of_reads(reads, one).select("read_id", "tx_strand", "transcript_id")
 
 
 @query("REL04_terminal_exclusion", f"{_BASE}, {_CANDS}, {_HITS}, {_BEST}, {_ONE}, {_FREE} SELECT read_id, tx_strand, transcript_id FROM free")
 def rel04(spark, sf):
-    m = B.models(spark, sf)
-    c = assign.candidates(_reads(spark, sf))
-    return assign.not_terminal(assign.one_strand(assign.best_overlap(c, annotation.single_index(m))), annotation.terminal_exons(m), c).select("read_id", "tx_strand", "transcript_id")
+    m, reads = B.models(spark, sf), _reads(spark, sf)
+    c = assign.candidates(assign.places(reads))
+    free = assign.not_terminal(assign.one_strand(assign.best_overlap(c, annotation.single_index(m))), annotation.terminal_exons(m), c)
+    return assign.of_reads(reads, free).select("read_id", "tx_strand", "transcript_id")
 
 
 _ASSIGNED = f"{_BASE}, {_CANDS}, {_HITS}, {_BEST}, {_ONE}, {_FREE}, assigned AS (SELECT transcript_id, CASE WHEN tx_strand = '+' THEN end0 ELSE pos0 + 1 END AS read_end FROM free UNION ALL SELECT c.transcript_id, CASE WHEN c.tx_strand = '+' THEN end0 ELSE pos0 + 1 END FROM accepted a JOIN chains c ON a.chromosome = c.chromosome AND a.junctions = c.junctions WHERE spliced)"
@@ -240,19 +246,19 @@ SELECT (SELECT count(*) FROM aln) AS alignment_records, (SELECT count(*) FROM ac
 def agg20(spark, sf):
     m = B.models(spark, sf)
     records, reads = B.alignments(spark, sf), _reads(spark, sf)
-    c = assign.candidates(reads)
-    best = assign.best_overlap(c, annotation.single_index(m))
-    one = assign.one_strand(best)
+    own = staged(assign.places(reads).drop("junctions"), "places").withColumn("junctions", F.lit(None))
+    c = assign.candidates(own)
+    best = staged(assign.best_overlap(c, annotation.single_index(m)), "best")
+    one = staged(assign.one_strand(best), "one")
     free = assign.not_terminal(one, annotation.terminal_exons(m), c)
-    spliced = assign.chain_lookup(reads, annotation.chain_index(m))
-    n = lambda df, name, c=None: df.agg(F.count(F.lit(1) if c is None else c).alias(name))
-    parts = [n(records, "alignment_records"), n(reads, "total_reads_processed"), n(spliced, "multi_exon_assigned", F.col("transcript_id")), n(spliced.where("transcript_id IS NULL"), "multi_exon_no_match"), n(free, "single_exon_assigned"), n(one, "_one"), best.agg(F.count_distinct("read_id").alias("_best")), n(reads.where("junctions IS NULL"), "_single")]
-    named = None
-    for i, p in enumerate(parts):
-        own = p.select(F.lit(p.columns[0]).alias("name"), F.col(p.columns[0]).alias("n"))
-        named = own if named is None else named.union(own)
-    one_row = named.groupBy().pivot("name", [p.columns[0] for p in parts]).agg(F.first("n"))
-    return one_row.select("alignment_records", "total_reads_processed", "multi_exon_assigned", "multi_exon_no_match", "single_exon_assigned", (F.col("_one") - F.col("single_exon_assigned")).alias("single_exon_terminal_overlap"), (F.col("_best") - F.col("_one")).alias("single_exon_ambiguous_strand"), (F.col("_single") - F.col("_best")).alias("single_exon_no_overlap"))
+    of_places = lambda df, name: df.select("read_id").distinct().join(own, "read_id").agg(F.coalesce(F.sum("n_reads"), F.lit(0)).alias(name))
+    accepted = assign.alignment_class() == "accepted"
+    spliced = assign.chain_lookup(reads, annotation.chain_index(m)).agg(F.count("transcript_id").alias("multi_exon_assigned"), F.count_if(F.col("transcript_id").isNull()).alias("multi_exon_no_match"))
+    counts = records.agg(F.count(F.lit(1)).alias("alignment_records"), F.count_if(accepted).alias("total_reads_processed")).crossJoin(spliced)
+    counts = counts.crossJoin(own.agg(F.coalesce(F.sum("n_reads"), F.lit(0)).alias("_single")))
+    for part in (of_places(best, "_best"), of_places(one, "_one"), of_places(free, "single_exon_assigned")):  # a row each
+        counts = counts.crossJoin(part)
+    return counts.select("alignment_records", "total_reads_processed", "multi_exon_assigned", "multi_exon_no_match", "single_exon_assigned", (F.col("_one") - F.col("single_exon_assigned")).alias("single_exon_terminal_overlap"), (F.col("_best") - F.col("_one")).alias("single_exon_ambiguous_strand"), (F.col("_single") - F.col("_best")).alias("single_exon_no_overlap"))
 
 
 # ---- sites of a transcript ----
