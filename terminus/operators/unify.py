@@ -22,6 +22,7 @@ from terminus.staging import staged
 CHUNK = 4096
 GENE_KEY = ["chromosome", "effective_gene_id", "strand"]
 JOIN_KEY = [*GENE_KEY, "site_position"]
+CLUSTER_ID = [*GENE_KEY, "cluster_number"]
 MODE = ["mode_site_position", "mode_score", "mode_local_n_samples", "mode_local_total_site_count", "mode_exact_n_samples", "mode_exact_total_site_count"]
 CLUSTER = [*JOIN_KEY, "cluster_key", "unified_ID", "cluster_start", "cluster_end", "cluster_width", "n_unique_positions", *MODE]
 WEIGHTS = {"sample_weight": 0.7, "count_weight": 0.3, "mode_sample_weight": 0.8, "mode_count_weight": 0.2}
@@ -75,7 +76,8 @@ def drop_reason(biotypes: tuple = BIOTYPES, exclude_predicted: bool = False, kee
 
 def evidence(rows: DataFrame) -> DataFrame:
     """Per position of a gene: its samples and its reads."""
-    return rows.groupBy(*JOIN_KEY).agg(F.array_sort(F.collect_set("sample_id")).alias("samples"), F.count_distinct("sample_id").alias("n_samples"), F.sum("site_count").alias("total_count"))
+    own = rows.groupBy(*JOIN_KEY).agg(F.array_sort(F.collect_set("sample_id")).alias("samples"), F.sum("site_count").alias("total_count"))
+    return own.select(*JOIN_KEY, "samples", F.size("samples").cast("long").alias("n_samples"), "total_count")
 
 
 def dp_weights(ev: DataFrame, sample_weight: float = 0.7, count_weight: float = 0.3) -> DataFrame:
@@ -253,13 +255,11 @@ def local_support(numbered: DataFrame, reach: int = 15) -> DataFrame:
     return numbered.select("*", F.size(F.array_distinct(F.flatten(F.collect_list("samples").over(w)))).cast("long").alias("local_n_samples"), F.sum("total_count").over(w).alias("local_total_count"))
 
 
-def cluster_map(numbered: DataFrame, reach: int = 15, sample_weight: float = 0.7, count_weight: float = 0.3, mode_sample_weight: float = 0.8, mode_count_weight: float = 0.2) -> DataFrame:
-    """A row for each position with its cluster's name, extent and representative position.
-
-    numbered: evidence with cluster_number. The representative is the best by score of its own support, own samples, own reads,
+def scored(numbered: DataFrame, reach: int = 15, sample_weight: float = 0.7, count_weight: float = 0.3, mode_sample_weight: float = 0.8, mode_count_weight: float = 0.2) -> DataFrame:
+    """Each position with how it represents its cluster (`mode`) and how it ranks for that (`rank`): by score of its own support, own samples, own reads,
     score of the support around it, samples and reads around it, nearness to the weighted centre, then the smallest."""
     own = local_support(numbered, reach)
-    w = Window.partitionBy(*GENE_KEY, "cluster_number")
+    w = Window.partitionBy(*CLUSTER_ID)
     top = lambda c: F.when(F.max(c).over(w) != 0, F.max(c).over(w)).otherwise(1).cast("double")
     total = F.sum("total_count").over(w)
     centre = F.when(total > 0, F.sum(F.col("site_position") * F.col("total_count")).over(w) / total).otherwise((F.min("site_position").over(w) + F.max("site_position").over(w)) / 2.0)
@@ -271,14 +271,36 @@ def cluster_map(numbered: DataFrame, reach: int = 15, sample_weight: float = 0.7
         }
     )
     rank = F.struct("_score", "n_samples", "total_count", "_local", "local_n_samples", "local_total_count", "_away", -F.col("site_position"))
-    best = F.struct(F.col("site_position").alias(MODE[0]), round_even(F.col("_score"), 4).alias(MODE[1]), F.col("local_n_samples").alias(MODE[2]), F.col("local_total_count").alias(MODE[3]), F.col("n_samples").alias(MODE[4]), F.col("total_count").alias(MODE[5]))
-    head = own.groupBy(*GENE_KEY, "cluster_number").agg(F.min("site_position").alias("cluster_start"), F.max("site_position").alias("cluster_end"), F.count(F.lit(1)).alias("n_unique_positions"), F.max_by(best, rank).alias("mode"))
-    head = head.select(
-        *GENE_KEY, "cluster_number", F.concat_ws("|", *GENE_KEY, F.col("cluster_number").cast("string")).alias("cluster_key"),
+    mode = F.struct(F.col("site_position").alias(MODE[0]), round_even(F.col("_score"), 4).alias(MODE[1]), F.col("local_n_samples").alias(MODE[2]), F.col("local_total_count").alias(MODE[3]), F.col("n_samples").alias(MODE[4]), F.col("total_count").alias(MODE[5]))
+    return own.select(*JOIN_KEY, "cluster_number", mode.alias("mode"), rank.alias("rank"))
+
+
+#: What a cluster's positions have in common.
+EXTENT = {"cluster_start": F.min, "cluster_end": F.max, "n_unique_positions": F.count}
+
+
+def _described(own: DataFrame, *more: str) -> DataFrame:
+    """A cluster's name and coordinates, of its number, ends and representative."""
+    return own.select(
+        *more, F.concat_ws("|", *GENE_KEY, F.col("cluster_number").cast("string")).alias("cluster_key"),
         F.concat("chromosome", F.lit(":"), F.col("cluster_start").cast("string"), F.lit("-"), F.col("cluster_end").cast("string"), F.lit(":"), "strand").alias("unified_ID"),
         "cluster_start", "cluster_end", (F.col("cluster_end") - F.col("cluster_start") + 1).alias("cluster_width"), "n_unique_positions", "mode.*",
     )
-    return numbered.select(*JOIN_KEY, "cluster_number").join(head, [*GENE_KEY, "cluster_number"]).select(*CLUSTER)
+
+
+def cluster_heads(numbered: DataFrame, **representative) -> DataFrame:
+    """A row for each cluster (CLUSTER_ID) with its name, extent and representative position, by the settings of `scored`."""
+    own = scored(numbered, **representative).groupBy(*CLUSTER_ID).agg(*[f("site_position").alias(c) for c, f in EXTENT.items()], F.max_by("mode", "rank").alias("mode"))
+    return _described(own, *CLUSTER_ID)
+
+
+def cluster_map(numbered: DataFrame, **representative) -> DataFrame:
+    """A row for each position with its cluster's name, extent and representative position, by the settings of `scored`.
+
+    numbered: evidence with cluster_number, which is gone through once: what a cluster's positions share comes from windows over it."""
+    w = Window.partitionBy(*CLUSTER_ID)
+    own = scored(numbered, **representative).withColumns({c: f("site_position").over(w) for c, f in EXTENT.items()} | {"mode": F.max_by("mode", "rank").over(w)})
+    return _described(own, *JOIN_KEY).select(*CLUSTER)
 
 
 def with_clusters(rows: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -286,15 +308,39 @@ def with_clusters(rows: DataFrame, clusters: DataFrame) -> DataFrame:
     return rows.join(clusters, JOIN_KEY).withColumnRenamed("site_position", "original_site_position")
 
 
-def relative_abundance(detailed: DataFrame, name: str = "cluster_relative_abundance") -> DataFrame:
-    """A cluster's share of its transcript's reads in a sample, to four decimals.
+def by_cluster(detailed: DataFrame) -> DataFrame:
+    """The rows of a cluster in one task: what groups by cluster, and by more beside it, then shuffles nothing."""
+    return detailed.repartition("cluster_key")
+
+
+def parts(detailed: DataFrame) -> DataFrame:
+    """The rows with the reads of their transcript, sample and cluster (`_part`)."""
+    return by_cluster(detailed).withColumn("_part", F.sum("site_count").over(Window.partitionBy("cluster_key", "transcript_id", "sample_id")))
 
-    Sums are made in part before the shuffle and joined back, so a transcript with most of a sample's rows doesn't meet in one task."""
+
+def shares(parted: DataFrame, name: str = "cluster_relative_abundance") -> DataFrame:
+    """`_part` as a share of the transcript's reads in the sample, to four decimals. A transcript with most of a sample's rows doesn't meet in one task: its sums
+    are made in part before the shuffle. They are written, so the join is planned by their true size."""
     keys = ["transcript_id", "sample_id"]
-    part = detailed.groupBy(*keys, "cluster_key").agg(F.sum("site_count").alias("_part"))
-    whole = part.groupBy(*keys).agg(F.sum("_part").alias("_whole"))
-    share = part.join(whole, keys).select(*keys, "cluster_key", round_even(F.col("_part") / F.col("_whole"), 4).alias(name))
-    return detailed.join(share, [*keys, "cluster_key"])
+    whole = staged(parted.groupBy(*keys).agg(F.sum("site_count").alias("_whole")), "whole")
+    own = parted.join(whole, keys).withColumn(name, round_even(F.col("_part") / F.col("_whole"), 4))
+    first = [*keys, "cluster_key"]
+    return own.select(*first, *[c for c in own.columns if c not in (*first, "_part", "_whole")])
+
+
+def relative_abundance(detailed: DataFrame, name: str = "cluster_relative_abundance") -> DataFrame:
+    """A cluster's share of its transcript's reads in a sample, to four decimals."""
+    return shares(parts(detailed), name)
+
+
+def placed(rows: DataFrame, numbered: DataFrame, **representative) -> DataFrame:
+    """The rows with their cluster and `_part`, written once: shares, verdicts and tables are made from them.
+
+    Rows meet no more than the number of their cluster on their way; what is said of a cluster as a whole is joined where the cluster's rows are together."""
+    numbered = numbered if hasattr(numbered, "_terminus_path") else staged(numbered, "numbered")
+    own = rows.join(numbered.select(*CLUSTER_ID, "site_position"), JOIN_KEY).withColumnRenamed("site_position", "original_site_position").repartition(*CLUSTER_ID)
+    own = own.withColumn("_part", F.sum("site_count").over(Window.partitionBy(*CLUSTER_ID, "transcript_id", "sample_id")))
+    return staged(own.join(cluster_heads(numbered, **representative), CLUSTER_ID).drop("cluster_number"), "detailed")
 
 
 def short(x: float) -> str:
@@ -304,10 +350,10 @@ def short(x: float) -> str:
 def observation_verdicts(detailed: DataFrame, **options) -> DataFrame:
     """Verdict by observations (a transcript in a sample): enough supported ones, or one strong one with a large share before filtering."""
     o = FILTERS | options
-    obs = detailed.groupBy("cluster_key", "transcript_id", "sample_id").agg(F.sum("site_count").alias("n"), F.max("prefilter_cluster_relative_abundance").alias("share"))
+    obs = by_cluster(detailed).groupBy("cluster_key", "transcript_id", "sample_id").agg(F.sum("site_count").alias("n"), F.max("prefilter_cluster_relative_abundance").alias("share"))
     strong = F.col("n") >= o["strong_count"]
     stats = obs.groupBy("cluster_key").agg(
-        F.count_distinct("sample_id").alias("n_samples"), F.count_if(F.col("n") >= o["min_observation_count"]).alias("supported_observations"),
+        F.size(F.collect_set("sample_id")).cast("long").alias("n_samples"), F.count_if(F.col("n") >= o["min_observation_count"]).alias("supported_observations"),
         F.max("n").alias("max_observation"), F.coalesce(F.max(F.when(strong, F.col("share"))), F.lit(0.0)).alias("strong_share"),
     )
     enough = F.col("n_samples") >= o["min_cluster_samples"]
@@ -358,7 +404,7 @@ def tissue_names(detailed: DataFrame) -> DataFrame:
 
 def weighted_positions(detailed: DataFrame, q: tuple = (0.25, 0.75)) -> DataFrame:
     """Mean, standard deviation and quantiles (first position at which the running weight reaches its share) of a cluster's reads."""
-    per = detailed.groupBy("cluster_key", "original_site_position").agg(F.sum("site_count").alias("n"))
+    per = by_cluster(detailed).groupBy("cluster_key", "original_site_position").agg(F.sum("site_count").alias("n"))
     w = Window.partitionBy("cluster_key")
     x = F.col("original_site_position")
     per = per.withColumns({"_total": F.sum("n").over(w), "_run": F.sum("n").over(w.orderBy("original_site_position")), "_mean": F.sum(x * F.col("n")).over(w) / F.sum("n").over(w)})
@@ -374,7 +420,7 @@ def listed(c: str) -> Column:
 
 def transcript_counts(detailed: DataFrame) -> DataFrame:
     """Per cluster `transcript:reads` by falling reads, then name; number of transcripts and all reads."""
-    per = detailed.groupBy("cluster_key", "transcript_id").agg(F.sum("site_count").alias("n"))
+    per = by_cluster(detailed).groupBy("cluster_key", "transcript_id").agg(F.sum("site_count").alias("n"))
     items = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("transcript_id").alias("t"), plain_number(F.col("n")).alias("s"))))
     return per.groupBy("cluster_key").agg(F.array_join(F.array_sort(F.collect_list("transcript_id")), ",").alias("transcript_ids"), F.array_join(F.transform(items, lambda i: F.concat(i["t"], F.lit(":"), i["s"])), ",").alias("transcript_cluster_counts"), F.count(F.lit(1)).alias("n_transcripts"), F.sum("n").alias("total"))
 
@@ -385,13 +431,13 @@ def summary(detailed: DataFrame, verdicts: DataFrame | None = None) -> DataFrame
     has = "cluster_relative_abundance" in detailed.columns
     first = ["unified_ID", "gene_id", "gene_name", "effective_gene_id", "chromosome", "strand", "cluster_start", "cluster_end", "cluster_width", *MODE, "n_unique_positions"]
     kind = lambda k: F.max((F.col("sample_attribute") == k).cast("int"))
-    samples = detailed.groupBy("cluster_key", "sample_id").agg(F.collect_set("sample").alias("names"), F.collect_set("transcript_biotype").alias("types"), kind("tissue").alias("t"), kind("cell_culture").alias("c"))
+    samples = by_cluster(detailed).groupBy("cluster_key", "sample_id").agg(F.collect_set("sample").alias("names"), F.collect_set("transcript_biotype").alias("types"), kind("tissue").alias("t"), kind("cell_culture").alias("c"))
     together = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), ",")
     samples = samples.groupBy("cluster_key").agg(
         F.count("sample_id").alias("n_samples"), F.coalesce(F.sum("t"), F.lit(0)).alias("n_tissues"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_cell_cultures"),
         together("names").alias("sample_list"), together("types").alias("transcript_biotype"),
     )
-    own = detailed.groupBy("cluster_key").agg(
+    own = by_cluster(detailed).groupBy("cluster_key").agg(
         F.min_by(F.struct(*first), "ingest_seq").alias("f"), (round_even(F.median("cluster_relative_abundance"), 4) if has else F.lit(None).cast("double")).alias("median_cluster_relative_abundance"),
     ).join(samples, "cluster_key")
     own = own.join(weighted_positions(detailed), "cluster_key").join(transcript_counts(detailed), "cluster_key")
@@ -420,9 +466,9 @@ def resolve_cutoff(value: int | str, samples: int) -> int:
 
 
 def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | str = 50, capitalize: bool = True, numbered: DataFrame | None = None, segmentation: dict | None = None, representative: dict | None = None, **options) -> dict[str, DataFrame]:
-    """Tables of a unification of normalized, filtered rows (with ingest_seq): detailed, summary, filtered_out, unfiltered.
+    """Tables of a unification of normalized, filtered rows (with ingest_seq): detailed, summary, filtered_out, unfiltered, verdicts.
 
-    Rows with their cluster, the verdicts and the rows kept are written once, since every table reads them several times.
+    Rows with their cluster, the verdicts and the rows kept are written once, when a table is asked for that is made from them.
     numbered: positions with cluster_number, if they come from elsewhere. representative: `reach` and the four weights of `cluster_map`;
     the two that segmentation has too are those of the segmentation unless given. A name of a cluster that is kept is a new one; the
     table of those filtered out has the names from before."""
@@ -432,17 +478,31 @@ def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | s
     if numbered is None:
         numbered = staged(evidence(rows).join(segment(rows, **(segmentation or {}), strong_count=int(strong_count)), JOIN_KEY), "numbered")
     shared = {k: v for k, v in (segmentation or {}).items() if k in ("sample_weight", "count_weight")}
-    detailed = staged(relative_abundance(with_clusters(rows, cluster_map(numbered, **shared | (representative or {}))), "prefilter_cluster_relative_abundance"), "detailed")
+    own = placed(rows, numbered, **shared | (representative or {}))
     found = {"observations": observation_verdicts, "transcript-totals": transcript_verdicts}
-    verdicts = staged(no_filter(detailed) if strategy == "none" else found[strategy](detailed, **options), "verdicts")
-    passed = detailed.join(verdicts.where("filter_passed").select("cluster_key"), "cluster_key", "left_semi")
-    failed = detailed.join(verdicts.where("filter_passed").select("cluster_key"), "cluster_key", "left_anti").drop("prefilter_cluster_relative_abundance")
-    names = staged(renumbered(passed), "names")
-    rename = lambda df: df.join(names, "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
-    kept = relative_abundance(rename(passed).drop("prefilter_cluster_relative_abundance"))
-    kept = staged(tissue_names(kept) if capitalize else kept, "kept")
-    every = detailed.drop("prefilter_cluster_relative_abundance")
-    return {"detailed": kept, "summary": summary(kept, rename(verdicts)), "filtered_out": summary(failed, verdicts), "unfiltered": relative_abundance(tissue_names(every) if capitalize else every), "verdicts": verdicts}
+    named = lambda df: tissue_names(df) if capitalize else df
+    out = Tables()
+    passed = lambda: out["verdicts"].where("filter_passed").select("cluster_key")
+    rename = lambda df: df.join(out["names"], "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
+    out.how = {
+        "verdicts": lambda: staged(no_filter(own) if strategy == "none" else found[strategy](shares(own, "prefilter_cluster_relative_abundance"), **options), "verdicts"),
+        "names": lambda: staged(renumbered(own.join(passed(), "cluster_key", "left_semi")), "names"),
+        "detailed": lambda: staged(named(shares(rename(own))), "kept"),
+        "summary": lambda: summary(out["detailed"], rename(out["verdicts"])),
+        "filtered_out": lambda: summary(own.join(passed(), "cluster_key", "left_anti").drop("_part"), out["verdicts"]),
+        "unfiltered": lambda: named(shares(own)),
+    }
+    return out
+
+
+class Tables(dict):
+    """Tables by name, each made when it is first asked for, so that nothing is computed for those that nobody reads."""
+
+    how: dict
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.how[name]()
+        return self[name]
 
 
 def shared_names(summary_: DataFrame) -> DataFrame:

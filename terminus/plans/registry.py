@@ -424,7 +424,7 @@ def alg06(spark, sf):
 
 
 def _detailed(spark, sf):
-    return unify.relative_abundance(unify.with_clusters(B.pas(spark, sf), unify.cluster_map(_gaps(spark, sf))), "prefilter_cluster_relative_abundance")
+    return unify.shares(unify.placed(B.pas(spark, sf), _gaps(spark, sf)), "prefilter_cluster_relative_abundance")
 
 
 @query("REL09_detailed_join", f"{_ALL} SELECT ingest_seq, cluster_key, original_site_position, mode_site_position FROM det")

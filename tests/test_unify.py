@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from terminus.operators import unify
+from terminus.staging import staged
 
 # Two samples of one tissue, a worked example with published results.
 LEAF = [("T1", "G1", "+", 1000, 30), ("T1", "G1", "+", 1300, 10), ("T2", "G1", "+", 1003, 20), ("T2", "G1", "+", 1302, 5), ("T3", "G2", "-", 2000, 60), ("T4", "G3", "+", 3000, 12)]
@@ -44,6 +45,24 @@ def test_worked_example(rows):
     assert out["unfiltered"].count() == 12
 
 
+def test_only_tables_that_are_asked_for_are_made(rows, monkeypatch):
+    made = []
+    monkeypatch.setattr(unify, "staged", lambda df, name: made.append(name) or staged(df, name))
+    numbered = unify.gap_clusters(unify.evidence(rows))
+    assert unify.unify(rows, numbered=numbered)["unfiltered"].count() == 12
+    assert made == ["numbered", "detailed", "whole"]
+    whole = unify.unify(rows, numbered=numbered)
+    whole["summary"], whole["filtered_out"]
+    assert made.count("kept") == made.count("verdicts") == 1
+
+
+def test_evidence_and_tables_of_a_cluster_shuffle_once(rows):
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(unify.evidence(rows)) == 1
+    own = unify.placed(rows, unify.gap_clusters(unify.evidence(rows)))
+    assert exchanges(unify.weighted_positions(own)) == exchanges(unify.transcript_counts(own)) == 1
+
+
 def test_a_gene_in_chunks_is_segmented_alike(spark, rows, monkeypatch):
     rng = np.random.default_rng(4)
     places = np.cumsum(rng.integers(1, 60, 300)).tolist()
