@@ -111,8 +111,13 @@ _GTF_EX = """concat_ws(chr(9), concat('c', p_size % 5), 'made', 'exon', p_partke
  concat('gene_id "G', p_partkey % 50, '"; transcript_id "M', p_partkey, '"; transcript_biotype "', CASE WHEN p_size % 2 = 0 THEN 'mRNA' ELSE '' END, '";'))"""
 
 
+def spread_parts(spark: SparkSession, sf_dir: str) -> None:
+    """The view `_part` over as many tasks as the session shuffles to: a part is some bytes, but its lines are long to read, and a file of parts is few splits."""
+    table(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey").createOrReplaceTempView("_part")
+
+
 def gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table(spark, sf_dir, "part").createOrReplaceTempView("_part")
+    spread_parts(spark, sf_dir)
     return spark.sql(
         f"SELECT p_partkey * 10 AS line_no, {_GTF_TX} AS value FROM _part WHERE p_partkey % 11 <> 0"
         f" UNION ALL SELECT p_partkey * 10 + k + 1, {_GTF_EX} FROM (SELECT *, explode(sequence(0, CAST(p_partkey % 4 AS INT))) AS k FROM _part)"
@@ -127,7 +132,7 @@ _GFF_EX = "concat_ws(chr(9), concat('c', p_size % 5), 'made', 'exon', p_partkey
 
 
 def gff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table(spark, sf_dir, "part").createOrReplaceTempView("_part")
+    spread_parts(spark, sf_dir)
     return spark.sql(
         f"SELECT p_partkey * 10 AS line_no, {_GFF_GENE} AS value FROM _part UNION ALL SELECT p_partkey * 10 + 1, {_GFF_TX} FROM _part UNION ALL SELECT p_partkey * 10 + 2, {_GFF_SUB} FROM _part"
         f" UNION ALL SELECT p_partkey * 10 + 3 + k, {_GFF_EX} FROM (SELECT *, explode(sequence(0, CAST(p_partkey % 4 AS INT))) AS k FROM _part)"

@@ -19,6 +19,7 @@ NO_TRANSCRIPTS = (
     "protein_match", "nucleotide_match", "sequence_feature", "repeat_region", "origin_of_replication",
 )
 LINEAGE = 5
+MODEL = ["file_ord", "transcript_id", "gene_name", "chromosome", "strand", "exons", "ncbi_gene_id", "transcript_biotype", "reference_gene_id"]
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -57,6 +58,17 @@ def gtf_attributes(text: Column) -> Column:
     return _last_wins(F.concat(rest, named))
 
 
+def gtf_attribute(text: Column, name: str) -> Column:
+    """One attribute of `gtf_attributes`, null where it is missing or empty: a single regular expression that ends at the last item of that name, where a map of
+    all items is made by functions over arrays."""
+    last = lambda begin: r'(?s)\A(?:.*;)? *' + begin + r'([^;]*?)"*(?<=") *(?:;|\z)'
+    value = F.regexp_extract(text, last(f'{name} "'), 1)
+    if name == "ncbi_gene_id":
+        gene = last('db_xref "GeneID:')
+        value = F.when(text.rlike(gene), F.regexp_extract(text, gene, 1)).otherwise(value)
+    return blank(value)
+
+
 def gff_attributes(text: Column) -> Column:
     """Map of key=value attributes, percent-decoded; a plus stays a plus."""
     items = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x.contains("="))
@@ -72,14 +84,15 @@ def blank(c: Column) -> Column:
 def _models(meta: DataFrame, exons: DataFrame) -> DataFrame:
     """Join metadata to exons grouped by transcript; transcripts without exons are dropped."""
     grouped = exons.groupBy("transcript_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("exons"))
-    return meta.join(grouped, "transcript_id").select("file_ord", "transcript_id", "gene_name", "chromosome", "strand", "exons", "ncbi_gene_id", "transcript_biotype", "reference_gene_id")
+    return meta.join(grouped, "transcript_id").select(*MODEL)
 
 
 def gtf_models(raw: DataFrame) -> DataFrame:
     """Models of GTF lines. A transcript row sets chromosome and strand; of each attribute the first non-empty value of exon
-    rows stands unless a transcript row has one, of which the last non-empty counts. Repeated exon rows stay."""
-    own = _fields(raw).where(F.col("feature").isin("transcript", "mRNA", "exon")).withColumn("a", gtf_attributes(F.col("attributes")))
-    get = lambda k: blank(F.coalesce(F.try_element_at("a", F.lit(k)), F.lit("")))
+    rows stands unless a transcript row has one, of which the last non-empty counts. Repeated exon rows stay; transcripts without exons are dropped. Lines are
+    read once."""
+    own = _fields(raw).where(F.col("feature").isin("transcript", "mRNA", "exon"))
+    get = lambda k: gtf_attribute(F.col("attributes"), k)
     own = own.select(
         "line_no", "seqname", "start", "end", "strand", (F.col("feature") != "exon").alias("top"), get("transcript_id").alias("transcript_id"),
         get("gene_name").alias("gene_name"), get("ncbi_gene_id").alias("ncbi_gene_id"), get("transcript_biotype").alias("transcript_biotype"), get("gene_id").alias("reference_gene_id"),
@@ -92,8 +105,9 @@ def gtf_models(raw: DataFrame) -> DataFrame:
         F.max_by("gene_name", F.when(F.col("top") & named, F.col("line_no"))), F.min_by(F.coalesce("gene_name", "reference_gene_id"), "line_no"),
         F.min_by(later, F.when(later.isNotNull(), F.col("line_no"))), F.lit(""),
     )
-    meta = own.groupBy("transcript_id").agg(F.min("line_no").alias("file_ord"), place("seqname", "chromosome"), place("strand", "strand"), name.alias("gene_name"), *[pick(c) for c in ("ncbi_gene_id", "transcript_biotype", "reference_gene_id")])
-    return _models(meta, own.where("NOT top"))
+    exons = F.array_sort(F.collect_list(F.when(~F.col("top"), F.struct("start", "end"))))
+    own = own.groupBy("transcript_id").agg(F.min("line_no").alias("file_ord"), place("seqname", "chromosome"), place("strand", "strand"), name.alias("gene_name"), *[pick(c) for c in ("ncbi_gene_id", "transcript_biotype", "reference_gene_id")], exons.alias("exons"))
+    return own.where(F.size("exons") > 0).select(*MODEL)
 
 
 def clean_id(c: Column) -> Column:
