@@ -155,10 +155,9 @@ def missing(c: Column) -> Column:
 
 
 def _lines(spark: SparkSession, base: str, pattern: str) -> DataFrame:
-    """(path, block, row, value): lines of the text files under a folder that hold anything, with their file's path as it is named there."""
+    """(file, block, row, value): lines of the text files under a folder that hold anything, with their file's path as Spark encodes it."""
     own = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(base)
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return own.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value").where("value != ''")
+    return own.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value").where("value != ''")
 
 
 def _real(path: str) -> str:
@@ -167,15 +166,18 @@ def _real(path: str) -> str:
 
 
 def site_headers(spark: SparkSession, base: str, pattern: str = "*apa_sites.txt") -> DataFrame:
-    """(path, head, names, lack, unified, kept) of each site table under a folder: its own header, the columns that it lacks, whether it is the result of a
-    unification, and whether it is an input: no such result, and the first of the paths that lead to one file."""
-    first = _lines(spark, base, pattern).where("block = 0").groupBy("path").agg(F.min_by("value", "row").alias("head"))
+    """(file, path, head, names, lack, unified, kept) of each site table under a folder: its own header, the columns that it lacks, whether it is the result of a
+    unification, and whether it is an input: no such result, and the first of the paths that lead to one file. What is known of a path is made once a file, not a line."""
+    # Strings in buffers make Spark sort all lines by file, unless an aggregate beside them keeps objects: then it hashes, and this one keeps nothing.
+    hashed = F.size(F.collect_set(F.lit(None).cast("int")))
+    first = _lines(spark, base, pattern).where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("head"), hashed.alias("_hashed")).where("_hashed = 0")
+    first = first.select("file", F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("path"), "head")
     names = F.transform(F.split(F.regexp_replace("head", "^\ufeff", ""), "\t"), lambda c: F.regexp_replace(c, '^"(.*)"$', "$1"))
     own = first.withColumn("names", names).withColumn("unified", F.array_contains("names", "unified_ID") & F.array_contains("names", "original_site_position"))
     own = own.withColumn("lack", F.array_sort(F.array_except(F.array(*[F.lit(c) for c in PAS_COLUMNS]), "names"))).withColumn("real", F.udf(_real, "string")("path"))
     leads = own.groupBy("real").agg(F.min(F.split("path", "/")).alias("least"))
     own = own.join(leads, "real").withColumn("kept", ~F.col("unified") & (F.split("path", "/") == F.col("least")))
-    return own.select("path", "head", "names", "lack", "unified", "kept")
+    return own.select("file", "path", "head", "names", "lack", "unified", "kept")
 
 
 def pas_files(spark: SparkSession, base: str, pattern: str = "*apa_sites.txt") -> DataFrame:
@@ -190,15 +192,16 @@ def pas_files(spark: SparkSession, base: str, pattern: str = "*apa_sites.txt") -
     width = heads.agg(F.max(F.size("names"))).first()[0]
     if width is None:
         raise ValueError(f"no site tables under {base}; unified tables are none")
-    own = _lines(spark, base, pattern).join(heads.select("path", "head", "names"), "path").where(F.col("value") != F.col("head"))
-    cells = F.from_csv("value", F.lit(", ".join(f"_{i} string" for i in range(width + 1))), {"sep": "\t", "escape": '"'})
-    own = own.withColumn("cells", F.array(*[cells[f"_{i}"] for i in range(width + 1)]))
-    own = own.withColumn("cells", F.when(F.exists(F.slice("cells", F.size("names") + 1, F.lit(width + 1)), lambda c: c.isNotNull()), F.raise_error(F.concat(F.lit("more fields than columns: "), "path"))).otherwise(F.col("cells")))
-    found = lambda c: F.get(F.col("cells"), (F.array_position("names", c) - 1).cast("int"))
     inside = F.regexp_replace("path", "^.*?\\Q" + base.split(":", 1)[-1].strip("/") + "\\E/+", "")
-    order = F.struct(F.split("path", "/").alias("file"), "block", "row")
-    own = own.select(*[missing(found(c)).alias(c) for c in PAS_COLUMNS], inside.alias("_path"), order.alias("ingest_seq"))
-    return own.select("*", *sample_identity(F.col("_path"), PurePosixPath(base).name)).drop("_path")
+    places = F.struct(*[(F.array_position("names", c) - 1).cast("int").alias(c) for c in PAS_COLUMNS])
+    heads = heads.withColumn("_path", inside).select("file", "path", "head", F.size("names").alias("n"), places.alias("at"), F.split("path", "/").alias("steps"), *sample_identity(F.col("_path"), PurePosixPath(base).name))
+    own = _lines(spark, base, pattern).join(heads, "file").where(F.col("value") != F.col("head"))
+    # A column of its own, which is parsed once: each field of an expression would be parsed for itself.
+    own = own.withColumn("parsed", F.from_csv("value", F.lit(", ".join(f"_{i} string" for i in range(width + 1))), {"sep": "\t", "escape": '"'}))
+    own = own.withColumn("cells", F.array(*[F.col(f"parsed._{i}") for i in range(width + 1)]))
+    own = own.withColumn("cells", F.when(F.exists(F.slice("cells", F.col("n") + 1, F.lit(width + 1)), lambda c: c.isNotNull()), F.raise_error(F.concat(F.lit("more fields than columns: "), "path"))).otherwise(F.col("cells")))
+    order = F.struct(F.col("steps").alias("file"), "block", "row")
+    return own.select(*[missing(F.get("cells", F.col(f"at.{c}"))).alias(c) for c in PAS_COLUMNS], order.alias("ingest_seq"), "sample_attribute", "sample", "sample_id")
 
 
 def read_unified(spark: SparkSession, path: str) -> DataFrame:

@@ -92,3 +92,12 @@ def test_broken_rows_still_end_the_job(spark, tmp_path):
     write(tmp_path / "w", "x.apa_sites.txt", PAS_COLUMNS, [made(1, 1)[0] | {"site_position": "0"}])
     with pytest.raises(Exception, match="invalid site_position"):
         unify.strict(tables.pas_files(spark, str(tmp_path / "w"))).collect()
+
+
+def test_headers_are_found_without_a_sort_of_lines(spark, tmp_path):
+    (tmp_path / "a_apa_sites.txt").write_text("\t".join(tables.PAS_COLUMNS) + "\nT\n")
+    own = tables.site_headers(spark, str(tmp_path))
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    scans = [i for i, line in enumerate(plan.splitlines()) if "FileScan" in line]
+    assert "ObjectHashAggregate" in plan and scans and "SortAggregate" not in "\n".join(plan.splitlines()[scans[0] - 6 : scans[0]])
+    assert own.first()["lack"] == []
