@@ -10,10 +10,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terminus.functions.folds import starts
+from terminus.functions.cuts import starts
 from terminus.functions.numeric import plain_number, round_even
 from terminus.sources.tables import BIOTYPES, MITOCHONDRIA
 from terminus.staging import staged
@@ -208,45 +210,93 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def whole(batches, keys: int, rows: int = 200_000):
+    """Sorted rows as batches in which no group of the first `keys` columns is cut, of about so many rows, and where in each its groups begin."""
+    held: list[pa.RecordBatch] = []
+
+    def begins(x: pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(max(x.num_rows - 1, 0), bool)
+        for c in x.columns[:keys]:
+            new |= pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
+        return np.concatenate([[0], np.flatnonzero(new) + 1])
+
+    for x in batches:
+        held.append(x)
+        if sum(h.num_rows for h in held) >= rows:
+            x = pa.concat_batches(held)
+            at = begins(x)
+            if at[-1]:
+                yield x.slice(0, at[-1]), at[:-1]
+            held, rows_left = [x.slice(at[-1])], x.num_rows - at[-1]
+            rows = max(rows, 2 * rows_left)  # a group longer than a batch is put together a few times only
+    if sum(h.num_rows for h in held):
+        x = pa.concat_batches(held)
+        yield x, begins(x)
+
+
 def dynamic(placed: DataFrame, o: dict) -> DataFrame:
-    """(JOIN_KEY, chunk, _start): each position with the first position of its cluster, by a fold over the positions of a chunk."""
-    points = F.array_sort(F.collect_list(F.struct(F.col("site_position").alias("x"), F.col("dp_weight").alias("w"))))
-    own = spread(placed, *GENE_KEY, "chunk").groupBy(*GENE_KEY, "chunk").agg(points.alias("points"))
-    own = own.withColumn("at", starts(F.col("points"), o["max_cluster_width"], o["max_internal_gap"], o["penalty"], o["compactness"]))
-    own = own.select(*GENE_KEY, "chunk", "points", F.posexplode("at").alias("i", "at"))
-    return own.select("chromosome", "effective_gene_id", "strand", F.get("points", F.col("i"))["x"].alias("site_position"), "chunk", F.get("points", F.col("at"))["x"].alias("_start"))
+    """(JOIN_KEY, chunk, _start): each position with the first position of its cluster. A task has its chunks in order and cuts many of them at a time."""
+    own = spread(placed.select(*GENE_KEY, "chunk", "site_position", "dp_weight"), *GENE_KEY, "chunk").sortWithinPartitions(*GENE_KEY, "chunk", "site_position")
+
+    def cut(batches):
+        for x, at in whole(batches, 4):
+            place, weight = (x.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+            first = starts(place.astype(np.int64), weight, np.diff(np.append(at, x.num_rows)), o["max_cluster_width"], o["max_internal_gap"], o["penalty"], o["compactness"])
+            yield pa.RecordBatch.from_arrays([*x.columns[:5], pa.array(place[first], x.schema.field(4).type)], names=[*x.schema.names[:5], "_start"])
+
+    kinds = dict(own.dtypes)
+    out = own.mapInArrow(cut, ", ".join(f"{c} {kinds[c]}" for c in own.columns[:5]) + f", _start {kinds['site_position']}")
+    return out.select(*JOIN_KEY, "chunk", "_start")
+
 
+def open_runs(own: DataFrame, o: dict) -> DataFrame:
+    """(GENE_KEY, chunk, _start, run): the clusters of the runs of a chunk in which something may be absorbed.
 
-def weak_singles(own: DataFrame, min_count: int) -> DataFrame:
-    """(GENE_KEY, chunk) of the chunks that have several clusters and among them one of a single position without an observation of enough reads."""
-    per = own.groupBy(*GENE_KEY, "chunk", "_start", "transcript_id", "sample_id").agg(F.sum("site_count").alias("n"), F.min("site_position").alias("low"), F.max("site_position").alias("high"))
-    per = per.groupBy(*GENE_KEY, "chunk", "_start").agg(((F.min("low") == F.max("high")) & (F.max("n") < min_count)).alias("weak"))
-    return per.groupBy(*GENE_KEY, "chunk").agg(F.bool_or("weak").alias("weak"), F.count(F.lit(1)).alias("n")).where("weak AND n > 1").select(*GENE_KEY, "chunk")
+    own: reads summed by position, transcript and sample. A run's neighbours are a weak single and any cluster, no more than the gap apart; clusters of different
+    runs never meet. Nothing moves in a run that doesn't begin with a weak single that fits beside a neighbour within the width."""
+    cluster = [*GENE_KEY, "chunk", "_start"]
+    low, high = F.min("site_position"), F.max("site_position")
+    per = own.groupBy(*cluster).agg(low.alias("low"), high.alias("high"), ((low == high) & (F.max("site_count") < o["min_observation_count"])).alias("weak"))
+    w = Window.partitionBy(*GENE_KEY, "chunk").orderBy("_start")
+    before = lambda c: F.lag(c).over(w)
+    beside = F.coalesce((F.col("low") - before("high") <= o["max_internal_gap"]) & (F.col("weak") | before("weak")), F.lit(False))
+    per = per.withColumns({"_beside": beside, "_fits": beside & (F.col("high") - before("low") + 1 <= o["max_cluster_width"])})
+    per = per.select(*cluster, "_fits", F.sum((~F.col("_beside")).cast("int")).over(w).alias("run"))
+    return per.withColumn("_open", F.max("_fits").over(Window.partitionBy(*GENE_KEY, "chunk", "run"))).where("_open").select(*cluster, "run")
 
 
 def segment(rows: DataFrame, sample_weight: float = 0.7, count_weight: float = 0.3, **options) -> DataFrame:
     """(JOIN_KEY, cluster_number): positions of each gene and strand cut into clusters by dynamic programming, weak ones absorbed.
 
-    The cut is a fold in column expressions, made once, since numbers are counted from it. Only chunks that have something to absorb go through Python."""
+    Reads are summed by position, transcript and sample once, and the cut is made once, since numbers are counted from it. Only runs of clusters that have
+    something to absorb go through Python."""
     o = SEGMENT | options
-    cut = staged(dynamic(islands(dp_weights(evidence(rows).drop("samples"), sample_weight, count_weight), o["max_internal_gap"]), o), "cut")
+    sums = staged(rows.groupBy(*JOIN_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("site_count")), "sums")
+    ev = sums.groupBy(*JOIN_KEY).agg(F.size(F.collect_set("sample_id")).cast("long").alias("n_samples"), F.sum("site_count").alias("total_count"))
+    weighted = dp_weights(staged(ev, "evidence"), sample_weight, count_weight)
+    cut = staged(dynamic(islands(weighted, o["max_internal_gap"]), o), "cut")
     if not o["absorb"]:
         return numbered_clusters(cut)
-    own = staged(rows.groupBy(*JOIN_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("site_count")).join(cut, JOIN_KEY), "observed")
-    weak = staged(weak_singles(own, o["min_observation_count"]), "weak")
-    whole = own.groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
-    own = own.join(weak, [*GENE_KEY, "chunk"], "left_semi").join(whole, [*GENE_KEY, "transcript_id", "sample_id"])
+    cluster = [*GENE_KEY, "chunk", "_start"]
+    own = sums.join(cut, JOIN_KEY)
+    runs = staged(open_runs(own, o), "runs")
+    own = staged(own.join(runs, cluster), "open")
+    totals = sums.join(own.select(*GENE_KEY).distinct(), GENE_KEY, "left_semi").groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
+    own = own.join(totals, [*GENE_KEY, "transcript_id", "sample_id"])
 
     names = cut.columns
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.drop_duplicates("site_position").sort_values("site_position")
-        clusters = [g["site_position"].tolist() for _, g in first.groupby("_start", sort=True)]
-        clusters = absorb(clusters, pdf, o["max_cluster_width"], o["max_internal_gap"], o["min_observation_count"], o["strong_count"], o["strong_abundance"])
-        return pd.DataFrame([(*key[:3], p, key[3], c[0]) for c in clusters for p in c], columns=names)
+        out = []
+        for _, run in pdf.groupby("run"):
+            first = run.drop_duplicates("site_position").sort_values("site_position")
+            clusters = [g.tolist() for _, g in first["site_position"].groupby(first["_start"], sort=True)]
+            clusters = absorb(clusters, run, o["max_cluster_width"], o["max_internal_gap"], o["min_observation_count"], o["strong_count"], o["strong_abundance"])
+            out += [(*key[:3], p, key[3], c[0]) for c in clusters for p in c]
+        return pd.DataFrame(out, columns=names)
 
     changed = spread(own, *GENE_KEY, "chunk").groupBy(*GENE_KEY, "chunk").applyInPandas(one, cut.schema)
-    return numbered_clusters(staged(cut.join(weak, [*GENE_KEY, "chunk"], "left_anti").unionByName(changed), "absorbed"))
+    return numbered_clusters(staged(cut.join(runs, cluster, "left_anti").unionByName(changed), "absorbed"))
 
 
 def local_support(numbered: DataFrame, reach: int = 15) -> DataFrame:
