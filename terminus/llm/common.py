@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -77,9 +78,13 @@ def delete(spark: SparkSession, paths: list[str]) -> None:
 
 
 def dropped(*frames: DataFrame) -> None:
-    """Delete the tables of materialized frames that nothing reads any more."""
+    """Delete the tables of materialized frames that nothing reads any more.
+
+    What was shuffled for them goes too: Spark removes shuffle files when the driver's garbage is collected, which a driver with memory to spare seldom does."""
     for df in frames:
         delete(df.sparkSession, [df._terminus_path])
+    gc.collect()
+    frames[0].sparkSession._jvm.System.gc()
 
 
 def gathered(df: DataFrame, source: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and what such links lead to.
 
-Candidates come from MinHash bands, links from the exact sets. Two texts of similarity s share a band with probability s**ROWS, so a pair
+Candidates come from operator 7's index of SimHash fingerprints and from MinHash bands, links from the exact sets. Two texts of similarity s share a band with probability s**ROWS, so a pair
 at 0.8 is missed with probability (1 - 0.8**5)**30, 7 in a million. Of a band's list of up to `FEW` texts all pairs are candidates.
 In a longer list each text first meets the one that it agrees with most of the first `NEAREST` in all its lists, those that share lists with most others,
 as the original of many copies does: one comparison a text. Then, round by round, those that links don't connect yet meet the first `HEADS` and sixteen times
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from terminus.llm.common import BATCH_NUMBERS, batch, dropped, free, gathered, materialize, sliced
 from terminus.llm.components import components
+from terminus.llm.simhash import fingerprint, linked
 
 WORDS, SEED, BANDS, ROWS = 5, 42, 30, 5
 #: Similarity of 4 / 5 or more, in whole numbers.
@@ -81,11 +82,11 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _signed(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
     for x in sliced(batches):
         sets = [shingles(t) for t in x.column(2).to_pylist()]
         low = [minima(s) for s in sets]
-        yield batch({"doc_id": x.column(0), "hash": x.column(1), "node": [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], "bands": [_keys(m) if len(s) else [] for s, m in zip(sets, low)], "sketch": [sketch_of(s, m) for s, m in zip(sets, low)]}, schema)
+        yield batch({"doc_id": x.column(0), "hash": x.column(1), "node": [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], "fp": np.array([fingerprint(t) for t in x.column(2).to_pylist()], np.uint64).view(np.int64), "bands": [_keys(m) if len(s) else [] for s, m in zip(sets, low)], "sketch": [sketch_of(s, m) for s, m in zip(sets, low)]}, schema)
 
 
 def _sets(batches):
@@ -204,6 +205,14 @@ def _nearest(batches):
     yield from _rows(found())
 
 
+def by_fingerprint(own: DataFrame) -> DataFrame:
+    """Candidates (0, u, v): each set (node) of a class that operator 7's index makes of the texts' SimHash fingerprints (fp), and the smallest of that class."""
+    held = materialize(own.select("node", "fp").distinct(), "fingerprints", rows=BATCH_NUMBERS)
+    held = held.join(linked(held.select("fp").distinct()), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
+    least = held.groupBy("root").agg(F.min("node").alias("v"))
+    return materialize(held.join(least, "root").where("node != v").select(F.lit(0).cast("long").alias("kind"), F.col("node").alias("u"), "v").distinct(), "similar", rows=BATCH_NUMBERS)
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id and hash (of text) of the first row of each group of near copies.
 
@@ -211,9 +220,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     anything is compared; null texts and texts without a word are one group. An empty table gives an empty result.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text"))
-    own = materialize(gathered(keyed.mapInArrow(_signed, "doc_id long, hash long, node long, bands array<long>, sketch binary"), docs), "signed")
+    own = materialize(gathered(keyed.mapInArrow(_signed, "doc_id long, hash long, node long, fp long, bands array<long>, sketch binary"), docs), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
     distinct = materialize(own.groupBy("node").agg(least, F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "sets")
+    similar = by_fingerprint(own)
     posted = distinct.select(F.posexplode("bands").alias("band", "key"), "node").repartition("band", "key").sortWithinPartitions("band", "key", "node")
     found = materialize(posted.mapInArrow(_candidates, FOUND), "candidates", rows=BATCH_NUMBERS)
     crowd = materialize(found.where("kind = 1").groupBy(F.col("u").alias("node")).agg(F.max("v").alias("size"), (-F.sum("v")).alias("order")), "crowd", rows=BATCH_NUMBERS)
@@ -228,8 +238,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
         dropped(pairs)
         return out
 
-    pairs = asked(found)
-    dropped(found)
+    pairs = asked(found.union(similar))
+    dropped(found, similar)
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).union(crowd.select("node")).distinct()
     nodes = distinct.join(nodes, "node").select("node", F.col("first.doc_id").alias("own_id"), F.col("first.hash").alias("own_hash"))
     text = keyed.join(nodes, keyed["doc_id"].eqNullSafe(F.col("own_id")) & (keyed["hash"] == F.col("own_hash"))).select("node", "text")

@@ -115,6 +115,14 @@ def _scan(batches):
         yield batch({"u": u, "v": v}, schema)
 
 
+def linked(distinct: DataFrame) -> DataFrame:
+    """(fp, root) for each of the distinct fingerprints (fp) that has a link of at most two bits, by the index; root is the smallest that links lead to."""
+    signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
+    posted = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("slot", "rest"))
+    links = posted.select("slot", "rest", "fp").repartition("slot", "rest").sortWithinPartitions("slot", "rest").mapInArrow(_scan, "u long, v long")
+    return components(links, "simhash").withColumnRenamed("node", "fp")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links of at most two bits lead to.
 
@@ -125,11 +133,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     own = materialize(gathered(texts(docs).mapInArrow(_fingerprints, "doc_id long, fp long"), docs), "fingerprints")
     distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
-    posted = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("slot", "rest"))
-    links = posted.select("slot", "rest", "fp").repartition("slot", "rest").sortWithinPartitions("slot", "rest").mapInArrow(_scan, "u long, v long")
-    roots = components(links, "simhash")
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = distinct.join(linked(distinct), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.join(lowest, "root").select("fp", "component_id")
     return own.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,7 +1,8 @@
 import random
+import time
 
 import corpus_pipeline
-from terminus.llm import nearcopies
+from terminus.llm import common, nearcopies, simhash
 
 
 def sets(text):
@@ -97,3 +98,25 @@ def test_parities_pass_over_no_pair_of_the_least_similarity():
             met += 1
             assert nearcopies.agreeing(held[0][None], nearcopies.np.array([len(a)]), held[1], len(b))[0] >= nearcopies.MATCHES
     assert met > 50
+
+
+def test_fingerprints_bring_copies_together_by_themselves(spark, docs, monkeypatch):
+    monkeypatch.setattr(nearcopies, "_candidates", lambda batches: iter(()))
+    cycle = "a b c d e " * 300
+    texts = [cycle, cycle + "u", "quite another text of some words"]
+    assert (simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[1])).bit_count() <= simhash.BITS and brute(texts) == [0, 2]
+    assert sorted(r.doc_id for r in kept(spark, docs(texts))) == [0, 2]
+
+
+def test_shuffle_files_of_dropped_tables_go(spark):
+    statuses = spark._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    spark._jvm.System.gc()
+    time.sleep(3)
+    made = common.materialize(spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count(), "made")
+    before = statuses.size()
+    common.dropped(made)
+    for _ in range(20):
+        if statuses.size() < before:
+            break
+        time.sleep(0.5)
+    assert statuses.size() < before
