@@ -18,10 +18,15 @@ from terminus.operators import annotate
 
 
 def sequences(table: DataFrame, o: dict) -> DataFrame:
-    """(chromosome, sequence) of the rows that have letters: each letter is the base that the config gives it. A null text has none."""
-    letters = F.upper(F.regexp_replace(F.coalesce(F.col(o["text"]).cast("string"), F.lit("")), "[^A-Za-z]", ""))
-    own = table.select(F.concat(F.lit(o["prefix"]), F.col(o["id"]).cast("string")).alias("chromosome"), F.translate(letters, *o["bases"]).alias("sequence"))
-    return own.where(F.length("sequence") > 0)
+    """(chromosome, sequence) of the rows that have letters: each letter is the base that the config gives it. A null text has none.
+
+    Whether a text has a letter that is not left out is asked of the text, else its letters would be taken twice: for the question and for the row."""
+    source, target = o["bases"]
+    kept = "".join(c for c in map(chr, range(65, 91)) if source.find(c) < len(target))
+    text = F.coalesce(F.col(o["text"]).cast("string"), F.lit(""))
+    letters = F.upper(F.regexp_replace(text, "[^A-Za-z]+", ""))
+    own = table.where(text.rlike(f"[{kept}{kept.lower()}]") if kept else F.lit(False))
+    return own.select(F.concat(F.lit(o["prefix"]), F.col(o["id"]).cast("string")).alias("chromosome"), F.translate(letters, source, target).alias("sequence"))
 
 
 def sites(own: DataFrame, parts: list[int]) -> DataFrame:

@@ -81,3 +81,12 @@ def test_sites_are_those_of_the_view(spark, tmp_path):
     own = motif_scan.sites(motif_scan.sequences(spark.read.parquet(f"{SF}/documents.parquet"), o), o["parts"])
     view = B.points(spark, SF).withColumnRenamed("pos", "site_position")
     assert rows(own) == rows(view.select(*own.columns))
+
+
+def test_letters_are_taken_once_and_rows_without_any_go(spark):
+    from jobs import motif_scan
+
+    rows = spark.createDataFrame([(1, "aB-c 9"), (2, "9 -"), (3, None), (4, "zZ"), (5, "é")], "doc_id long, text string")
+    own = motif_scan.sequences(rows, {"id": "doc_id", "text": "text", "prefix": "chr", "bases": ["BZ", "T"]})
+    assert sorted(map(tuple, own.collect())) == [("chr1", "ATC")]
+    assert own._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
