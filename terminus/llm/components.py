@@ -41,10 +41,11 @@ def contract(batches):
 
 
 def components(edges: DataFrame, name: str = "components", most: int = 60) -> DataFrame:
-    """edges (u, v): one row (node, root) for each node that has an edge, root the smallest node reachable.
+    """edges (u, v): one row (node, root) for each node that reaches a smaller one, root the smallest node reachable.
 
-    Each round is two aggregations by node with partial sums before the shuffle and two joins that adaptive
-    execution can split on hot nodes; rounds grow with the logarithm of a component's size. Only a count and
+    An edge leads from a node to a smaller one. In a round each edge goes on to the least neighbour of its end (large star), then each node's edges to the least of
+    their ends (small star): one aggregation with partial sums, one join that adaptive execution may broadcast, and one shuffle by node whose order both the second
+    aggregation and its join use, so a round has few tasks; rounds grow with the logarithm of a component's size. Only a count and
     a checksum reach the driver. Self-loops and repeated edges are ignored; an empty table gives no rows.
     """
     e = materialize(edges.where("u != v").mapInArrow(contract, EDGE).distinct(), f"{name}-edges", rows=BATCH_NUMBERS)
@@ -52,12 +53,11 @@ def components(edges: DataFrame, name: str = "components", most: int = 60) -> Da
     for _ in range(most):
         if not state[0]:
             break
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        e, before = materialize(small.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-round", rows=BATCH_NUMBERS), e
+        low = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), "m")
+        large = e.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v")).repartition("u")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")).hint("merge"), "u")  # dealt out by u already; a broadcast would be one stage more
+        small = small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        e, before = materialize(small.distinct(), f"{name}-round", rows=BATCH_NUMBERS), e
         dropped(before)
         if (now := same_set(e, "u", "v")) == state:
             break

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from terminus.llm.common import BATCH_NUMBERS, batch, dropped, free, gathered, materialize, sliced
 from terminus.llm.components import components
-from terminus.llm.simhash import fingerprint, linked
+from terminus.llm.simhash import fingerprint, links_of
 
 WORDS, SEED, BANDS, ROWS = 5, 42, 30, 5
 #: Similarity of 4 / 5 or more, in whole numbers.
@@ -206,11 +206,16 @@ def _nearest(batches):
 
 
 def by_fingerprint(own: DataFrame) -> DataFrame:
-    """Candidates (0, u, v): each set (node) of a class that operator 7's index makes of the texts' SimHash fingerprints (fp), and the smallest of that class."""
+    """Candidates (0, u, v): the sets (node) that have one SimHash fingerprint (fp), each with the smallest of them, and the smallest of two
+    fingerprints that operator 7's index links. What links lead to is asked of the exact sets alone, so no components are made of fingerprints."""
     held = materialize(own.select("node", "fp").distinct(), "fingerprints", rows=BATCH_NUMBERS)
-    held = held.join(linked(held.select("fp").distinct()), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
-    least = held.groupBy("root").agg(F.min("node").alias("v"))
-    return materialize(held.join(least, "root").where("node != v").select(F.lit(0).cast("long").alias("kind"), F.col("node").alias("u"), "v").distinct(), "similar", rows=BATCH_NUMBERS)
+    least = materialize(held.groupBy("fp").agg(F.min("node").alias("v")), "least", rows=BATCH_NUMBERS)
+    links = materialize(links_of(least.select("fp")).distinct(), "alike", rows=BATCH_NUMBERS)
+    ends = links.join(least.select(F.col("fp").alias("u"), F.col("v").alias("first")), "u").join(least.select(F.col("fp").alias("v"), F.col("v").alias("second")), "v")
+    pairs = held.join(least, "fp").select(F.col("node").alias("u"), "v").union(ends.select("first", "second")).where("u != v")
+    out = materialize(pairs.select(F.lit(0).cast("long").alias("kind"), "u", "v"), "similar", rows=BATCH_NUMBERS)
+    dropped(held, least, links)
+    return out
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -269,8 +274,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
             break
         pairs = asked(more)
         dropped(more)
-        links = links.union(verified(pairs))
-        roots = components(links, "copies")
+        if not (fresh := verified(pairs)).isEmpty():  # else the components are as they were
+            links = links.union(fresh)
+            roots = components(links, "copies")
         low, high = high, max(HEADS, 16 * high)
     dropped(held)
     named = distinct.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))

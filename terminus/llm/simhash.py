@@ -115,12 +115,16 @@ def _scan(batches):
         yield batch({"u": u, "v": v}, schema)
 
 
-def linked(distinct: DataFrame) -> DataFrame:
-    """(fp, root) for each of the distinct fingerprints (fp) that has a link of at most two bits, by the index; root is the smallest that links lead to."""
+def links_of(distinct: DataFrame) -> DataFrame:
+    """(u, v): links of at most two bits among the distinct fingerprints (fp), by the index; of each list a spanning forest."""
     signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
     posted = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("slot", "rest"))
-    links = posted.select("slot", "rest", "fp").repartition("slot", "rest").sortWithinPartitions("slot", "rest").mapInArrow(_scan, "u long, v long")
-    return components(links, "simhash").withColumnRenamed("node", "fp")
+    return posted.select("slot", "rest", "fp").repartition("slot", "rest").sortWithinPartitions("slot", "rest").mapInArrow(_scan, "u long, v long")
+
+
+def linked(distinct: DataFrame) -> DataFrame:
+    """(fp, root) for each of the distinct fingerprints (fp) that has a link of at most two bits, by the index; root is the smallest that links lead to."""
+    return components(links_of(distinct), "simhash").withColumnRenamed("node", "fp")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
