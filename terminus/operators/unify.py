@@ -76,6 +76,12 @@ def drop_reason(biotypes: tuple = BIOTYPES, exclude_predicted: bool = False, kee
     return out
 
 
+def meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join that shuffles both sides: for tables that grow with positions, genes or clusters. The engine takes a table's size from its files, where a position is
+    some three bytes; the same rows are a hundred bytes each once the driver gathers them to be broadcast."""
+    return left.join(right.hint("merge"), keys, how)
+
+
 def evidence(rows: DataFrame) -> DataFrame:
     """Per position of a gene: its samples and its reads."""
     own = rows.groupBy(*JOIN_KEY).agg(F.array_sort(F.collect_set("sample_id")).alias("samples"), F.sum("site_count").alias("total_count"))
@@ -87,7 +93,7 @@ def dp_weights(ev: DataFrame, sample_weight: float = 0.7, count_weight: float =
     own = ev.withColumns({"_s": F.col("n_samples").cast("double"), "_c": F.log1p("total_count")})
     top = own.groupBy(*GENE_KEY).agg(F.max("_s").alias("_ts"), F.max("_c").alias("_tc"))
     part = lambda x, most: F.coalesce(F.col(x) / F.nullif(F.col(most), F.lit(0.0)), F.lit(0.0))
-    own = own.join(top, GENE_KEY).withColumn("dp_weight", F.greatest(sample_weight * part("_s", "_ts") + count_weight * part("_c", "_tc"), F.lit(1e-6)))
+    own = meet(own, top, GENE_KEY).withColumn("dp_weight", F.greatest(sample_weight * part("_s", "_ts") + count_weight * part("_c", "_tc"), F.lit(1e-6)))
     return own.select(*ev.columns, "dp_weight")
 
 
@@ -184,9 +190,9 @@ def islands(ev: DataFrame, max_internal_gap: int, width: int | None = None) -> D
     crosses a step over the gap, so chunks are segmented for themselves.
 
     A gene's positions are looked at in bins of bases; what begins an island in a bin or ends the one before is known from the bins' first and last
-    positions, so a gene with most of all positions is never in one task."""
+    positions, so a gene with most of all positions is never in one task; its positions come by gene, if weights were joined, and are dealt out by bins."""
     bins = [*GENE_KEY, "_bin"]
-    own = ev.select(*JOIN_KEY, "dp_weight", F.floor(F.col("site_position") / F.lit(width or CHUNK)).alias("_bin"))
+    own = ev.select(*JOIN_KEY, "dp_weight", F.floor(F.col("site_position") / F.lit(width or CHUNK)).alias("_bin")).repartition(*bins)
     own = own.withColumn("_step", F.col("site_position") - F.lag("site_position").over(Window.partitionBy(*bins).orderBy("site_position")))
     ends = own.groupBy(*bins).agg(F.min("site_position").alias("_first"), F.max("site_position").alias("_last"), F.min(F.when(F.col("_step") > max_internal_gap, F.col("site_position"))).alias("_inner"))
     along = Window.partitionBy(*GENE_KEY).orderBy("_bin")
@@ -194,7 +200,7 @@ def islands(ev: DataFrame, max_internal_gap: int, width: int | None = None) -> D
     ends = ends.withColumn("_begin", F.when(apart, F.col("_first")).otherwise(F.col("_inner")))
     ends = ends.select(*bins, "_begin", F.last(F.when(F.col("_begin").isNotNull(), F.col("_bin")), True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
     chunk = F.when(F.col("site_position") >= F.col("_begin"), F.col("_bin")).otherwise(F.col("_before"))
-    return own.join(ends, bins).select(*JOIN_KEY, "dp_weight", chunk.alias("chunk"))
+    return meet(own, ends, bins).select(*JOIN_KEY, "dp_weight", chunk.alias("chunk"))
 
 
 def numbered_clusters(cut: DataFrame) -> DataFrame:
@@ -202,7 +208,7 @@ def numbered_clusters(cut: DataFrame) -> DataFrame:
     per = cut.groupBy(*GENE_KEY, "chunk").agg(F.count_distinct("_start").alias("_n"))
     before = per.select(*GENE_KEY, "chunk", (F.coalesce(F.sum("_n").over(Window.partitionBy(*GENE_KEY).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
     own = cut.withColumn("_rank", F.dense_rank().over(Window.partitionBy(*GENE_KEY, "chunk").orderBy("_start")) - 1)
-    return own.join(before, [*GENE_KEY, "chunk"]).select(*JOIN_KEY, (F.col("_before") + F.col("_rank")).cast("long").alias("cluster_number"))
+    return meet(own, before, [*GENE_KEY, "chunk"]).select(*JOIN_KEY, (F.col("_before") + F.col("_rank")).cast("long").alias("cluster_number"))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -73,6 +73,26 @@ def test_a_gene_in_chunks_is_segmented_alike(spark, rows, monkeypatch):
     assert sorted(map(tuple, unify.segment(many).collect())) == whole and max(r[4] for r in whole) > 30
 
 
+def final_plans(monkeypatch) -> list[str]:
+    """The plans of staged tables as they were run, filled while tables are staged."""
+    plans: list[str] = []
+
+    def watched(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    monkeypatch.setattr(unify, "staged", watched)
+    return plans
+
+
+def test_segmentation_broadcasts_no_table_of_positions(rows, monkeypatch):
+    plans = final_plans(monkeypatch)
+    unify.staged(unify.segment(rows, absorb=False), "segments")
+    assert len(plans) == 4 and all("isFinalPlan=true" in p for p in plans)
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_weights_reach_the_representative(rows):
     by = lambda **o: {r.cluster_key: r.mode_site_position for r in unify.unify(rows, **o)["summary"].collect()}
     even = by(representative={"mode_sample_weight": 0.0, "mode_count_weight": 1.0, "reach": 0})
