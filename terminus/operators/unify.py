@@ -76,7 +76,7 @@ def drop_reason(biotypes: tuple = BIOTYPES, exclude_predicted: bool = False, kee
     return out
 
 
-def meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def meet(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "inner") -> DataFrame:
     """A join that shuffles both sides: for tables that grow with positions, genes or clusters. The engine takes a table's size from its files, where a position is
     some three bytes; the same rows are a hundred bytes each once the driver gathers them to be broadcast."""
     return left.join(right.hint("merge"), keys, how)
@@ -284,11 +284,11 @@ def segment(rows: DataFrame, sample_weight: float = 0.7, count_weight: float = 0
     if not o["absorb"]:
         return numbered_clusters(cut)
     cluster = [*GENE_KEY, "chunk", "_start"]
-    own = sums.join(cut, JOIN_KEY)
+    own = meet(sums, cut, JOIN_KEY)
     runs = staged(open_runs(own, o), "runs")
-    own = staged(own.join(runs, cluster), "open")
-    totals = sums.join(own.select(*GENE_KEY).distinct(), GENE_KEY, "left_semi").groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
-    own = own.join(totals, [*GENE_KEY, "transcript_id", "sample_id"])
+    own = staged(meet(own, runs, cluster), "open")
+    totals = sums.groupBy(*GENE_KEY, "transcript_id", "sample_id").agg(F.sum("site_count").alias("gene_count"))
+    own = meet(own, totals, [*GENE_KEY, "transcript_id", "sample_id"])
 
     names = cut.columns
 
@@ -302,7 +302,7 @@ def segment(rows: DataFrame, sample_weight: float = 0.7, count_weight: float = 0
         return pd.DataFrame(out, columns=names)
 
     changed = spread(own, *GENE_KEY, "chunk").groupBy(*GENE_KEY, "chunk").applyInPandas(one, cut.schema)
-    return numbered_clusters(staged(cut.join(runs, cluster, "left_anti").unionByName(changed), "absorbed"))
+    return numbered_clusters(staged(meet(cut, runs, cluster, "left_anti").unionByName(changed), "absorbed"))
 
 
 def local_support(numbered: DataFrame, reach: int = 15) -> DataFrame:
@@ -361,7 +361,7 @@ def cluster_map(numbered: DataFrame, **representative) -> DataFrame:
 
 def with_clusters(rows: DataFrame, clusters: DataFrame) -> DataFrame:
     """The rows with their position's cluster."""
-    return rows.join(clusters, JOIN_KEY).withColumnRenamed("site_position", "original_site_position")
+    return meet(rows, clusters, JOIN_KEY).withColumnRenamed("site_position", "original_site_position")
 
 
 def by_cluster(detailed: DataFrame) -> DataFrame:
@@ -394,9 +394,9 @@ def placed(rows: DataFrame, numbered: DataFrame, **representative) -> DataFrame:
 
     Rows meet no more than the number of their cluster on their way; what is said of a cluster as a whole is joined where the cluster's rows are together."""
     numbered = numbered if hasattr(numbered, "_terminus_path") else staged(numbered, "numbered")
-    own = rows.join(numbered.select(*CLUSTER_ID, "site_position"), JOIN_KEY).withColumnRenamed("site_position", "original_site_position").repartition(*CLUSTER_ID)
+    own = meet(rows, numbered.select(*CLUSTER_ID, "site_position"), JOIN_KEY).withColumnRenamed("site_position", "original_site_position").repartition(*CLUSTER_ID)
     own = own.withColumn("_part", F.sum("site_count").over(Window.partitionBy(*CLUSTER_ID, "transcript_id", "sample_id")))
-    return staged(own.join(cluster_heads(numbered, **representative), CLUSTER_ID).drop("cluster_number"), "detailed")
+    return staged(meet(own, cluster_heads(numbered, **representative), CLUSTER_ID).drop("cluster_number"), "detailed")
 
 
 def short(x: float) -> str:
@@ -431,7 +431,8 @@ def transcript_verdicts(detailed: DataFrame, **options) -> DataFrame:
     o = FILTERS | options
     per = detailed.groupBy("cluster_key", "transcript_id").agg(F.sum("site_count").alias("n"))
     samples = detailed.groupBy("cluster_key").agg(F.count_distinct("sample_id").alias("n_samples"))
-    stats = per.groupBy("cluster_key").agg(F.count(F.lit(1)).alias("n_transcripts"), F.max("n").alias("top"), F.count_if(F.col("n") >= o["min_multi_transcript_count"]).alias("supported")).join(samples, "cluster_key")
+    stats = per.groupBy("cluster_key").agg(F.count(F.lit(1)).alias("n_transcripts"), F.max("n").alias("top"), F.count_if(F.col("n") >= o["min_multi_transcript_count"]).alias("supported"))
+    stats = meet(stats, samples, "cluster_key")
     enough, one = F.col("n_samples") >= o["min_cluster_samples"], F.col("n_transcripts") == 1
     ok = F.when(one, F.col("top") >= o["min_single_transcript_count"]).otherwise(F.col("supported") >= o["min_supported_transcripts"])
     return stats.select(
@@ -495,10 +496,11 @@ def summary(detailed: DataFrame, verdicts: DataFrame | None = None) -> DataFrame
     )
     own = by_cluster(detailed).groupBy("cluster_key").agg(
         F.min_by(F.struct(*first), "ingest_seq").alias("f"), (round_even(F.median("cluster_relative_abundance"), 4) if has else F.lit(None).cast("double")).alias("median_cluster_relative_abundance"),
-    ).join(samples, "cluster_key")
-    own = own.join(weighted_positions(detailed), "cluster_key").join(transcript_counts(detailed), "cluster_key")
+    )
+    for more in (samples, weighted_positions(detailed), transcript_counts(detailed)):
+        own = meet(own, more, "cluster_key")
     if verdicts is not None:
-        own = own.join(verdicts.select("cluster_key", "filter_pass_rule", "filter_reason"), "cluster_key", "left")
+        own = meet(own, verdicts.select("cluster_key", "filter_pass_rule", "filter_reason"), "cluster_key", "left")
     else:
         own = own.withColumns({"filter_pass_rule": F.lit(""), "filter_reason": F.lit("")})
     return own.select(
@@ -532,20 +534,20 @@ def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | s
         strong_count = resolve_cutoff("auto", rows.select("sample_id").distinct().count())
     options = options | {"strong_count": int(strong_count)}
     if numbered is None:
-        numbered = staged(evidence(rows).join(segment(rows, **(segmentation or {}), strong_count=int(strong_count)), JOIN_KEY), "numbered")
+        numbered = staged(meet(evidence(rows), segment(rows, **(segmentation or {}), strong_count=int(strong_count)), JOIN_KEY), "numbered")
     shared = {k: v for k, v in (segmentation or {}).items() if k in ("sample_weight", "count_weight")}
     own = placed(rows, numbered, **shared | (representative or {}))
     found = {"observations": observation_verdicts, "transcript-totals": transcript_verdicts}
     named = lambda df: tissue_names(df) if capitalize else df
     out = Tables()
     passed = lambda: out["verdicts"].where("filter_passed").select("cluster_key")
-    rename = lambda df: df.join(out["names"], "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
+    rename = lambda df: meet(df, out["names"], "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
     out.how = {
         "verdicts": lambda: staged(no_filter(own) if strategy == "none" else found[strategy](shares(own, "prefilter_cluster_relative_abundance"), **options), "verdicts"),
-        "names": lambda: staged(renumbered(own.join(passed(), "cluster_key", "left_semi")), "names"),
+        "names": lambda: staged(renumbered(meet(own, passed(), "cluster_key", "left_semi")), "names"),
         "detailed": lambda: staged(named(shares(rename(own))), "kept"),
         "summary": lambda: summary(out["detailed"], rename(out["verdicts"])),
-        "filtered_out": lambda: summary(own.join(passed(), "cluster_key", "left_anti").drop("_part"), out["verdicts"]),
+        "filtered_out": lambda: summary(meet(own, passed(), "cluster_key", "left_anti").drop("_part"), out["verdicts"]),
         "unfiltered": lambda: named(shares(own)),
     }
     return out

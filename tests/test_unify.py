@@ -79,7 +79,7 @@ def final_plans(monkeypatch) -> list[str]:
 
     def watched(df, name):
         df.collect()
-        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        plans.append(f"{name}: {df._jdf.queryExecution().executedPlan().toString().split('== Initial Plan ==')[0]}")
         return staged(df, name)
 
     monkeypatch.setattr(unify, "staged", watched)
@@ -93,6 +93,13 @@ def test_segmentation_broadcasts_no_table_of_positions(rows, monkeypatch):
     assert not any("Broadcast" in p for p in plans)
 
 
+def test_catalogue_broadcasts_only_sums_of_transcripts(rows, monkeypatch):
+    plans = final_plans(monkeypatch)
+    unify.staged(unify.unify(rows)["summary"], "summary")
+    assert {"sums", "cut", "open", "absorbed", "numbered", "detailed", "names", "kept", "summary"} < {p.split(":")[0] for p in plans}
+    assert {p.split(":")[0]: p.count("BroadcastHashJoin") for p in plans if "Broadcast" in p} == {"verdicts": 1, "kept": 1}
+
+
 def test_weights_reach_the_representative(rows):
     by = lambda **o: {r.cluster_key: r.mode_site_position for r in unify.unify(rows, **o)["summary"].collect()}
     even = by(representative={"mode_sample_weight": 0.0, "mode_count_weight": 1.0, "reach": 0})
