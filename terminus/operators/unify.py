@@ -374,11 +374,16 @@ def parts(detailed: DataFrame) -> DataFrame:
     return by_cluster(detailed).withColumn("_part", F.sum("site_count").over(Window.partitionBy("cluster_key", "transcript_id", "sample_id")))
 
 
-def shares(parted: DataFrame, name: str = "cluster_relative_abundance") -> DataFrame:
+def wholes(counted: DataFrame) -> DataFrame:
+    """The reads of each transcript in each sample (`_whole`)."""
+    return staged(counted.groupBy("transcript_id", "sample_id").agg(F.sum("site_count").alias("_whole")), "whole")
+
+
+def shares(parted: DataFrame, name: str = "cluster_relative_abundance", whole: DataFrame | None = None) -> DataFrame:
     """`_part` as a share of the transcript's reads in the sample, to four decimals. A transcript with most of a sample's rows doesn't meet in one task: its sums
     are made in part before the shuffle. They are written, so the join is planned by their true size."""
     keys = ["transcript_id", "sample_id"]
-    whole = staged(parted.groupBy(*keys).agg(F.sum("site_count").alias("_whole")), "whole")
+    whole = whole or wholes(parted)
     own = parted.join(whole, keys).withColumn(name, round_even(F.col("_part") / F.col("_whole"), 4))
     first = [*keys, "cluster_key"]
     return own.select(*first, *[c for c in own.columns if c not in (*first, "_part", "_whole")])
@@ -553,6 +558,46 @@ def unify(rows: DataFrame, strategy: str = "observations", strong_count: int | s
     return out
 
 
+def kept(rows: DataFrame, numbered: DataFrame, columns: tuple = (), capitalize: bool = True, **options) -> Tables:
+    """Tables of the clusters that pass by observations, for those who need little of them: `rows` (cluster_key, transcript_id, sample_id, site_count,
+    cluster_relative_abundance and the rows' named columns), `transcripts` (see `transcript_counts`) and `positions` (see `weighted_positions`).
+
+    They are those of the detailed table of `unify`, which moves and writes whole rows with all that is said of their cluster. Here verdicts are made from reads summed
+    by cluster, transcript and sample, names from the clusters' ends, positions from the evidence; rows are shuffled with the named columns and their new name alone."""
+    numbered = numbered if hasattr(numbered, "_terminus_path") else staged(numbered, "numbered")
+    key = F.concat_ws("|", *GENE_KEY, F.col("cluster_number").cast("string")).alias("cluster_key")
+    obs = ["cluster_key", "transcript_id", "sample_id"]
+    out = Tables()
+
+    def observations() -> DataFrame:
+        own = meet(rows.select(*JOIN_KEY, *obs[1:], "site_count"), numbered.select(*JOIN_KEY, "cluster_number"), JOIN_KEY)
+        return staged(own.select(key, *obs[1:], "site_count").groupBy(*obs).agg(F.sum("site_count").alias("site_count")), "observations")
+
+    def names() -> DataFrame:
+        own = out["observations"].withColumn("_part", F.col("site_count"))
+        passed = observation_verdicts(shares(own, "prefilter_cluster_relative_abundance"), **options).where("filter_passed").select("cluster_key")
+        ends = numbered.groupBy(*CLUSTER_ID).agg(F.min("site_position").alias("cluster_start"), F.max("site_position").alias("cluster_end"))
+        return staged(renumbered(meet(ends.withColumn("cluster_key", key), staged(passed, "passed"), "cluster_key", "left_semi")), "names")
+
+    of_kept = lambda df: meet(df, out["names"], "cluster_key", "left_semi")
+    rename = lambda df: meet(df, out["names"], "cluster_key").drop("cluster_key").withColumnRenamed("new_key", "cluster_key")
+
+    def with_shares() -> DataFrame:
+        cut = staged(rename(numbered.select(*JOIN_KEY, key)), "cut")
+        own = (tissue_names(rows) if capitalize and "sample" in columns else rows).select(*JOIN_KEY, *obs[1:], "site_count", *columns)
+        own = meet(own, cut, JOIN_KEY).select(*obs, "site_count", *columns)
+        return shares(parts(own), whole=wholes(of_kept(out["observations"])))
+
+    out.how = {
+        "observations": observations,
+        "names": names,
+        "rows": with_shares,
+        "transcripts": lambda: rename(transcript_counts(of_kept(out["observations"]))),
+        "positions": lambda: rename(weighted_positions(of_kept(numbered.select(key, F.col("site_position").alias("original_site_position"), F.col("total_count").alias("site_count"))))),
+    }
+    return out
+
+
 class Tables(dict):
     """Tables by name, each made when it is first asked for, so that nothing is computed for those that nobody reads."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +27,23 @@ def fresh(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows, computed once: a table in the shared folder, so that no lost executor makes them again."""
+    """The rows, computed once: a table in the shared folder, so that no lost executor makes them again. What was shuffled for them goes."""
     path = fresh(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._terminus_path = path
+    freed(df.sparkSession)
     return out
 
 
+def freed(spark: SparkSession) -> None:
+    """Shuffle files that no frame needs any more go: Spark removes them when the driver's garbage is collected, which a driver with memory to spare seldom does.
+    What the last job shuffled is let go by the first collection and found by the second."""
+    for _ in range(2):
+        spark._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete the tables of staged frames that nothing reads any more."""
     for df in frames:

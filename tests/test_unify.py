@@ -1,14 +1,16 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from terminus.operators import unify
-from terminus.staging import staged
+from terminus.staging import freed, staged
 
 # Two samples of one tissue, a worked example with published results.
 LEAF = [("T1", "G1", "+", 1000, 30), ("T1", "G1", "+", 1300, 10), ("T2", "G1", "+", 1003, 20), ("T2", "G1", "+", 1302, 5), ("T3", "G2", "-", 2000, 60), ("T4", "G3", "+", 3000, 12)]
@@ -100,6 +102,31 @@ def test_catalogue_broadcasts_only_sums_of_transcripts(rows, monkeypatch):
     assert {p.split(":")[0]: p.count("BroadcastHashJoin") for p in plans if "Broadcast" in p} == {"verdicts": 1, "kept": 1}
 
 
+def test_narrow_tables_are_those_of_the_detailed_table(rows, monkeypatch):
+    both = rows.unionByName(rows.where("transcript_id != 'T2'").withColumn("site_count", F.col("site_count") + 1).withColumn("ingest_seq", F.col("ingest_seq") + 100))
+    numbered = unify.gap_clusters(unify.evidence(both))
+    own = unify.unify(both, numbered=numbered)["detailed"]
+    made = {}
+    monkeypatch.setattr(unify, "staged", lambda df, name: made.setdefault(name, df.columns) and staged(df, name))
+    got = unify.kept(both, numbered, ("ingest_seq", "sample"))
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect())) and a.count() > 0
+    assert same(got["rows"], own) and 0 < own.count() < both.count()
+    assert same(got["transcripts"], unify.transcript_counts(own)) and same(got["positions"], unify.weighted_positions(own))
+    assert made["observations"] == ["cluster_key", "transcript_id", "sample_id", "site_count"] and made["cut"] == [*unify.JOIN_KEY, "cluster_key"]
+    assert "detailed" not in made and "kept" not in made and max(map(len, made.values())) <= 8
+
+
+def test_shuffle_files_of_staged_tables_go(spark):
+    statuses = spark._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    freed(spark)
+    time.sleep(2)
+    before = statuses.size()
+    for k in range(4):
+        staged(spark.range(1000).selectExpr(f"id % {7 + k} AS k").groupBy("k").count(), "made")
+    time.sleep(2)
+    assert statuses.size() <= before + 1
+
+
 def test_weights_reach_the_representative(rows):
     by = lambda **o: {r.cluster_key: r.mode_site_position for r in unify.unify(rows, **o)["summary"].collect()}
     even = by(representative={"mode_sample_weight": 0.0, "mode_count_weight": 1.0, "reach": 0})
