@@ -518,7 +518,7 @@ def agg12(spark, sf):
 
 @query("AGG18b_transcript_counts", f"{_ALL}, {_OBS}, {_NEW}, {_SUM} SELECT cluster_key, transcript_cluster_counts, n_transcripts, total FROM tc")
 def agg18b(spark, sf):
-    return unify.transcript_counts(unify.unify(B.pas(spark, sf), numbered=_gaps(spark, sf), **_RULES)["detailed"]).drop("transcript_ids")
+    return unify.kept(B.pas(spark, sf), _gaps(spark, sf), **_RULES)["transcripts"].drop("transcript_ids")
 
 
 @query("AGG23_shared_coordinates", f"{_ALL} SELECT unified_ID, count(DISTINCT effective_gene_id) AS n_genes FROM det GROUP BY 1 HAVING count(DISTINCT effective_gene_id) > 1")
