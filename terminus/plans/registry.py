@@ -507,8 +507,8 @@ def agg18(spark, sf):
 
 @query("AGG10_AGG11_weighted_positions", f"{_ALL}, {_OBS}, {_NEW}, {_SUM} SELECT cluster_key, round(mean, 6) AS weighted_mean, round(sd, 6) AS weighted_sd, iqr FROM wp")
 def agg10(spark, sf):
-    own = unify.unify(B.pas(spark, sf), numbered=_gaps(spark, sf), **_RULES)["detailed"]
-    return unify.weighted_positions(own).select("cluster_key", F.round("weighted_mean", 6).alias("weighted_mean"), F.round("weighted_sd", 6).alias("weighted_sd"), (F.col("q75") - F.col("q25")).alias("iqr"))
+    own = unify.kept(B.pas(spark, sf), _gaps(spark, sf), **_RULES)["positions"]
+    return own.select("cluster_key", F.round("weighted_mean", 6).alias("weighted_mean"), F.round("weighted_sd", 6).alias("weighted_sd"), (F.col("q75") - F.col("q25")).alias("iqr"))
 
 
 @query("AGG12_observation_counts", f"{_ALL} SELECT cluster_key, transcript_id, sample_id, sum(site_count) AS n FROM det GROUP BY ALL")
